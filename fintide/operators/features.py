@@ -169,12 +169,12 @@ def split_quotas(df: DataFrame, label: str, test_frac: float = C.TEST_SIZE) -> D
     num, den = frac.numerator, frac.denominator
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
     w_all = Window.partitionBy()
-    n = F.sum("n_class").over(w_all)
-    t_total = F.floor((n * num + den - 1) / den).cast("long")  # ceil(n·num/den), exact for integers
-    q = counts.withColumns({"_n": n, "_t": t_total})
+    q = counts.withColumn("_n", F.sum("n_class").over(w_all))
+    # ceil(n·num/den) and the per-class shares in exact integer arithmetic ('div' is integer division).
+    q = q.withColumn("_t", F.expr(f"(_n * {num} + {den - 1}) div {den}"))
     q = q.withColumns({
-        "_base": F.floor(F.col("_t") * F.col("n_class") / F.col("_n")).cast("long"),
-        "_rem": F.pmod(F.col("_t") * F.col("n_class"), F.col("_n")),
+        "_base": F.expr("(_t * n_class) div _n"),
+        "_rem": F.expr("(_t * n_class) % _n"),
     })
     q = q.withColumn("_extra", F.col("_t") - F.sum("_base").over(w_all))
     rk = F.row_number().over(Window.partitionBy().orderBy(F.desc("_rem"), F.asc(label)))

@@ -1 +1,183 @@
-"""Queries (filled in below)."""
+"""Feature table, imputation, split, class weights, metrics and the Spark ML model."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fintide import config as C
+from fintide.operators import features as FE
+from fintide.operators import metrics as M
+from fintide.operators import model as ML
+from fintide.plans import views as V
+from fintide.plans.catalog import register
+from fintide.plans.oracle_views import rnd, with_views
+
+FEATURE_TABLE_COLS = ("client_id, equity_pct, debt_pct, gold_pct, total_num_funds, years_invested, aum_lakh, "
+                      "age_group_encoded, target")
+
+_INT_FEATURES = {"total_num_funds", "age_group_encoded"}
+
+
+@register("training_features", with_views(f"SELECT {FEATURE_TABLE_COLS} FROM training_features",
+                                          "training_features"))
+def training_features(spark, d):
+    return V.features(spark, d)
+
+
+def _imputed_sql() -> str:
+    meds = ", ".join(f"median({c}) AS m_{c}" for c in C.FEATURE_COLS)
+    fills = []
+    for c in C.FEATURE_COLS:
+        fill = f"coalesce(m.m_{c}, 0)"
+        if c in _INT_FEATURES:
+            fills.append(f"coalesce(f.{c}, CAST(trunc({fill}) AS {'BIGINT' if c == 'total_num_funds' else 'INTEGER'}))"
+                         f" AS {c}")
+        else:
+            fills.append(f"coalesce(f.{c}, {fill}) AS {c}")
+    return with_views(f"""
+SELECT f.client_id, {', '.join(fills)}, f.target
+FROM training_features f CROSS JOIN (SELECT {meds} FROM training_features) m""", "training_features")
+
+
+@register("imputed_features", _imputed_sql())
+def imputed_features(spark, d):
+    filled, _ = FE.impute_median(V.features(spark, d), C.FEATURE_COLS)
+    return filled
+
+
+@register("class_weights", with_views("""
+SELECT target, n_class, CAST(sum(n_class) OVER () AS DOUBLE) / (count(*) OVER () * n_class) AS weight
+FROM (SELECT target, count(*) AS n_class FROM training_features GROUP BY target) t""", "training_features"))
+def class_weights(spark, d):
+    return FE.class_weights(V.features(spark, d), "target")
+
+
+_QUOTA_CTE = ("quota", """
+  SELECT target, n_class, base + CASE WHEN rk <= extra THEN 1 ELSE 0 END AS n_test FROM (
+    SELECT *, t_total - sum(base) OVER () AS extra, row_number() OVER (ORDER BY rem DESC, target) AS rk FROM (
+      SELECT target, n_class, t_total, (t_total * n_class) // n AS base, (t_total * n_class) % n AS rem FROM (
+        SELECT target, n_class, sum(n_class) OVER () AS n, (sum(n_class) OVER () + 4) // 5 AS t_total
+        FROM (SELECT target, count(*) AS n_class FROM training_features GROUP BY target) a) b) c) d""")
+
+_RANKED_CTE = ("ranked", """
+  SELECT client_id, target,
+         row_number() OVER (PARTITION BY target ORDER BY md5(client_id || ':42'), client_id) AS rn
+  FROM training_features""")
+
+_SPLIT_CTE = ("split_rows", """
+  SELECT r.client_id, r.target, CASE WHEN r.rn <= q.n_test THEN 'test' ELSE 'train' END AS split
+  FROM ranked r JOIN quota q ON r.target = q.target""")
+
+
+@register("stratified_split", with_views("SELECT client_id, target, split FROM split_rows", "training_features",
+                                         extra=[_QUOTA_CTE, _RANKED_CTE, _SPLIT_CTE]))
+def stratified_split(spark, d):
+    assert C.TEST_SIZE == 0.2 and C.SEED == 42  # the oracle text spells these out
+    return FE.stratified_split(V.features(spark, d), "client_id", "target", C.TEST_SIZE, C.SEED).select(
+        "client_id", "target", "split")
+
+
+@register("stratified_split_counts", with_views("""
+SELECT target, count(*) AS n_class, CAST(count_if(split = 'train') AS BIGINT) AS n_train,
+       CAST(count_if(split = 'test') AS BIGINT) AS n_test
+FROM split_rows GROUP BY target""", "training_features", extra=[_QUOTA_CTE, _RANKED_CTE, _SPLIT_CTE]))
+def stratified_split_counts(spark, d):
+    split = FE.stratified_split(V.features(spark, d), "client_id", "target", C.TEST_SIZE, C.SEED)
+    return split.groupBy("target").agg(
+        F.count(F.lit(1)).alias("n_class"),
+        F.count_if(F.col("split") == "train").alias("n_train"),
+        F.count_if(F.col("split") == "test").alias("n_test"),
+    )
+
+
+_RULE_SQL = ("CASE WHEN equity_pct >= 60 THEN 'Aggressive' WHEN debt_pct >= 50 THEN 'Conservative' "
+             "ELSE 'Moderate' END")
+
+
+def _with_rule(spark, d):
+    return V.features(spark, d).withColumn("prediction", M.rule_prediction())
+
+
+@register("confusion_matrix", with_views(f"""
+SELECT target AS actual, {', '.join(f"CAST(count_if(pred = '{c}') AS BIGINT) AS {c}" for c in C.RISK_CLASSES)}
+FROM (SELECT target, {_RULE_SQL} AS pred FROM training_features) t GROUP BY target""", "training_features"))
+def confusion_matrix(spark, d):
+    return M.confusion(_with_rule(spark, d), "target", "prediction")
+
+
+def _report_sql() -> str:
+    classes = ", ".join(f"('{c}')" for c in C.RISK_CLASSES)
+    k = len(C.RISK_CLASSES)
+    return with_views(f"""
+SELECT class, {rnd('precision', 6)} AS precision, {rnd('recall', 6)} AS recall, {rnd('f1', 6)} AS f1, support
+FROM (
+  SELECT class, precision, recall, f1, support FROM per_class
+  UNION ALL SELECT 'macro avg', sum(precision) / {k}, sum(recall) / {k}, sum(f1) / {k}, max(n) FROM per_class
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / max(n), sum(recall * support) / max(n),
+                   sum(f1 * support) / max(n), max(n) FROM per_class
+  UNION ALL SELECT 'accuracy', NULL, NULL, CAST(max(correct) AS DOUBLE) / max(n), max(n) FROM per_class
+) u""", "training_features", extra=[
+        ("pred", f"SELECT target, {_RULE_SQL} AS pred FROM training_features"),
+        ("counts", f"""
+  SELECT c.class, count_if(p.target = c.class AND p.pred = c.class) AS tp, count_if(p.pred = c.class) AS pp,
+         count_if(p.target = c.class) AS support
+  FROM (VALUES {classes}) c(class) CROSS JOIN pred p GROUP BY c.class"""),
+        ("tot", "SELECT count(*) AS n, count_if(target = pred) AS correct FROM pred"),
+        ("pr", """
+  SELECT class, support, n, correct,
+         CASE WHEN pp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / pp END AS precision,
+         CASE WHEN support = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / support END AS recall
+  FROM counts CROSS JOIN tot"""),
+        ("per_class", """
+  SELECT class, precision, recall,
+         CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1,
+         CAST(support AS BIGINT) AS support, CAST(n AS BIGINT) AS n, correct FROM pr"""),
+    ])
+
+
+@register("classification_report", _report_sql())
+def classification_report(spark, d):
+    return M.class_report(_with_rule(spark, d), "target", "prediction")
+
+
+_MODELS: dict[tuple[str, str], tuple] = {}
+
+
+def trained(spark, d):
+    """Fit once per (application, tables): the split, the model, and the held-out predictions."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS:
+        filled, _ = FE.impute_median(V.features(spark, d), C.FEATURE_COLS)
+        split = FE.stratified_split(filled, "client_id", "target", C.TEST_SIZE, C.SEED).checkpoint()
+        model = ML.fit_risk_model(split.filter(F.col("split") == "train"))
+        _MODELS[key] = (split, model)
+    return _MODELS[key]
+
+
+@register("risk_model_metrics")
+def risk_model_metrics(spark, d):
+    split, model = trained(spark, d)
+    test = ML.score_features(model, split.filter(F.col("split") == "test"))
+    m = M.accuracy_and_macro_f1(test, "target", "predicted_profile")
+    n_train = split.filter(F.col("split") == "train").count()
+    return m.select(F.col("n").alias("test_rows"), F.lit(n_train).alias("training_rows"),
+                    F.round("accuracy", 4).alias("accuracy"), F.round("macro_f1", 4).alias("f1_score"))
+
+
+@register("feature_importances")
+def feature_importances(spark, d):
+    _, model = trained(spark, d)
+    return ML.importances(spark, model)
+
+
+def known_profiles(spark, d):
+    """The three reference profiles scored by the model trained on the tables (pytest only: fixed input)."""
+    _, model = trained(spark, d)
+    rows = [
+        ("Young aggressive investor", 85.0, 10.0, 5.0, 6, 3.0, 25.0, 0, "Aggressive"),
+        ("Senior conservative investor", 5.0, 85.0, 10.0, 3, 15.0, 200.0, 2, "Conservative"),
+        ("Middle-aged moderate investor", 45.0, 40.0, 15.0, 4, 7.0, 80.0, 1, "Moderate"),
+    ]
+    cols = ["name"] + list(C.FEATURE_COLS) + ["expected"]
+    probe = spark.createDataFrame(rows, cols)
+    return ML.score_features(model, probe).select("name", "expected", "predicted_profile", "confidence")

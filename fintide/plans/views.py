@@ -8,7 +8,7 @@ from fintide import config as C
 from fintide.operators.clean import clean_clients, clean_holdings
 from fintide.operators.enrich import enrich_clients
 from fintide.operators.features import training_features
-from fintide.operators.portfolio import portfolio_summary
+from fintide.operators.portfolio import portfolio_summary, summarise_holdings
 from fintide.sources import testviews as tv
 
 AS_OF = C.FIXTURE_AS_OF
@@ -32,4 +32,6 @@ def summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
-    return training_features(summary(spark, d), clients_enriched(spark, d))
+    # The bare roll-up joined once to the clients (the summary's own left join to the
+    # same clients would be a second join with an identical outcome for inner-joined rows).
+    return training_features(summarise_holdings(holdings_clean(spark, d), as_of=AS_OF), clients_enriched(spark, d))
