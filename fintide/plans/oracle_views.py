@@ -37,6 +37,12 @@ def years(start: str, as_of: str = AS_OF) -> str:
     return rnd(f"datediff('day', {start}, DATE '{as_of}') / 365.25", 1)
 
 
+def plain(expr: str) -> str:
+    """Number as plain text with at least one decimal (same text as ``plain_number`` in Spark)."""
+    t = f"regexp_replace(CAST(CAST({expr} AS DECIMAL(38,10)) AS VARCHAR), '0+$', '')"
+    return f"CASE WHEN {t} LIKE '%.' THEN {t} || '0' ELSE {t} END"
+
+
 def _pct(part: str, total: str) -> str:
     return rnd(f"{part} / CASE WHEN {total} = 0 THEN 1.0 ELSE {total} END * 100", 2)
 
@@ -206,10 +212,47 @@ def _closure(names: tuple[str, ...]) -> list[str]:
     return order
 
 
-def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
-    """``WITH <needed views>, <extra CTEs> <body>``."""
+def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = None,
+               recursive: bool = False) -> str:
+    """``WITH [RECURSIVE] <needed views>, <extra CTEs> <body>``."""
     ctes = [f"{n} AS ({VIEWS[n][1]}\n)" for n in _closure(names)]
     ctes += [f"{n} AS ({sql}\n)" for n, sql in (extra or [])]
     if not ctes:
         return body
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n" + body
+
+
+# Scoring requests derived from the feature table, some broken on purpose.
+view("requests", ("training_features",), """
+    SELECT client_id,
+      CASE WHEN CAST(substr(client_id, 4) AS BIGINT) % 7 = 0 THEN 150.0::DOUBLE ELSE equity_pct END AS equity_pct,
+      debt_pct, gold_pct, total_num_funds,
+      CASE WHEN CAST(substr(client_id, 4) AS BIGINT) % 13 = 0 THEN NULL ELSE years_invested END AS years_invested,
+      aum_lakh,
+      CASE WHEN CAST(substr(client_id, 4) AS BIGINT) % 11 = 0 THEN 'Baby'
+           ELSE (['Young', 'Middle-Aged', 'Senior'])[age_group_encoded + 1] END AS age_group
+    FROM training_features""")
+
+_REASONS = ", ".join(
+    [f"CASE WHEN {f} IS NULL THEN '{f}: required' END" for f in C.REQUEST_FIELDS]
+    + [f"CASE WHEN ({f} < {lo}" + (f" OR {f} > {hi}" if hi is not None else "") + f") THEN '{f}: out of range' END"
+       for f, (lo, hi) in C.REQUEST_RANGES.items()]
+    + ["CASE WHEN NOT (age_group IN ('Young', 'Middle-Aged', 'Senior')) "
+       "THEN 'age_group: must be one of Young/Middle-Aged/Senior' END"]
+)
+
+view("validated", ("requests",), f"""
+    SELECT client_id, {rnd('equity_pct', 2)} AS equity_pct, {rnd('debt_pct', 2)} AS debt_pct,
+           {rnd('gold_pct', 2)} AS gold_pct, total_num_funds, years_invested, aum_lakh, age_group,
+           list_filter([{_REASONS}], lambda x: x IS NOT NULL) AS reasons
+    FROM requests""")
+
+view("request_keys", ("validated",), f"""
+    SELECT client_id, 'portfolio:risk:' || client_id || ':' || md5(concat_ws('_', {plain('equity_pct')},
+           {plain('debt_pct')}, {plain('gold_pct')}, CAST(total_num_funds AS VARCHAR), {plain('years_invested')},
+           {plain('aum_lakh')}, age_group)) AS cache_key
+    FROM validated WHERE len(reasons) = 0""")
+
+view("timed_requests", ("request_keys",), """
+    SELECT e.event_id, k.client_id, k.cache_key, e.ts
+    FROM events e JOIN request_keys k ON printf('CLT%07d', e.user_id) = k.client_id""")

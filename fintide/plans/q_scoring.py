@@ -1 +1,93 @@
-"""Queries (filled in below)."""
+"""Request validation, cache keys, TTL cache replay, hit rate, model scoring with prediction reuse."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fintide import config as C
+from fintide.operators import scoring as S
+from fintide.plans import views as V
+from fintide.plans.catalog import register
+from fintide.plans.oracle_views import rnd, with_views
+from fintide.plans.q_ml import trained
+from fintide.sources import testviews as tv
+
+
+def requests(spark, d):
+    return S.requests_from_features(V.features(spark, d))
+
+
+def keyed_requests(spark, d):
+    valid, _ = S.split_valid(requests(spark, d))
+    return valid.withColumn("cache_key", S.request_key())
+
+
+def timed_requests(spark, d):
+    """Every event is a scoring request by its user at its time."""
+    ev = tv.table(spark, d, "events").select("event_id", F.format_string("CLT%07d", "user_id").alias("client_id"),
+                                             "ts")
+    return ev.join(keyed_requests(spark, d).select("client_id", "cache_key"), on="client_id", how="inner")
+
+
+@register("request_validation", with_views("""
+SELECT client_id, len(reasons) = 0 AS is_valid, CAST(len(reasons) AS INTEGER) AS n_reasons,
+       array_to_string(reasons, '; ') AS reasons, equity_pct, debt_pct, gold_pct
+FROM validated""", "validated"))
+def request_validation(spark, d):
+    v = S.validate_requests(requests(spark, d))
+    return v.select("client_id", "is_valid", F.size("reasons").alias("n_reasons"),
+                    F.concat_ws("; ", "reasons").alias("reasons"), "equity_pct", "debt_pct", "gold_pct")
+
+
+@register("request_keys", with_views("SELECT client_id, cache_key FROM request_keys", "request_keys"))
+def request_keys(spark, d):
+    return keyed_requests(spark, d).select("client_id", "cache_key")
+
+
+TTL_US = C.CACHE_TTL_SECONDS * 1_000_000
+
+_WALK = [
+    ("ordered", """
+  SELECT cache_key, event_id, epoch_us(ts) AS t,
+         row_number() OVER (PARTITION BY cache_key ORDER BY epoch_us(ts), event_id) AS rn
+  FROM timed_requests"""),
+    ("walk(cache_key, rn, event_id, expiry, hit)", f"""
+  SELECT cache_key, rn, event_id, t + {TTL_US}, false FROM ordered WHERE rn = 1
+  UNION ALL
+  SELECT o.cache_key, o.rn, o.event_id, CASE WHEN o.t < w.expiry THEN w.expiry ELSE o.t + {TTL_US} END,
+         o.t < w.expiry
+  FROM walk w JOIN ordered o ON o.cache_key = w.cache_key AND o.rn = w.rn + 1"""),
+]
+
+
+@register("cache_hits", with_views("""
+SELECT r.event_id, r.client_id, r.cache_key, r.ts, w.hit AS from_cache
+FROM timed_requests r JOIN walk w ON r.event_id = w.event_id""", "timed_requests", extra=_WALK, recursive=True))
+def cache_hits(spark, d):
+    return S.cache_hits(timed_requests(spark, d), "cache_key", "ts", "event_id", C.CACHE_TTL_SECONDS).select(
+        "event_id", "client_id", "cache_key", "ts", "from_cache")
+
+
+@register("cache_hit_rate", with_views(f"""
+SELECT count(*) AS requests, CAST(count_if(hit) AS BIGINT) AS hits, CAST(count_if(NOT hit) AS BIGINT) AS misses,
+       {rnd('CAST(count_if(hit) AS DOUBLE) / count(*)', 4)} AS hit_rate
+FROM walk""", "timed_requests", extra=_WALK, recursive=True))
+def cache_hit_rate(spark, d):
+    return S.hit_rate(cache_hits(spark, d))
+
+
+@register("score_requests")
+def score_requests(spark, d):
+    _, model = trained(spark, d)
+    valid, _ = S.split_valid(requests(spark, d))
+    return S.score_requests(model, valid)
+
+
+@register("scored_with_reuse")
+def scored_with_reuse(spark, d):
+    """Every timed request answered; the model runs once per distinct cache key."""
+    _, model = trained(spark, d)
+    keyed = keyed_requests(spark, d)
+    timed = timed_requests(spark, d).join(keyed.drop("client_id"), on="cache_key", how="inner")
+    return S.score_distinct(model, timed).select("event_id", "client_id", "cache_key", "risk_profile",
+                                                 "confidence")
