@@ -21,7 +21,7 @@ METROS = ", ".join(f"'{m}'" for m in C.FIXTURE_METROS)
 
 
 def rnd(expr: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def initcap(expr: str) -> str:
@@ -256,3 +256,20 @@ view("request_keys", ("validated",), f"""
 view("timed_requests", ("request_keys",), """
     SELECT e.event_id, k.client_id, k.cache_key, e.ts
     FROM events e JOIN request_keys k ON printf('CLT%07d', e.user_id) = k.client_id""")
+
+
+def uniform(*parts: str, seed: int = C.SEED) -> str:
+    """Same draw as ``hash_uniform``: first 32 bits of md5('p1:p2:...:seed') / 2^32."""
+    args = ", ".join(list(parts) + [f"'{seed}'"])
+    return f"(CAST(('0x' || substr(md5(concat_ws(':', {args})), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
+
+
+def pick(u: str, choices) -> str:
+    """Same thresholds as ``pick_weighted`` (cumulative weights accumulated in the same float order)."""
+    total = float(sum(w for _, w in choices))
+    cum = 0.0
+    parts = []
+    for label, w in choices[:-1]:
+        cum += w / total
+        parts.append(f"WHEN {u} < {cum!r}::DOUBLE THEN '{label}'")
+    return f"CASE {' '.join(parts)} ELSE '{choices[-1][0]}' END"

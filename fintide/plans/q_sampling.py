@@ -1 +1,53 @@
-"""Queries (filled in below)."""
+"""Sampling queries: exact-n sample, seeded shuffle, weighted assignment, allocation expansion."""
+
+from __future__ import annotations
+
+from fintide import config as C
+from fintide.operators import sampling as SM
+from fintide.plans import views as V
+from fintide.plans.catalog import register
+from fintide.plans.oracle_views import pick, uniform, with_views
+
+SAMPLE_N = 100
+
+
+@register("sample_n", with_views(f"""
+SELECT client_id, risk_profile, aum FROM clients_enriched
+ORDER BY md5(client_id || ':{C.SEED}'), client_id LIMIT {SAMPLE_N}""", "clients_enriched"))
+def sample_n(spark, d):
+    return SM.sample_n(V.clients_enriched(spark, d), "client_id", SAMPLE_N).select("client_id", "risk_profile",
+                                                                                   "aum")
+
+
+@register("seeded_shuffle", with_views(f"""
+SELECT client_id, row_number() OVER (ORDER BY md5(client_id || ':{C.SEED}'), client_id) AS position
+FROM clients_enriched""", "clients_enriched"))
+def seeded_shuffle(spark, d):
+    return SM.shuffle(V.clients_enriched(spark, d), "client_id").select("client_id", "position")
+
+
+@register("weighted_assignment", with_views(f"""
+SELECT client_id, {pick(uniform('client_id'), C.CHANNEL_WEIGHTS)} AS preferred_channel
+FROM clients_enriched""", "clients_enriched"))
+def weighted_assignment(spark, d):
+    return SM.assign_weighted(V.clients_enriched(spark, d), "client_id", C.CHANNEL_WEIGHTS,
+                              "preferred_channel").select("client_id", "preferred_channel")
+
+
+def _expand_sql() -> str:
+    u = uniform("client_id", "CAST(slot AS VARCHAR)")
+    cases = " ".join(
+        f"WHEN risk_profile = '{p}' THEN {pick(u, [(t, float(w)) for t, w in pool])}"
+        for p, pool in C.ALLOCATION_POOLS.items())
+    lo, hi = C.HOLDINGS_PER_CLIENT
+    return with_views(f"""
+SELECT client_id, risk_profile, CAST(slot AS INTEGER) AS slot, CASE {cases} END AS fund_type
+FROM (SELECT client_id, risk_profile,
+             unnest(generate_series(1, CAST({lo} + floor({uniform('client_id', "'n'")} * {hi - lo + 1}) AS BIGINT)))
+               AS slot
+      FROM clients_enriched) t""", "clients_enriched")
+
+
+@register("allocation_expand", _expand_sql())
+def allocation_expand(spark, d):
+    return SM.expand_allocation(V.clients_enriched(spark, d))
