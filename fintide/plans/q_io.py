@@ -1 +1,69 @@
-"""Queries (filled in below)."""
+"""I/O queries: partitioned lake round-trip, header-checked CSV round-trip, SQL table, run record."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fintide import config as C
+from fintide.operators import model as ML
+from fintide.operators import metrics as M
+from fintide.plans import views as V
+from fintide.plans.catalog import register
+from fintide.plans.oracle_views import with_views
+from fintide.plans.q_clients import ENRICHED_COLS
+from fintide.plans.q_ml import FEATURE_TABLE_COLS, trained
+from fintide.plans.q_portfolio import SUMMARY_COLS
+from fintide.session import work_path
+from fintide.sources import io
+
+
+def _cols(text: str) -> list[str]:
+    return [c.strip() for c in text.split(",")]
+
+
+@register("partitioned_roundtrip", with_views(f"SELECT {ENRICHED_COLS} FROM clients_enriched", "clients_enriched"))
+def partitioned_roundtrip(spark, d):
+    """Write the enriched clients partitioned by risk profile, read back with partition discovery."""
+    path = work_path(spark, "clients")
+    written = io.write_lake(V.clients_enriched(spark, d), path, ["risk_profile"])
+    return io.read_back(spark, path, written).select(*_cols(ENRICHED_COLS))
+
+
+@register("csv_roundtrip", with_views(f"SELECT {FEATURE_TABLE_COLS} FROM training_features", "training_features"))
+def csv_roundtrip(spark, d):
+    """Export the feature table as CSV with a header, read it back against the declared schema."""
+    path = work_path(spark, "training_features_csv")
+    io.write_csv(V.features(spark, d), path)
+    return io.read_csv_checked(spark, path, C.TRAINING_FEATURES_SCHEMA)
+
+
+@register("lake_sql_table", with_views(f"SELECT {SUMMARY_COLS} FROM portfolio_summary", "portfolio_summary"))
+def lake_sql_table(spark, d):
+    """Portfolio summary → partitioned table → external SQL table → verified read through SQL."""
+    path = work_path(spark, "portfolios")
+    written = io.write_lake(V.summary(spark, d), path, ["risk_profile"])
+    name = io.register_table(spark, "wealth", f"portfolios_{path.rsplit('-', 1)[-1]}", path,
+                             "Portfolio summaries per client")
+    table = spark.table(name)
+    n = table.count()
+    if n != written:
+        raise AssertionError(f"table {name} has {n} rows, wrote {written}")
+    return table.select(*_cols(SUMMARY_COLS))
+
+
+@register("run_record_roundtrip")
+def run_record_roundtrip(spark, d):
+    """Persist the model, reload it, score the held-out rows, and append a run record (JSON) — read back."""
+    split, model = trained(spark, d)
+    model_path = work_path(spark, "risk_model")
+    ML.save_model(model, model_path)
+    reloaded = ML.load_model(model_path)
+    test = ML.score_features(reloaded, split.filter(F.col("split") == "test"))
+    m = M.accuracy_and_macro_f1(test, "target", "predicted_profile").first()
+    params = {"n_estimators": C.N_TREES, "max_depth": C.MAX_DEPTH, "min_samples": C.MIN_SAMPLES_SPLIT,
+              "test_size": C.TEST_SIZE, "random_state": C.SEED, "features": C.FEATURE_COLS,
+              "model_path": model_path}
+    metrics = {"accuracy": round(m["accuracy"], 4), "f1_score": round(m["macro_f1"], 4), "test_rows": m["n"]}
+    runs = work_path(spark, "runs")
+    io.write_records(ML.run_record(spark, model_path.rsplit("-", 1)[-1], params, metrics), runs)
+    return io.read_records(spark, runs, ML.RUN_SCHEMA)

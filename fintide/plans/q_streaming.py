@@ -1 +1,37 @@
-"""Queries (filled in below)."""
+"""Streaming queries: transaction monitor (compared) and model scoring (rows-only)."""
+
+from __future__ import annotations
+
+from fintide.plans.catalog import register
+from fintide.plans.oracle_views import with_views
+from fintide.plans.q_ml import trained
+from fintide.plans.q_scoring import requests
+from fintide.plans.q_transactions import _RULES_SQL
+from fintide.session import work_path
+from fintide.sources import testviews as tv
+from fintide.streaming import stream as ST
+
+
+@register("stream_transaction_monitor", with_views("""
+SELECT client_id, date_trunc('hour', txn_ts) AS window_start, date_trunc('hour', txn_ts) + INTERVAL 1 HOUR
+       AS window_end, count(*) AS n_txn, CAST(sum(amount) AS DOUBLE) AS total_amount,
+       CAST(count_if(rules_hit >= 3) AS BIGINT) AS n_suspicious
+FROM flagged GROUP BY 1, 2
+HAVING date_trunc('hour', txn_ts) + INTERVAL 1 HOUR <= (SELECT max(txn_ts) FROM transactions) - INTERVAL 1 HOUR
+""", "transactions", extra=[("flagged", _RULES_SQL)]))
+def stream_transaction_monitor(spark, d):
+    """Transactions arrive as files; hourly per-client windows are emitted once the watermark closes them."""
+    src = ST.stage_files(tv.transactions(spark, d), work_path(spark, "txn_stream_in"), order_by="txn_ts")
+    stream = ST.read_stream(spark, src, tv.transactions(spark, d).schema)
+    return ST.run_to_table(spark, ST.stream_monitor(stream), "txn_monitor")
+
+
+@register("stream_scoring")
+def stream_scoring(spark, d):
+    _, model = trained(spark, d)
+    reqs = requests(spark, d)
+    src = ST.stage_files(reqs, work_path(spark, "requests_stream_in"))
+    stream = ST.read_stream(spark, src, reqs.schema, max_files=1)
+    return ST.run_to_table(spark, ST.stream_scores(stream, model), "scoring")
+
+
