@@ -91,12 +91,12 @@ TXN_TYPE_WEIGHTS = [("SIP", 0.55), ("BUY", 0.25), ("SELL", 0.15), ("DIVIDEND", 0
 CHANNEL_WEIGHTS = [("APP", 0.45), ("WEB", 0.30), ("ADVISOR", 0.20), ("API", 0.05)]
 
 # --------------------------------------------------------------------------
-# Declared raw schemas
+# Declared raw schemas (all nullable: a file scan never enforces NOT NULL, the cleaners do)
 # --------------------------------------------------------------------------
 
 CLIENTS_RAW_SCHEMA = T.StructType(
     [
-        T.StructField("client_id", T.StringType(), False),
+        T.StructField("client_id", T.StringType()),
         T.StructField("name", T.StringType()),
         T.StructField("email", T.StringType()),
         T.StructField("phone", T.StringType()),
@@ -112,8 +112,8 @@ CLIENTS_RAW_SCHEMA = T.StructType(
 
 HOLDINGS_RAW_SCHEMA = T.StructType(
     [
-        T.StructField("portfolio_id", T.StringType(), False),
-        T.StructField("client_id", T.StringType(), False),
+        T.StructField("portfolio_id", T.StringType()),
+        T.StructField("client_id", T.StringType()),
         T.StructField("fund_id", T.StringType()),
         T.StructField("fund_type", T.StringType()),
         T.StructField("invested_amt", T.DecimalType(18, 2)),
