@@ -186,8 +186,10 @@ def split_quotas(df: DataFrame, label: str, test_frac: float = C.TEST_SIZE) -> D
 def stratified_split(df: DataFrame, id_col: str, label: str, test_frac: float = C.TEST_SIZE,
                      seed: int = C.SEED) -> DataFrame:
     """Adds ``split`` ∈ {train, test}: per class, the n_test rows first in md5(id:seed) order are test."""
+    # Counted, range-sampled and ranked below: materialise the input once instead of re-running its lineage.
+    df = df.withColumn("_h", hash_hex(id_col, seed=seed)).checkpoint()
     quotas = split_quotas(df, label, test_frac).select(label, "n_test")
-    ranked = rank_within(df.withColumn("_h", hash_hex(id_col, seed=seed)), [label], ["_h", id_col], "_rank")
+    ranked = rank_within(df, [label], ["_h", id_col], "_rank")
     return (
         ranked.join(quotas, on=label, how="inner")
         .withColumn("split", F.when(F.col("_rank") <= F.col("n_test"), F.lit("test")).otherwise(F.lit("train")))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fintide import config as C
@@ -34,7 +34,11 @@ def confusion(df: DataFrame, label: str, pred: str, classes: Sequence[str] = tup
 
 def class_report(df: DataFrame, label: str, pred: str, classes: Sequence[str] = tuple(C.RISK_CLASSES),
                  digits: int = 6) -> DataFrame:
-    """precision / recall / f1 / support per class, plus macro avg, weighted avg and accuracy rows."""
+    """precision / recall / f1 / support per class, plus macro avg, weighted avg and accuracy rows.
+
+    One aggregate pass produces every count; all report rows are expressions
+    over that single row, exploded at the end (no window, no union re-scan).
+    """
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == F.col(pred)).alias("correct")]
     for i, c in enumerate(classes):
         aggs += [
@@ -43,42 +47,34 @@ def class_report(df: DataFrame, label: str, pred: str, classes: Sequence[str] =
             F.count_if(F.col(label) == c).alias(f"s{i}"),
         ]
     one = df.agg(*aggs)
-    per_class = one.select(
-        "n", "correct",
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("class"), F.col(f"tp{i}").alias("tp"), F.col(f"pp{i}").alias("pp"),
-                     F.col(f"s{i}").alias("support"))
-            for i, c in enumerate(classes)
-        ])).alias("r"),
-    ).select("n", "correct", "r.*")
-    p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pp")), F.lit(0.0))
-    r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
-    per_class = per_class.withColumns({"precision": p, "recall": r})
-    per_class = per_class.withColumn(
-        "f1",
-        F.when((F.col("precision") + F.col("recall")) == 0, F.lit(0.0)).otherwise(
-            2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))
-        ),
-    )
-    w = Window.partitionBy()
+    prec, rec, f1, sup = [], [], [], []
+    for i in range(len(classes)):
+        tp = F.col(f"tp{i}").cast("double")
+        p = F.coalesce(F.try_divide(tp, F.col(f"pp{i}")), F.lit(0.0))
+        r = F.coalesce(F.try_divide(tp, F.col(f"s{i}")), F.lit(0.0))
+        prec.append(p)
+        rec.append(r)
+        f1.append(F.when((p + r) == 0, F.lit(0.0)).otherwise(2 * p * r / (p + r)))
+        sup.append(F.col(f"s{i}"))
     k = len(classes)
-    summary_cols = {}
-    for m in ("precision", "recall", "f1"):
-        summary_cols[f"macro_{m}"] = F.sum(m).over(w) / k
-        summary_cols[f"weighted_{m}"] = F.sum(F.col(m) * F.col("support")).over(w) / F.col("n")
-    per_class = per_class.withColumns(summary_cols)
-    cls_rows = per_class.select("class", "precision", "recall", "f1", "support")
-    first = per_class.limit(1)
-    macro = first.select(F.lit("macro avg").alias("class"), F.col("macro_precision").alias("precision"),
-                         F.col("macro_recall").alias("recall"), F.col("macro_f1").alias("f1"),
-                         F.col("n").alias("support"))
-    weighted = first.select(F.lit("weighted avg").alias("class"), F.col("weighted_precision").alias("precision"),
-                            F.col("weighted_recall").alias("recall"), F.col("weighted_f1").alias("f1"),
-                            F.col("n").alias("support"))
-    acc = first.select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-                       F.lit(None).cast("double").alias("recall"),
-                       (F.col("correct") / F.col("n")).alias("f1"), F.col("n").alias("support"))
-    out = cls_rows.unionByName(macro).unionByName(weighted).unionByName(acc)
+    n = F.col("n")
+
+    def total(xs):
+        out = xs[0]
+        for x in xs[1:]:
+            out = out + x
+        return out
+
+    def row(name, p, r, f, s):
+        return F.struct(F.lit(name).alias("class"), p.cast("double").alias("precision"),
+                        r.cast("double").alias("recall"), f.cast("double").alias("f1"), s.alias("support"))
+
+    rows = [row(c, prec[i], rec[i], f1[i], sup[i]) for i, c in enumerate(classes)]
+    rows.append(row("macro avg", total(prec) / k, total(rec) / k, total(f1) / k, n))
+    rows.append(row("weighted avg", total([x * s for x, s in zip(prec, sup)]) / n,
+                    total([x * s for x, s in zip(rec, sup)]) / n, total([x * s for x, s in zip(f1, sup)]) / n, n))
+    rows.append(row("accuracy", F.lit(None), F.lit(None), F.col("correct") / n, n))
+    out = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     return out.select("class", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 

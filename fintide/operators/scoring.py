@@ -163,19 +163,22 @@ def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
     """
     ensure_checkpoint_dir(df.sparkSession)
     ttl = int(ttl_seconds * 1_000_000)
+    df = df.checkpoint()  # read several times below: materialise the input once, not its whole lineage
     base = df.select(F.col(key).alias("_k"), F.col(id_col).alias("_id"),
                      epoch_micros(ts_col, df.schema[ts_col].dataType).alias("_t"))
     jump = _next_miss_candidates(base, ttl).checkpoint()
     chain = base.groupBy("_k").agg(F.min(F.struct("_t", "_id")).alias("_r")).select(F.col("_r._id").alias("_id"))
     chain = chain.checkpoint()
-    frontier = chain
+    size = chain.count()
     while True:
-        step = frontier.join(jump, on="_id", how="inner").filter(F.col("_j").isNotNull())
-        new = step.select(F.col("_j").alias("_id")).checkpoint()
-        if new.isEmpty():
+        # P(i+1) = P(i) ∪ next^(2^i)(P(i)); the new ids are disjoint from P(i).
+        new = chain.join(jump, on="_id", how="inner").filter(F.col("_j").isNotNull()).select(
+            F.col("_j").alias("_id"))
+        grown = chain.unionByName(new).checkpoint()
+        grown_size = grown.count()
+        if grown_size == size:
             break
-        chain = chain.unionByName(new).checkpoint()
-        frontier = chain
+        chain, size = grown, grown_size
         nxt = jump.select(F.col("_id").alias("_mid"), F.col("_j").alias("_j2"))
         jump = (
             jump.join(nxt, jump["_j"] == nxt["_mid"], "left")

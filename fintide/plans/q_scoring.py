@@ -24,7 +24,7 @@ def keyed_requests(spark, d):
 
 def timed_requests(spark, d):
     """Every event is a scoring request by its user at its time."""
-    ev = tv.table(spark, d, "events").select("event_id", F.format_string("CLT%07d", "user_id").alias("client_id"),
+    ev = tv.table(spark, d, "events").select("event_id", tv.padded_id("CLT", F.col("user_id"), 7).alias("client_id"),
                                              "ts")
     return ev.join(keyed_requests(spark, d).select("client_id", "cache_key"), on="client_id", how="inner")
 

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fintide.sources.io import spread_small_scan
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -42,7 +44,7 @@ EVENT_CHANNEL = [("error", "API"), ("purchase", "API"), ("view", "APP"), ("click
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _lookup(col: Column, pairs) -> Column:
@@ -52,9 +54,10 @@ def _lookup(col: Column, pairs) -> Column:
     return expr
 
 
-def _id(prefix: str, col: Column, width: int) -> Column:
-    # format_string never truncates (lpad would, once keys outgrow the width).
-    return F.format_string(f"{prefix}%0{width}d", col)
+def padded_id(prefix: str, col: Column, width: int) -> Column:
+    """prefix + zero-padded number; wider numbers are kept whole (lpad alone would truncate them)."""
+    txt = col.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(txt) >= width, txt).otherwise(F.lpad(txt, width, "0")))
 
 
 def clients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +75,7 @@ def clients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         first_order, k == first_order.o_custkey, "left"
     )
     return rows.select(
-        _id("CLT", k, 7).alias("client_id"),
+        padded_id("CLT", k, 7).alias("client_id"),
         F.concat(F.lit("  "), F.upper("c_name"), F.lit(" ")).alias("name"),
         F.when(k % 11 != 0, F.concat(F.upper(F.translate("c_name", "#", ".")), F.lit("@EXAMPLE.COM ")))
         .alias("email"),
@@ -121,7 +124,7 @@ def holdings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.concat(F.lit("PRT"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("portfolio_id"),
-        F.when(F.col("l_orderkey") % 101 != 0, _id("CLT", F.col("o_custkey"), 7)).alias("client_id"),
+        F.when(F.col("l_orderkey") % 101 != 0, padded_id("CLT", F.col("o_custkey"), 7)).alias("client_id"),
         F.col("l_partkey").cast("string").alias("fund_id"),
         _lookup(F.substring_index("p_type", " ", 1), PART_TYPE_FUND).alias("fund_type"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("invested_amt"),
@@ -140,7 +143,7 @@ def holdings_priced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.concat(F.lit("PRT"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("portfolio_id"),
-        _id("CLT", F.col("o_custkey"), 7).alias("client_id"),
+        padded_id("CLT", F.col("o_custkey"), 7).alias("client_id"),
         F.col("p_brand").alias("fund_name"),
         F.col("l_quantity").alias("units"),
         F.col("o_orderdate").cast("date").alias("buy_date"),
@@ -152,8 +155,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     et = F.col("event_type")
     return ev.select(
-        _id("TXN", F.col("event_id"), 7).alias("txn_id"),
-        _id("CLT", F.col("user_id"), 7).alias("client_id"),
+        padded_id("TXN", F.col("event_id"), 7).alias("txn_id"),
+        padded_id("CLT", F.col("user_id"), 7).alias("client_id"),
         F.concat(F.lit("Brand#"), (F.lit(1) + F.col("event_id") % 25).cast("string")).alias("fund_name"),
         _lookup(et, EVENT_TXN_TYPE).alias("txn_type"),
         (F.col("value").cast("decimal(18,2)") * 10000).cast("decimal(18,2)").alias("amount"),
@@ -183,7 +186,7 @@ def funds(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     return part.select(
         F.col("p_partkey").cast("string").alias("fund_id"),
-        _id("FND", F.col("p_partkey"), 6).alias("fund_code"),
+        padded_id("FND", F.col("p_partkey"), 6).alias("fund_code"),
         F.col("p_brand").alias("fund_name"),
         F.initcap(F.substring_index("p_type", " ", 1)).alias("category"),
     )
