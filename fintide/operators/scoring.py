@@ -189,6 +189,21 @@ def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
     return df.join(misses, on=id_col, how="left").withColumn("from_cache", F.col("_miss").isNull()).drop("_miss")
 
 
+def cache_lookup(requests: DataFrame, store: DataFrame, key: str, ts_col: str, stored_col: str,
+                 value_cols: Sequence[str], ttl_seconds: int = C.CACHE_TTL_SECONDS) -> DataFrame:
+    """Requests against a table of stored predictions: the latest entry of the key stored at or
+    before the request is a hit while it is younger than the TTL; otherwise the request misses.
+
+    An as-of join (per key and time chunk, no per-key gathering) followed by the age test.
+    """
+    from fintide.operators.timeseries import asof_join
+
+    found = asof_join(requests, store.select(key, stored_col, *value_cols), [key], ts_col, stored_col,
+                      list(value_cols))
+    age_ok = F.col(ts_col) < F.col(stored_col) + F.make_dt_interval(secs=F.lit(ttl_seconds))
+    return found.withColumn("from_cache", F.coalesce(age_ok, F.lit(False)))
+
+
 def hit_rate(df: DataFrame, flag: str = "from_cache", digits: int = 4) -> DataFrame:
     """requests, hits, misses, hit_rate in one aggregate."""
     return df.agg(

@@ -91,3 +91,20 @@ def scored_with_reuse(spark, d):
     timed = timed_requests(spark, d).join(keyed.drop("client_id"), on="cache_key", how="inner")
     return S.score_distinct(model, timed).select("event_id", "client_id", "cache_key", "risk_profile",
                                                  "confidence")
+
+
+@register("cache_lookup", with_views(f"""
+SELECT r.event_id, r.cache_key, r.ts, s.stored_at,
+       coalesce(r.ts < s.stored_at + INTERVAL {C.CACHE_TTL_SECONDS} SECOND, false) AS from_cache
+FROM timed_requests r
+ASOF LEFT JOIN (SELECT cache_key, date_trunc('day', min(ts)) + INTERVAL 12 HOUR AS stored_at
+                FROM timed_requests GROUP BY cache_key) s
+  ON r.cache_key = s.cache_key AND r.ts >= s.stored_at""", "timed_requests"))
+def cache_lookup(spark, d):
+    """Each key's prediction stored once, at noon of its first request day; requests look it up."""
+    reqs = timed_requests(spark, d).checkpoint()  # read by both join sides: materialise once
+    store = reqs.groupBy("cache_key").agg(
+        (F.date_trunc("day", F.min("ts")).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(12)))
+        .alias("stored_at"))
+    return S.cache_lookup(reqs, store, "cache_key", "ts", "stored_at", []).select(
+        "event_id", "cache_key", "ts", "stored_at", "from_cache")

@@ -64,6 +64,12 @@ def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, null_
     )
 
 
+def read_csv_inferred(spark: SparkSession, path: str, null_value: str = "") -> DataFrame:
+    """CSV with a header and an inferred schema (one extra pass over the data; prefer a declared schema)."""
+    return (spark.read.option("header", True).option("inferSchema", True).option("nullValue", null_value)
+            .csv(path))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, values written verbatim (no whitespace trimming), NULL as empty."""
     (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
