@@ -4,9 +4,9 @@ Scale notes
 -----------
 * ``F.median`` / ``percentile`` buffers every distinct value of a group in one
   task.  ``exact_medians`` instead brackets the middle ranks with
-  ``percentile_approx`` (a bounded sketch), counts below the bracket, and sorts
-  only the rows inside the bracket with a distributed range sort.  The driver
-  sees scalars only.
+  ``percentile_approx`` (a bounded sketch), counts below the bracket, narrows
+  until the bracket holds at most ``max_rows`` rows, and sorts only those.
+  The driver sees scalars only.
 * A per-class ``row_number`` window would put a whole class (possibly a third
   of the table) in one task.  ``rank_within`` ranks after a range
   repartition, so a hot group is spread over many tasks, and stitches the
@@ -54,50 +54,60 @@ def training_features(summary: DataFrame, clients: DataFrame,
 # ---------------------------------------------------------------- medians
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> dict[str, float | None]:
-    """Exact median (mean of the two middle values for even counts) of each column.
+def _order_stat_bracket(x: DataFrame, k1: int, k2: int, n: int, accuracy: int, max_rows: int):
+    """Narrow [lo, hi] around the 0-based ranks k1..k2 of column ``x`` until ≤ max_rows rows remain.
 
-    Two aggregate passes over the table plus, per column, a distributed sort of
-    the few rows between the approximate bounds of the middle ranks.
+    Returns (sub, offset) where ``sub`` holds the bracket rows and ranks k1..k2
+    sit at positions offset..offset+(k2-k1) of ``sub`` in ascending order, or
+    (value, None) when the bracket collapsed to a single value.
     """
-    spark = df.sparkSession
+    lo = hi = None
+    below, inside = 0, n
     eps = 2.0 / accuracy
-    first = df.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-        *[F.percentile_approx(F.col(c).cast("double"), [0.5 - eps, 0.5 + eps], accuracy).alias(f"q_{i}")
-          for i, c in enumerate(cols)],
-    ).first()
-    plan = {}
+    while True:
+        sub = x if lo is None else x.where((F.col("x") >= lo) & (F.col("x") <= hi))
+        if inside <= max_rows:
+            return sub, k1 - below
+        q1 = max(0.0, (k1 - below) / inside - eps)
+        q2 = min(1.0, (k2 - below) / inside + eps)
+        nlo, nhi = sub.agg(F.percentile_approx("x", [q1, q2], accuracy).alias("q")).first()["q"]
+        c = sub.agg(F.count_if(F.col("x") < nlo).alias("b"), F.count_if(F.col("x") <= nhi).alias("u")).first()
+        if below + c["b"] <= k1 and below + c["u"] > k2:
+            if nlo == nhi:
+                return nlo, None  # every middle rank holds this one value
+            lo, hi, below, inside = nlo, nhi, below + c["b"], c["u"] - c["b"]
+        else:  # the sketch is probabilistic: widen and retry on the same bracket
+            eps *= 4
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
+                  max_rows: int = 1_000_000) -> dict[str, float | None]:
+    """Exact median (interpolated halfway between the two middle values for even counts) per column.
+
+    Each column's middle ranks are bracketed with ``percentile_approx`` (a
+    bounded sketch) and counted; brackets shrink by about ``accuracy`` per pass
+    until at most ``max_rows`` rows remain, which a distributed sort orders to
+    read off the one or two middle values.  Nothing is buffered per distinct
+    value, and the driver sees scalars only.
+    """
+    # Several passes follow: read the needed columns from one materialised copy, not the lineage.
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).checkpoint()
+    counts = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)]).first()
+    out: dict[str, float | None] = {}
     for i, c in enumerate(cols):
-        n = first[f"n_{i}"]
+        n = counts[f"n_{i}"]
         if not n:
-            plan[c] = None
+            out[c] = None
+            continue
+        k1, k2 = (n - 1) // 2, n // 2
+        x = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
+        sub, offset = _order_stat_bracket(x, k1, k2, n, accuracy, max_rows)
+        if offset is None:
+            out[c] = float(sub)
             continue
-        lo, hi = first[f"q_{i}"]
-        plan[c] = (n, lo, hi)
-    live = [c for c in cols if plan[c] is not None]
-    if not live:
-        return {c: None for c in cols}
-    second = df.agg(
-        *[F.count_if(F.col(c).cast("double") < plan[c][1]).alias(f"below_{i}") for i, c in enumerate(live)],
-        *[F.count_if(F.col(c).cast("double") <= plan[c][2]).alias(f"upto_{i}") for i, c in enumerate(live)],
-    ).first()
-    out: dict[str, float | None] = {c: None for c in cols}
-    for i, c in enumerate(live):
-        n, lo, hi = plan[c]
-        k1, k2 = (n - 1) // 2, n // 2  # 0-based middle ranks
-        below, upto = second[f"below_{i}"], second[f"upto_{i}"]
-        x = F.col(c).cast("double")
-        if below <= k1 and upto > k2:
-            cand = df.select(x.alias("x")).where((x >= lo) & (x <= hi))
-            offset = k1 - below
-        else:  # the sketch missed (it is only probabilistic): fall back to the full column
-            cand = df.select(x.alias("x")).where(x.isNotNull())
-            offset = k1
-        vals = [r["x"] for r in cand.orderBy("x").offset(offset).limit(k2 - k1 + 1).collect()]
+        vals = [r["x"] for r in sub.orderBy("x").offset(offset).limit(k2 - k1 + 1).collect()]
         lo_v, hi_v = vals[0], vals[-1]
         out[c] = lo_v + (hi_v - lo_v) * 0.5
-    del spark
     return out
 
 

@@ -13,22 +13,19 @@ from pyspark.sql import types as T
 
 
 def spread_small_scan(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores, if it is big enough to matter.
+    """Round-robin a scan of fewer files than the cluster has cores, if it is big enough to matter.
 
     A file written as one Parquet row group is one split whatever its size, so
-    all downstream narrow work would run in one task.  On a large table laid
-    out in many row groups/files the scan already has more splits than cores
-    and this returns the frame unchanged (no shuffle is added).  Filters and
-    column pruning still reach the scan (they push through a repartition).
+    all downstream narrow work would run in one task.  A large table laid out
+    in many files already has more splits than cores and is returned unchanged
+    (no shuffle is added).  Filters and column pruning still reach the scan
+    (they push through a repartition).
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     size = raw if isinstance(raw, int) else int(raw.toString())
-    if size < min_bytes:
-        return df
-    parts = df.rdd.getNumPartitions()
-    if parts >= cores:
+    if size < min_bytes or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(min(cores, max(2, size // (1 << 20))))
 

@@ -59,3 +59,13 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)] * 1, "y string")
     w = {r.y: r.weight for r in class_weights(df, "y").collect()}
     assert w == {"a": 10 / (3 * 6), "b": 10 / (3 * 3), "c": 10 / (3 * 1)}
+
+
+def test_exact_median_refines_small_brackets(spark):
+    # max_rows=10 forces several refinement passes; ties and an even count included.
+    xs = [float(i % 37) for i in range(2000)] + [1000.0] * 7
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    assert exact_medians(df, ["x"], accuracy=100, max_rows=10)["x"] == float(np.median(xs))
+    ys = [float(i) for i in range(1001)]
+    df2 = spark.createDataFrame([(y,) for y in ys], "x double")
+    assert exact_medians(df2, ["x"], accuracy=100, max_rows=10)["x"] == 500.0
