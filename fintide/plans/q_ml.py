@@ -11,6 +11,7 @@ from fintide.operators import model as ML
 from fintide.plans import views as V
 from fintide.plans.catalog import register
 from fintide.plans.oracle_views import rnd, with_views
+from fintide.session import app_id
 
 FEATURE_TABLE_COLS = ("client_id, equity_pct, debt_pct, gold_pct, total_num_funds, years_invested, aum_lakh, "
                       "age_group_encoded, target")
@@ -145,7 +146,7 @@ _MODELS: dict[tuple[str, str], tuple] = {}
 
 def trained(spark, d):
     """Fit once per (application, tables): the split, the model, and the held-out predictions."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (app_id(spark), d)
     if key not in _MODELS:
         filled, _ = FE.impute_median(V.features(spark, d), C.FEATURE_COLS)
         split = FE.stratified_split(filled, "client_id", "target", C.TEST_SIZE, C.SEED).checkpoint()

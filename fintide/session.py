@@ -40,18 +40,31 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing a local one only if none is configured."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; checkpoint() uses spark.checkpoint.dir
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
     if not conf_dir:
         # Local/test fallback only: a cluster names a shared folder in spark.checkpoint.dir.
         conf_dir = tempfile.mkdtemp(prefix="fintide-ckpt-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if sc is None:
+        return conf_dir.rstrip("/")
     sc.setCheckpointDir(conf_dir)
     # setCheckpointDir adds a per-application sub-folder; return what Spark uses.
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.app.id", "connect")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)
