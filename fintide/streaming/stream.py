@@ -37,9 +37,22 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return reader.parquet(path)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def prefer_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, spills to local disk, checkpointed) unless the
+    session already chose a provider; the default in-heap store grows with the number of keys."""
+    current = spark.conf.get(STATE_PROVIDER, None)
+    if current is None or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_PROVIDER, ROCKSDB)
+
+
 def run_available(df: DataFrame, out_path: str, checkpoint: str, timeout_s: int = 600,
                   output_mode: str = "append") -> None:
     """Run a streaming frame to an append Parquet sink until all available input is processed."""
+    prefer_rocksdb_state(df.sparkSession)
     q = (df.writeStream.format("parquet").outputMode(output_mode).option("checkpointLocation", checkpoint)
          .option("path", out_path).trigger(availableNow=True).start())
     try:
