@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_SPREAD: dict[tuple[str, tuple[str, ...]], int] = {}
+
+
 def spread_small_scan(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
     """Round-robin a scan of fewer files than the cluster has cores, if it is big enough to matter.
 
@@ -19,17 +22,22 @@ def spread_small_scan(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
     all downstream narrow work would run in one task.  A large table laid out
     in many files already has more splits than cores and is returned unchanged
     (no shuffle is added).  Filters and column pruning still reach the scan
-    (they push through a repartition).
+    (they push through a repartition).  The decision is made once per input
+    (file listing + size statistics) and remembered for the session.
     """
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = raw if isinstance(raw, int) else int(raw.toString())
+        sc = df.sparkSession.sparkContext
+        files = tuple(sorted(df.inputFiles()))
+        key = (sc.applicationId, files)
+        if key not in _SPREAD:
+            cores = sc.defaultParallelism
+            raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+            size = raw if isinstance(raw, int) else int(raw.toString())
+            big_and_few = size >= min_bytes and len(files) < cores
+            _SPREAD[key] = min(cores, max(2, size // (1 << 20))) if big_and_few else 0
     except Exception:  # Spark Connect exposes neither; leave the scan as it is
         return df
-    if size < min_bytes or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(min(cores, max(2, size // (1 << 20))))
+    return df.repartition(_SPREAD[key]) if _SPREAD[key] else df
 
 
 class HeaderMismatch(ValueError):

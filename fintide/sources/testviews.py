@@ -43,8 +43,16 @@ EVENT_CHANNEL = [("error", "API"), ("purchase", "API"), ("view", "APP"), ("click
                  ("signup", "ADVISOR")]
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """Scan of one test table (read-only input: one lazy scan per table is reused within a session)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spread_small_scan(spark.read.parquet(path))
+    return _SCANS[key]
 
 
 def _lookup(col: Column, pairs) -> Column:

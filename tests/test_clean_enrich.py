@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from fintide import config as C
 from fintide.operators.clean import client_rules, clean_clients, reconcile
@@ -64,4 +63,3 @@ def test_reconcile_counts_each_rule(spark):
     assert (r.raw_rows, r.clean_rows, r.removed_rows) == (5, 1, 4)
     assert (r.failed_client_id_present, r.failed_aum_positive, r.failed_age_in_range) == (1, 2, 2)
     assert clean_clients(df).count() == r.clean_rows
-    assert F is not None

@@ -3,7 +3,6 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from fintide import config as C
 from fintide.operators.scoring import (cache_hits, encode_requests, hit_rate, request_key, split_valid,
@@ -82,4 +81,3 @@ def test_hit_rate(spark):
     df = spark.createDataFrame([(True,), (True,), (False,), (True,)], "from_cache boolean")
     r = hit_rate(df).first()
     assert (r.requests, r.hits, r.misses, r.hit_rate) == (4, 3, 1, 0.75)
-    assert F is not None
