@@ -112,13 +112,16 @@ def epoch_micros(c: str | Column, dtype: T.DataType) -> Column:
     return F.unix_micros(x.cast("timestamp"))
 
 
-def _next_miss_candidates(base: DataFrame, ttl: int) -> DataFrame:
-    """For every request r: the first request s of the same key with t_s ≥ t_r + ttl, by (t, id).
+def _next_miss_candidates(base: DataFrame, ttl: int) -> tuple[DataFrame, DataFrame]:
+    """Per request r: ``_j`` = the first request s of the same key with t_s ≥ t_r + ttl, by (t, id);
+    and the set of *reset* requests (first of their key, or ≥ one TTL after the previous one).
 
     Time is cut into buckets of one TTL.  A probe at t_r + ttl lands in the
     bucket after r's; the answer is either in that bucket (a window over one
     (key, bucket) partition) or it is the first request of the first non-empty
-    bucket beyond it (a window over one row per non-empty bucket).
+    bucket beyond it.  Only a bucket's first request can be a reset, decided
+    from the previous non-empty bucket's last time.  Both use a table of one
+    row per non-empty (key, bucket), bounded by the time span, not the rows.
     """
     b = F.floor(F.col("_t") / ttl)
     targets = base.select("_k", "_t", F.lit(1).alias("_kind"), F.col("_id").alias("_tid"),
@@ -132,32 +135,38 @@ def _next_miss_candidates(base: DataFrame, ttl: int) -> DataFrame:
         .filter(F.col("_kind") == 0)
         .select("_k", F.col("_src").alias("_id"), (F.col("_b") - 1).alias("_rb"), "_hit")
     )
-    # One row per non-empty bucket: its first request; then the next two non-empty buckets.
-    firsts = base.groupBy("_k", b.alias("_bb")).agg(F.min(F.struct("_t", "_id")).alias("_f"))
+    buckets = base.groupBy("_k", b.alias("_bb")).agg(F.min(F.struct("_t", "_id")).alias("_f"),
+                                                     F.max("_t").alias("_last"))
     wb = Window.partitionBy("_k").orderBy("_bb")
-    fallback = firsts.select(
-        "_k", F.col("_bb").alias("_rb"),
+    summary = buckets.select(
+        "_k", "_bb", "_f",
         F.when(F.lead("_bb", 1).over(wb) == F.col("_bb") + 1, F.lead("_f", 2).over(wb))
         .otherwise(F.lead("_f", 1).over(wb))["_id"].alias("_fb"),
+        (F.lag("_bb").over(wb).isNull() | (F.lag("_bb").over(wb) < F.col("_bb") - 1)
+         | (F.col("_f._t") - F.lag("_last").over(wb) >= ttl)).alias("_reset"),
     )
-    return (
-        in_bucket.join(fallback, on=["_k", "_rb"], how="left")
-        .select("_id", F.coalesce("_hit", "_fb").alias("_j"))
-    )
+    fallback = summary.select("_k", F.col("_bb").alias("_rb"), "_fb")
+    nxt = (in_bucket.join(fallback, on=["_k", "_rb"], how="left")
+           .select("_id", F.coalesce("_hit", "_fb").alias("_j")))
+    resets = summary.filter("_reset").select(F.col("_f._id").alias("_id"))
+    return nxt, resets
 
 
 def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
                ttl_seconds: int = C.CACHE_TTL_SECONDS) -> DataFrame:
     """Replay a TTL cache: adds ``from_cache`` (False for the request that filled the entry).
 
-    The misses of a key form a chain: the first request, then repeatedly the
-    first request at least one TTL after the previous miss (``next``).  We
-    compute ``next`` for every request with windows bounded by one TTL of time,
-    then walk all chains at once by pointer doubling: round i extends the known
-    prefix of every chain by ``next^(2^i)`` and squares the jump table.  Rounds
-    = log2(longest chain); each round is two joins on unique request ids, and
-    each intermediate is checkpointed to the shared checkpoint folder, so
-    lineage stays short and a lost executor costs one round at most.
+    The misses of a key form a chain: repeatedly, the first request at least
+    one TTL after the previous miss (``next``).  A request one TTL or more after
+    its key's previous request is a miss whatever came before (a *reset*), so
+    chains start at resets and stop before the next reset: disjoint segments.
+    ``next`` is computed with windows bounded by one TTL of time; then all
+    segments are walked at once by pointer doubling — round i extends each
+    known prefix by ``next^(2^i)`` and squares the jump table — so rounds =
+    log2(longest run of misses between resets), each two joins on unique ids.
+    Intermediates are checkpointed to the shared checkpoint folder, so lineage
+    stays short and a lost executor costs one round at most.  No key's
+    requests are ever gathered into one task.
 
     ``id_col`` must identify requests uniquely; ties in time are ordered by it.
     """
@@ -166,12 +175,16 @@ def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
     df = df.checkpoint()  # read several times below: materialise the input once, not its whole lineage
     base = df.select(F.col(key).alias("_k"), F.col(id_col).alias("_id"),
                      epoch_micros(ts_col, df.schema[ts_col].dataType).alias("_t"))
-    jump = _next_miss_candidates(base, ttl).checkpoint()
-    chain = base.groupBy("_k").agg(F.min(F.struct("_t", "_id")).alias("_r")).select(F.col("_r._id").alias("_id"))
-    chain = chain.checkpoint()
-    size = chain.count()
+    nxt, resets = _next_miss_candidates(base, ttl)
+    resets = resets.checkpoint()
+    # A jump into a reset point ends the segment (that reset starts its own chain).
+    stop = resets.select(F.col("_id").alias("_j"), F.lit(True).alias("_stop"))
+    jump = (nxt.join(stop, on="_j", how="left")
+            .select("_id", F.when(F.col("_stop").isNull(), F.col("_j")).alias("_j"))
+            .checkpoint())
+    chain, size = resets, resets.count()
     while True:
-        # P(i+1) = P(i) ∪ next^(2^i)(P(i)); the new ids are disjoint from P(i).
+        # P(i+1) = P(i) ∪ next^(2^i)(P(i)); within disjoint segments the new ids are not in P(i).
         new = chain.join(jump, on="_id", how="inner").filter(F.col("_j").isNotNull()).select(
             F.col("_j").alias("_id"))
         grown = chain.unionByName(new).checkpoint()
@@ -179,9 +192,9 @@ def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
         if grown_size == size:
             break
         chain, size = grown, grown_size
-        nxt = jump.select(F.col("_id").alias("_mid"), F.col("_j").alias("_j2"))
+        sq = jump.select(F.col("_id").alias("_mid"), F.col("_j").alias("_j2"))
         jump = (
-            jump.join(nxt, jump["_j"] == nxt["_mid"], "left")
+            jump.join(sq, jump["_j"] == sq["_mid"], "left")
             .select("_id", F.col("_j2").alias("_j"))
             .checkpoint()
         )
