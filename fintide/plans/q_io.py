@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from fintide import config as C
 from fintide.operators import model as ML
+from fintide.operators.features import training_features
+from fintide.operators.portfolio import summarise_holdings
 from fintide.operators import metrics as M
 from fintide.plans import views as V
 from fintide.plans.catalog import register
@@ -67,3 +69,19 @@ def run_record_roundtrip(spark, d):
     runs = work_path(spark, "runs")
     io.write_records(ML.run_record(spark, model_path.rsplit("-", 1)[-1], params, metrics), runs)
     return io.read_records(spark, runs, ML.RUN_SCHEMA)
+
+
+@register("bucketed_features", with_views(f"SELECT {FEATURE_TABLE_COLS} FROM training_features",
+                                          "training_features"))
+def bucketed_features(spark, d):
+    """Clients and the holdings roll-up land as tables bucketed by client_id; the feature join
+    then reads both bucket-aligned and needs no exchange."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    clients_path, summary_path = work_path(spark, "clients_b"), work_path(spark, "summary_b")
+    suffix = clients_path.rsplit("-", 1)[-1]
+    spark.sql("CREATE DATABASE IF NOT EXISTS wealth")
+    clients = io.write_bucketed(V.clients_enriched(spark, d), f"wealth.clients_b_{suffix}", clients_path,
+                                "client_id", n)
+    summary = io.write_bucketed(summarise_holdings(V.holdings_clean(spark, d), as_of=C.FIXTURE_AS_OF),
+                                f"wealth.summary_b_{suffix}", summary_path, "client_id", n)
+    return training_features(spark.table(summary), spark.table(clients))

@@ -37,3 +37,24 @@ def test_sql_table_over_files(spark):
     name = io.register_table(spark, "wealth_test", "portfolios", path, "test")
     assert spark.table(name).count() == n
     assert "risk_profile" in spark.table(name).columns
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from fintide.operators.features import training_features
+    from fintide.operators.portfolio import summarise_holdings
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS wealth_test")
+    c = io.write_bucketed(V.clients_enriched(spark, SF_SMALL), "wealth_test.clients_b", work_path(spark, "cb"),
+                          "client_id", 4)
+    s = io.write_bucketed(summarise_holdings(V.holdings_clean(spark, SF_SMALL)), "wealth_test.summary_b",
+                          work_path(spark, "sb"), "client_id", 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the large-table case
+    try:
+        df = training_features(spark.table(s), spark.table(c))
+        qe = df._jdf.queryExecution()
+        qe.toRdd().count()
+        plan = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
