@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fintide.session import app_id
 from fintide.sources.io import spread_small_scan
 
 TABLES = (
@@ -43,13 +44,13 @@ EVENT_CHANNEL = [("error", "API"), ("purchase", "API"), ("view", "APP"), ("click
                  ("signup", "ADVISOR")]
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one test table (read-only input: one lazy scan per table is reused within a session)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (app_id(spark), path)
     if key not in _SCANS:
         _SCANS[key] = spread_small_scan(spark.read.parquet(path))
     return _SCANS[key]
