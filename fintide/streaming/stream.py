@@ -24,9 +24,19 @@ from fintide.session import work_path
 
 
 def stage_files(df: DataFrame, path: str, files: int = 4, order_by: str | None = None) -> str:
-    """Materialise a frame as Parquet files a file-stream source can pick up (time-ordered if asked)."""
-    out = df.repartitionByRange(files, order_by) if order_by else df.repartition(files)
-    out.write.mode("overwrite").parquet(path)
+    """Materialise a frame as Parquet files a file-stream source can pick up.
+
+    With ``order_by`` the files arrive in that order: the source orders files by
+    modification time, so each range is appended by its own write, one after
+    another (parallel part files of one write would share a timestamp).
+    """
+    if not order_by:
+        df.repartition(files).write.mode("overwrite").parquet(path)
+        return path
+    ranged = df.repartitionByRange(files, order_by).withColumn("_slice", F.spark_partition_id()).checkpoint()
+    for i in range(files):
+        part = ranged.filter(F.col("_slice") == i).drop("_slice")
+        part.coalesce(1).write.mode("overwrite" if i == 0 else "append").parquet(path)
     return path
 
 
@@ -112,8 +122,12 @@ def _cache_fold(ttl_us: int):
             if not hit:
                 expiry = t + ttl_us
             hits.append(hit)
-        state.update((int(expiry),))
-        state.setTimeoutTimestamp(int(expiry // 1000))  # event-time ms; state dropped once expired
+        expiry_ms = int(expiry // 1000)
+        if expiry_ms <= state.getCurrentWatermarkMs():
+            state.remove()  # already lapsed in event time: any later request of the key misses anyway
+        else:
+            state.update((int(expiry),))
+            state.setTimeoutTimestamp(expiry_ms)  # dropped once the watermark passes the expiry
         yield pd.DataFrame({"event_id": rows["event_id"].astype("int64"), "cache_key": key[0],
                             "t_us": rows["t_us"].astype("int64"), "from_cache": hits})
 

@@ -19,3 +19,14 @@ def test_stream_cache_equals_batch_replay(spark):
     assert g.count() == w.count() > 0
     assert g.exceptAll(w).count() == 0
     assert want.filter(F.col("from_cache")).count() > 0
+
+
+def test_stream_cache_state_across_batches(spark):
+    # One time-ordered file per micro-batch: state carries over, and entries expire behind the watermark.
+    reqs = timed_requests(spark, SF_SMALL).select("event_id", "cache_key", "ts")
+    src = ST.stage_files(reqs, work_path(spark, "cache_in_multi"), files=4, order_by="ts")
+    stream = ST.read_stream(spark, src, reqs.schema, max_files=1)
+    got = ST.run_to_table(spark, ST.stream_cache(stream), "cache_stream_multi").select("event_id", "from_cache")
+    want = cache_hits(reqs, "cache_key", "ts", "event_id").select("event_id", "from_cache")
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
