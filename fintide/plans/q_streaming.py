@@ -21,8 +21,8 @@ HAVING date_trunc('hour', txn_ts) + INTERVAL 1 HOUR <= (SELECT max(txn_ts) FROM
 """, "transactions", extra=[("flagged", _RULES_SQL)]))
 def stream_transaction_monitor(spark, d):
     """Transactions arrive as files; hourly per-client windows are emitted once the watermark closes them."""
-    src = ST.stage_files(tv.transactions(spark, d), work_path(spark, "txn_stream_in"), order_by="txn_ts")
-    stream = ST.read_stream(spark, src, tv.transactions(spark, d).schema)
+    src = ST.stage_files(tv.transactions(spark, d), work_path(spark, "txn_stream_in"), files=4, order_by="txn_ts")
+    stream = ST.read_stream(spark, src, tv.transactions(spark, d).schema, max_files=1)  # 4 micro-batches
     return ST.run_to_table(spark, ST.stream_monitor(stream), "txn_monitor")
 
 
