@@ -40,6 +40,12 @@ def spread_small_scan(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
     return df.repartition(_SPREAD[key]) if _SPREAD[key] else df
 
 
+def lake_format(spark: SparkSession) -> str:
+    """``delta`` when the session is configured with the Delta extension, otherwise ``parquet``."""
+    extensions = spark.conf.get("spark.sql.extensions", "") or ""
+    return "delta" if "DeltaSparkSessionExtension" in extensions else "parquet"
+
+
 class HeaderMismatch(ValueError):
     """The CSV header does not name the declared schema's columns in order."""
 
@@ -83,12 +89,13 @@ def write_csv(df: DataFrame, path: str) -> None:
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def write_lake(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet",
+def write_lake(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str | None = None,
                name: str = "lake_write") -> int:
     """Overwrite a (partitioned) table, replacing its schema; returns the rows written.
 
     The row count is observed during the write itself (no second pass).
     """
+    fmt = fmt or lake_format(df.sparkSession)
     obs = Observation(name)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
@@ -98,15 +105,15 @@ def write_lake(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return int(obs.get["rows"])
 
 
-def read_lake(spark: SparkSession, path: str, fmt: str = "parquet", base_path: str | None = None) -> DataFrame:
+def read_lake(spark: SparkSession, path: str, fmt: str | None = None, base_path: str | None = None) -> DataFrame:
     """Read a lake table; Parquet directories recover partition columns from ``key=value`` folders."""
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt or lake_format(spark))
     if base_path:
         reader = reader.option("basePath", base_path)
     return reader.load(path)
 
 
-def read_back(spark: SparkSession, path: str, expected_rows: int, fmt: str = "parquet") -> DataFrame:
+def read_back(spark: SparkSession, path: str, expected_rows: int, fmt: str | None = None) -> DataFrame:
     """Re-read a written table and fail if its row count differs from what was written."""
     df = read_lake(spark, path, fmt)
     n = df.count()
