@@ -14,6 +14,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: ~60% of physical memory, between 1 and 16 GiB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gib = int(total * 0.6) >> 30
+    return f"{min(16, max(1, gib))}g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "fintide") -> SparkSession:
     """A session for tests, bench and local runs (cluster jobs get theirs from spark-submit)."""
@@ -29,7 +39,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("FINTIDE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("FINTIDE_DRIVER_MEMORY", _default_driver_memory()))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
