@@ -22,7 +22,15 @@ def register(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryF
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        def fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # A new Dataset each call: shared view objects must not hand back a finished
+            # execution (and its shuffle files) to a later run of the same query.
+            return fn(spark, sf_dir).select("*")
+
+        fresh.__name__ = fn.__name__
+        fresh.__doc__ = fn.__doc__
+        QUERIES[name] = fresh
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
