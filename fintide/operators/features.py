@@ -54,12 +54,25 @@ def training_features(summary: DataFrame, clients: DataFrame,
 # ---------------------------------------------------------------- medians
 
 
+def _values_at_ranks(sub: DataFrame, ranks: Sequence[int]) -> list[float]:
+    """Values at 0-based ``ranks`` of ``sub.x`` from its per-value histogram (few distinct values)."""
+    hist = sub.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
+    cum = hist.select("x", (upto - F.col("c")).alias("lo_rank"), upto.alias("hi_rank"))
+    out = []
+    for r in ranks:
+        row = cum.filter((F.col("lo_rank") <= r) & (F.col("hi_rank") > r)).select("x").first()
+        out.append(row["x"])
+    return out
+
+
 def _order_stat_bracket(x: DataFrame, k1: int, k2: int, n: int, accuracy: int, max_rows: int):
     """Narrow [lo, hi] around the 0-based ranks k1..k2 of column ``x`` until ≤ max_rows rows remain.
 
-    Returns (sub, offset) where ``sub`` holds the bracket rows and ranks k1..k2
-    sit at positions offset..offset+(k2-k1) of ``sub`` in ascending order, or
-    (value, None) when the bracket collapsed to a single value.
+    Returns ("sort", sub, offset): ranks k1..k2 sit at positions offset.. of ``sub``
+    in ascending order; or ("values", [v1, v2], None) when the answer was read
+    off directly (a single value, or a bracket of heavy ties the sketch cannot
+    split, resolved from its small per-value histogram).
     """
     lo = hi = None
     below, inside = 0, n
@@ -67,15 +80,20 @@ def _order_stat_bracket(x: DataFrame, k1: int, k2: int, n: int, accuracy: int, m
     while True:
         sub = x if lo is None else x.where((F.col("x") >= lo) & (F.col("x") <= hi))
         if inside <= max_rows:
-            return sub, k1 - below
+            return "sort", sub, k1 - below
         q1 = max(0.0, (k1 - below) / inside - eps)
         q2 = min(1.0, (k2 - below) / inside + eps)
         nlo, nhi = sub.agg(F.percentile_approx("x", [q1, q2], accuracy).alias("q")).first()["q"]
         c = sub.agg(F.count_if(F.col("x") < nlo).alias("b"), F.count_if(F.col("x") <= nhi).alias("u")).first()
         if below + c["b"] <= k1 and below + c["u"] > k2:
             if nlo == nhi:
-                return nlo, None  # every middle rank holds this one value
+                return "values", [nlo, nhi], None  # every middle rank holds this one value
+            if (nlo, nhi) == (lo, hi):
+                # No progress: the bracket is made of a few heavily repeated values.
+                return "values", _values_at_ranks(sub, [k1 - below, k2 - below]), None
             lo, hi, below, inside = nlo, nhi, below + c["b"], c["u"] - c["b"]
+        elif eps >= 1.0:
+            return "values", _values_at_ranks(sub, [k1 - below, k2 - below]), None
         else:  # the sketch is probabilistic: widen and retry on the same bracket
             eps *= 4
 
@@ -101,11 +119,11 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
             continue
         k1, k2 = (n - 1) // 2, n // 2
         x = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-        sub, offset = _order_stat_bracket(x, k1, k2, n, accuracy, max_rows)
-        if offset is None:
-            out[c] = float(sub)
-            continue
-        vals = [r["x"] for r in sub.orderBy("x").offset(offset).limit(k2 - k1 + 1).collect()]
+        kind, sub, offset = _order_stat_bracket(x, k1, k2, n, accuracy, max_rows)
+        if kind == "values":
+            vals = sub
+        else:
+            vals = [r["x"] for r in sub.orderBy("x").offset(offset).limit(k2 - k1 + 1).collect()]
         lo_v, hi_v = vals[0], vals[-1]
         out[c] = lo_v + (hi_v - lo_v) * 0.5
     return out

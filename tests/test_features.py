@@ -69,3 +69,13 @@ def test_exact_median_refines_small_brackets(spark):
     ys = [float(i) for i in range(1001)]
     df2 = spark.createDataFrame([(y,) for y in ys], "x double")
     assert exact_medians(df2, ["x"], accuracy=100, max_rows=10)["x"] == 500.0
+
+
+def test_exact_median_heavy_ties_terminate(spark):
+    # Half zeros, half ones: the sketch cannot split the bracket; the histogram path resolves it.
+    xs = [0.0] * 500 + [1.0] * 500
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    assert exact_medians(df, ["x"], accuracy=100, max_rows=10)["x"] == 0.5
+    ys = [0.0] * 300 + [1.0] * 400 + [2.0] * 301
+    df2 = spark.createDataFrame([(y,) for y in ys], "x double")
+    assert exact_medians(df2, ["x"], accuracy=100, max_rows=10)["x"] == float(np.median(ys))
