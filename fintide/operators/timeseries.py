@@ -4,7 +4,9 @@ Windows keyed only by fund would put a whole fund's history in one task (and a
 few funds in total means a few tasks).  Both ``lag_chunked`` and
 ``asof_join`` therefore window over (key, time chunk) and stitch chunk
 boundaries with a summary of one row per (key, chunk), which is bounded by the
-time span, not by the row count.
+time span, not by the row count.  Chunks are months, and a key's month that
+holds more than ``max_chunk_rows`` rows is cut into days (``with_chunks``), so
+even a key with a third of all rows inside one month is spread over tasks.
 """
 
 from __future__ import annotations
@@ -21,13 +23,34 @@ def weekdays_only(df: DataFrame, date_col: str = "nav_date") -> DataFrame:
     return df.filter(F.weekday(F.col(date_col)) < 5)
 
 
+MAX_CHUNK_ROWS = 2_000_000
+
+
 def month_chunk(c: str | Column) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     return F.trunc(x.cast("date"), "month")
 
 
+def with_chunks(df: DataFrame, keys: Sequence[str], time_col: str,
+                max_chunk_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+    """Add ``_chunk`` (a date): the month of ``time_col``, or its day when the key's month is hot.
+
+    Chunk starts stay ordered in time and never overlap, so per-chunk windows
+    plus a carry from the previous chunk equal one window over the key.  The
+    hot (key, month) list comes from a grouped count (one row per key-month);
+    it is usually empty or tiny, so AQE broadcasts it after measuring it.
+    """
+    t = F.col(time_col)
+    withc = df.withColumn("_coarse", month_chunk(t))
+    hot = (withc.groupBy(*keys, "_coarse").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > max_chunk_rows).select(*keys, "_coarse", F.lit(True).alias("_fine")))
+    return (withc.join(hot, on=[*keys, "_coarse"], how="left")
+            .withColumn("_chunk", F.when(F.col("_fine"), t.cast("date")).otherwise(F.col("_coarse")))
+            .drop("_coarse", "_fine"))
+
+
 def lag_chunked(df: DataFrame, key: Sequence[str], order: str, values: Sequence[str],
-                chunk=month_chunk, prefix: str = "prev_") -> DataFrame:
+                prefix: str = "prev_", max_chunk_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
     """Previous row's ``order`` and ``values`` per key (``prev_<col>``), computed per time chunk.
 
     Inside a chunk: ``lag``.  For a chunk's first row: the last row of the
@@ -35,7 +58,7 @@ def lag_chunked(df: DataFrame, key: Sequence[str], order: str, values: Sequence[
     """
     keys = list(key)
     packed = F.struct(F.col(order).alias("o"), *[F.col(v).alias(v) for v in values])
-    withc = df.withColumn("_chunk", chunk(order)).withColumn("_row", packed)
+    withc = with_chunks(df, keys, order, max_chunk_rows).withColumn("_row", packed)
     w = Window.partitionBy(*keys, "_chunk").orderBy(order)
     inner = withc.withColumn("_prev", F.lag("_row").over(w))
     lasts = withc.groupBy(*keys, "_chunk").agg(F.max_by("_row", F.col(order)).alias("_last"))
@@ -65,7 +88,7 @@ def nav_volatility(returns: DataFrame, fund: str = "fund_name", digits: int = 8)
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
-              right_cols: Sequence[str], chunk=month_chunk) -> DataFrame:
+              right_cols: Sequence[str], max_chunk_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
     """Left rows with the last right row of the same ``by`` whose ``right_on`` ≤ ``left_on``.
 
     Adds ``right_on`` and ``right_cols`` (NULL when nothing qualifies).  Right
@@ -76,22 +99,20 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     """
     keys = list(by)
     rpack = F.struct(F.col(right_on).alias("_rt"), *[F.col(c).alias(c) for c in right_cols])
+    rtype = right.select(rpack.alias("p")).schema["p"].dataType
     lcols = left.columns
     l_tagged = left.select(*[F.col(c) for c in lcols], F.col(left_on).alias("_t"), F.lit(1).alias("_kind"),
-                           F.lit(None).cast(right.select(rpack.alias("p")).schema["p"].dataType).alias("_r"))
-    r_tagged = right.select(*[F.col(k) for k in keys], F.col(right_on).alias("_t"), F.lit(0).alias("_kind"),
-                            rpack.alias("_r"))
-    r_full = r_tagged.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) if c not in keys else F.col(c)
-                               for c in lcols], "_t", "_kind", "_r")
-    both = l_tagged.unionByName(r_full).withColumn("_chunk", chunk("_t"))
+                           F.lit(None).cast(rtype).alias("_r"))
+    r_full = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) if c not in keys else F.col(c)
+                            for c in lcols], F.col(right_on).alias("_t"), F.lit(0).alias("_kind"), rpack.alias("_r"))
+    both = with_chunks(l_tagged.unionByName(r_full), keys, "_t", max_chunk_rows)
     w = Window.partitionBy(*keys, "_chunk").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     matched = (both.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
                .filter(F.col("_kind") == 1).drop("_r"))
     # Boundary carry: last right row per (by, chunk), propagated to later chunks of left rows.
-    r_last = r_tagged.withColumn("_chunk", chunk("_t")).groupBy(*keys, "_chunk").agg(
+    r_last = both.filter(F.col("_kind") == 0).groupBy(*keys, "_chunk").agg(
         F.max_by("_r", F.col("_t")).alias("_last"))
-    l_chunks = matched.select(*keys, "_chunk").distinct().withColumn("_last", F.lit(None).cast(
-        r_last.schema["_last"].dataType))
+    l_chunks = matched.select(*keys, "_chunk").distinct().withColumn("_last", F.lit(None).cast(rtype))
     # Left-chunk rows sort before the same chunk's right summary, so only earlier chunks precede them.
     wc = Window.partitionBy(*keys).orderBy(F.col("_chunk"), F.col("_is_left").desc()).rowsBetween(
         Window.unboundedPreceding, -1)

@@ -49,3 +49,22 @@ def test_lag_chunked_equals_plain_lag(spark):
 def test_weekdays_only(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, d),) for d in range(1, 8)], "nav_date date")
     assert [r.nav_date.weekday() for r in weekdays_only(df).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_asof_and_lag_with_hot_months_split_into_days(spark):
+    # max_chunk_rows=3 forces most (fund, month) chunks into day chunks; results must not change.
+    rnd = random.Random(11)
+    rrows = sorted({("A", d): rnd.random() for d in _dates(rnd, 120, 200)}.items())
+    rrows = [(f, d, v) for (f, d), v in rrows]
+    lrows = [(i, "A", d) for i, d in enumerate(_dates(rnd, 150, 230))]
+    left = spark.createDataFrame(lrows, "id long, fund string, d date")
+    r = spark.createDataFrame(rrows, "fund string, nav_date date, nav double")
+    small = asof_join(left, r, ["fund"], "d", "nav_date", ["nav"], max_chunk_rows=3)
+    big = asof_join(left, r, ["fund"], "d", "nav_date", ["nav"])
+    assert small.count() == len(lrows)
+    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
+    df = spark.createDataFrame(rrows, "fund string, d date, v double")
+    w = Window.partitionBy("fund").orderBy("d")
+    want = df.withColumns({"prev_d": F.lag("d").over(w), "prev_v": F.lag("v").over(w)})
+    got = lag_chunked(df, ["fund"], "d", ["v"], max_chunk_rows=3)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
