@@ -112,48 +112,62 @@ def epoch_micros(c: str | Column, dtype: T.DataType) -> Column:
     return F.unix_micros(x.cast("timestamp"))
 
 
-def _next_miss_candidates(base: DataFrame, ttl: int) -> tuple[DataFrame, DataFrame]:
+MAX_BUCKET_ROWS = 2_000_000
+
+
+def _next_miss_candidates(base: DataFrame, ttl: int, max_bucket_rows: int = MAX_BUCKET_ROWS
+                          ) -> tuple[DataFrame, DataFrame]:
     """Per request r: ``_j`` = the first request s of the same key with t_s ≥ t_r + ttl, by (t, id);
     and the set of *reset* requests (first of their key, or ≥ one TTL after the previous one).
 
-    Time is cut into buckets of one TTL.  A probe at t_r + ttl lands in the
-    bucket after r's; the answer is either in that bucket (a window over one
-    (key, bucket) partition) or it is the first request of the first non-empty
-    bucket beyond it.  Only a bucket's first request can be a reset, decided
-    from the previous non-empty bucket's last time.  Both use a table of one
-    row per non-empty (key, bucket), bounded by the time span, not the rows.
+    Time is cut into sub-buckets of width ttl/m (m = 1 unless some key has more
+    than ``max_bucket_rows`` requests inside one TTL, then just enough to split
+    it).  A probe at t_r + ttl is answered inside its own sub-bucket (a window
+    over one (key, sub-bucket) partition) or by the first request of the next
+    non-empty sub-bucket, looked up on a table of one row per non-empty
+    (key, sub-bucket).  Inside a sub-bucket gaps are < ttl, so only a
+    sub-bucket's first request can be a reset, decided from the previous
+    non-empty sub-bucket's last time.
     """
-    b = F.floor(F.col("_t") / ttl)
+    densest = (base.groupBy("_k", F.floor(F.col("_t") / ttl)).agg(F.count(F.lit(1)).alias("n"))
+               .agg(F.max("n")).first()[0]) or 0
+    m = max(1, -(-densest // max_bucket_rows))
+    width = max(1, ttl // m)
+    sb = F.floor(F.col("_t") / width)
+    id_type = base.schema["_id"].dataType
     targets = base.select("_k", "_t", F.lit(1).alias("_kind"), F.col("_id").alias("_tid"),
-                          F.lit(None).cast(base.schema["_id"].dataType).alias("_src"))
+                          F.lit(None).cast(id_type).alias("_src"))
     probes = base.select("_k", (F.col("_t") + ttl).alias("_t"), F.lit(0).alias("_kind"),
-                         F.lit(None).cast(base.schema["_id"].dataType).alias("_tid"), F.col("_id").alias("_src"))
-    both = targets.unionByName(probes).withColumn("_b", b)
-    w = Window.partitionBy("_k", "_b").orderBy("_t", "_kind", "_tid").rowsBetween(0, Window.unboundedFollowing)
-    in_bucket = (
+                         F.lit(None).cast(id_type).alias("_tid"), F.col("_id").alias("_src"))
+    both = targets.unionByName(probes).withColumn("_s", sb)
+    w = Window.partitionBy("_k", "_s").orderBy("_t", "_kind", "_tid").rowsBetween(0, Window.unboundedFollowing)
+    in_sub = (
         both.withColumn("_hit", F.first(F.when(F.col("_kind") == 1, F.col("_tid")), ignorenulls=True).over(w))
         .filter(F.col("_kind") == 0)
-        .select("_k", F.col("_src").alias("_id"), (F.col("_b") - 1).alias("_rb"), "_hit")
-    )
-    buckets = base.groupBy("_k", b.alias("_bb")).agg(F.min(F.struct("_t", "_id")).alias("_f"),
-                                                     F.max("_t").alias("_last"))
-    wb = Window.partitionBy("_k").orderBy("_bb")
-    summary = buckets.select(
-        "_k", "_bb", "_f",
-        F.when(F.lead("_bb", 1).over(wb) == F.col("_bb") + 1, F.lead("_f", 2).over(wb))
-        .otherwise(F.lead("_f", 1).over(wb))["_id"].alias("_fb"),
-        (F.lag("_bb").over(wb).isNull() | (F.lag("_bb").over(wb) < F.col("_bb") - 1)
-         | (F.col("_f._t") - F.lag("_last").over(wb) >= ttl)).alias("_reset"),
+        .select("_k", F.col("_src").alias("_id"), "_s", "_hit")
     )
-    fallback = summary.select("_k", F.col("_bb").alias("_rb"), "_fb")
-    nxt = (in_bucket.join(fallback, on=["_k", "_rb"], how="left")
+    subs = base.groupBy("_k", sb.alias("_s")).agg(F.min(F.struct("_t", "_id")).alias("_f"),
+                                                  F.max("_t").alias("_last"))
+    # Next non-empty sub-bucket strictly after each probe's sub-bucket: summary rows sort
+    # before probe rows of the same sub-bucket, and the search starts after the probe row.
+    f_type = subs.schema["_f"].dataType
+    asks = in_sub.select("_k", "_s").distinct().select(
+        "_k", "_s", F.lit(None).cast(f_type).alias("_f"), F.lit(1).alias("_ask"))
+    wl = Window.partitionBy("_k").orderBy("_s", "_ask").rowsBetween(1, Window.unboundedFollowing)
+    fallback = (subs.select("_k", "_s", "_f", F.lit(0).alias("_ask")).unionByName(asks)
+                .withColumn("_fb", F.first("_f", ignorenulls=True).over(wl)["_id"])
+                .filter(F.col("_ask") == 1).select("_k", "_s", "_fb"))
+    nxt = (in_sub.join(fallback, on=["_k", "_s"], how="left")
            .select("_id", F.coalesce("_hit", "_fb").alias("_j")))
-    resets = summary.filter("_reset").select(F.col("_f._id").alias("_id"))
+    ws = Window.partitionBy("_k").orderBy("_s")
+    resets = (subs.withColumn("_prev_last", F.lag("_last").over(ws))
+              .filter(F.col("_prev_last").isNull() | (F.col("_f._t") - F.col("_prev_last") >= ttl))
+              .select(F.col("_f._id").alias("_id")))
     return nxt, resets
 
 
 def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
-               ttl_seconds: int = C.CACHE_TTL_SECONDS) -> DataFrame:
+               ttl_seconds: int = C.CACHE_TTL_SECONDS, max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
     """Replay a TTL cache: adds ``from_cache`` (False for the request that filled the entry).
 
     The misses of a key form a chain: repeatedly, the first request at least
@@ -175,7 +189,7 @@ def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
     df = df.checkpoint()  # read several times below: materialise the input once, not its whole lineage
     base = df.select(F.col(key).alias("_k"), F.col(id_col).alias("_id"),
                      epoch_micros(ts_col, df.schema[ts_col].dataType).alias("_t"))
-    nxt, resets = _next_miss_candidates(base, ttl)
+    nxt, resets = _next_miss_candidates(base, ttl, max_bucket_rows)
     resets = resets.checkpoint()
     # A jump into a reset point ends the segment (that reset starts its own chain).
     stop = resets.select(F.col("_id").alias("_j"), F.lit(True).alias("_stop"))

@@ -48,4 +48,4 @@ def test_ttl_candidates_are_split_by_bucket(spark):
     base = df.select(F.col("k").alias("_k"), F.col("id").alias("_id"),
                      S.epoch_micros("ts", df.schema["ts"].dataType).alias("_t"))
     nxt, _ = S._next_miss_candidates(base, 600 * 10**6)
-    assert re.search(r"hashpartitioning\(_k#\d+, _b#\d+", _final_plan(nxt))
+    assert re.search(r"hashpartitioning\(_k#\d+, _s#\d+", _final_plan(nxt))

@@ -81,3 +81,14 @@ def test_hit_rate(spark):
     df = spark.createDataFrame([(True,), (True,), (False,), (True,)], "from_cache boolean")
     r = hit_rate(df).first()
     assert (r.requests, r.hits, r.misses, r.hit_rate) == (4, 3, 1, 0.75)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.integers(0, 10_000))
+def test_ttl_fold_with_split_buckets(spark, seed):
+    # max_bucket_rows=4 forces sub-buckets of a fraction of the TTL; results must not change.
+    rnd = random.Random(seed)
+    rows = [("hot", rnd.randint(0, 3_000)) for _ in range(200)] + [("k1", rnd.randint(0, 20_000)) for _ in range(40)]
+    df = _events(spark, rows)
+    got = {r.event_id: r.from_cache for r in cache_hits(df, "k", "ts", "event_id", 600, max_bucket_rows=4).collect()}
+    assert got == _fold(rows, 600)
