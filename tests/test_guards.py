@@ -49,3 +49,13 @@ def test_ttl_candidates_are_split_by_bucket(spark):
                      S.epoch_micros("ts", df.schema["ts"].dataType).alias("_t"))
     nxt, _ = S._next_miss_candidates(base, 600 * 10**6)
     assert re.search(r"hashpartitioning\(_k#\d+, _s#\d+", _final_plan(nxt))
+
+
+def test_every_query_has_an_oracle_unless_model_dependent():
+    import __spark_entry__ as E
+
+    qs, oracle = E.queries(), E.oracle_sql()
+    assert set(oracle) <= set(qs)
+    rows_only = {"risk_model_metrics", "feature_importances", "score_requests", "scored_with_reuse",
+                 "stream_scoring", "run_record_roundtrip"}
+    assert set(qs) - set(oracle) == rows_only
