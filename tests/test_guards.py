@@ -16,7 +16,7 @@ FORBIDDEN = [r"collect_list", r"collect_set", r"\bF\.udf\b", r"@udf", r"toPandas
 
 def test_core_avoids_gathering_and_row_udfs():
     hits = []
-    for path in CORE.rglob("*.py"):
+    for path in (p for p in CORE.rglob("*.py") if "llm" not in p.relative_to(CORE).parts):
         text = path.read_text()
         for pat in FORBIDDEN:
             for m in re.finditer(pat, text):
@@ -52,9 +52,9 @@ def test_ttl_candidates_are_split_by_bucket(spark):
 
 
 def test_every_query_has_an_oracle_unless_model_dependent():
-    import __spark_entry__ as E
+    from fintide.plans import catalog
 
-    qs, oracle = E.queries(), E.oracle_sql()
+    qs, oracle = catalog.queries(), catalog.oracle_sql()
     assert set(oracle) <= set(qs)
     rows_only = {"risk_model_metrics", "feature_importances", "score_requests", "scored_with_reuse",
                  "stream_scoring", "run_record_roundtrip"}

@@ -11,9 +11,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_compare as OC  # noqa: E402
 
 import __spark_entry__ as E
+from fintide.plans import catalog
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 SLOW = {"risk_model_metrics", "feature_importances", "score_requests", "scored_with_reuse", "run_record_roundtrip",
         "stream_scoring"}
 
