@@ -6,10 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fintide.llm import line_dedup, mixing, packing, quality, simhash
+from fintide.llm import ann, chaining, line_dedup, mixing, oracles, packing, pii, quality, quotation, simhash, url_filter
 from fintide.llm.common import read_table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.judge(pages, url_filter.listed_urls(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "canonical", "listed")
+
+
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation.conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     placed = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
@@ -37,18 +52,27 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "kept", "llr_score")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read_table(spark, sf_dir, "documents")))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     import corpus_pipeline
 
     found = {f.__name__: f for f in (
-        op4_best_fit_packing, op5_simhash_near_dedup, op6_line_dedup, op7_mixing, op8_quality_rules)}
+        op1_url_filter, op2_nearest_vectors, op3_quotation_linking, op4_best_fit_packing, op5_simhash_near_dedup,
+        op6_line_dedup, op7_mixing, op8_quality_rules, op9_personal_data, op10_substring_dedup)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    found: dict[str, str] = {}
+    found = {"op1_url_filter": oracles.OP1, "op3_quotation_linking": oracles.OP3}
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
