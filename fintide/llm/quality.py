@@ -2,7 +2,10 @@
 
 Words and adjacent word pairs of every document are hashed into ``BUCKETS``
 buckets.  One aggregate over the whole corpus gives two multinomials: the raw
-corpus and the trusted target (documents labelled good and not toxic).  The
+corpus (every document) and the trusted target, fitted on ``TRUSTED`` of the
+documents labelled good and not toxic, chosen by a hash of their id.  That
+bound keeps the list of trusted ids small enough to broadcast (160 kB), so no
+text is shuffled to learn whether it is trusted.  The
 weight of a bucket is the log of its target count over the count expected
 from the raw corpus, both smoothed by ``PRIOR_COUNT`` so that a bucket with
 little evidence weighs about nothing.  A document's score is the sum of its
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from fintide.llm.common import let, words_of
 
 BUCKETS = 1 << 15
+TRUSTED = 20_000  # labelled documents that the target multinomial is fitted on, at most
 PRIOR_COUNT = 10.0
 PRIOR_GRAMS = 8
 THRESHOLD = -0.12
@@ -49,8 +53,9 @@ def chained(left: Column, step: int) -> Column:
 def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, text: str = "text", key: str = "doc_id",
                    buckets: int = BUCKETS, prior: float = PRIOR_COUNT) -> DataFrame:
     """One row, one column ``weights``: the array of all bucket weights, fitted on the whole corpus."""
-    marked = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(
-        trusted_ids.select(F.col(key).alias("k"), F.lit(1).alias("good")).distinct(), "k", "left")
+    ids = trusted_ids.select(F.col(key).alias("k")).filter("k IS NOT NULL").distinct()
+    fitted_on = ids.orderBy(F.xxhash64("k"), "k").limit(TRUSTED).withColumn("good", F.lit(1))
+    marked = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(fitted_on), "k", "left")
     hashed = marked.select(F.coalesce("good", F.lit(0)).alias("good"), hashed_words(words_of(F.col("t"))).alias("h"))
     grams = hashed.select("good", F.explode(F.concat("h", chained(F.col("h"), 1))).alias("g")).select(
         "good", F.pmod("g", F.lit(buckets)).cast("int").alias("bucket"))
