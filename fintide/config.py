@@ -86,6 +86,7 @@ ALLOCATION_POOLS = {
     "Moderate": [("Equity", 4), ("Hybrid", 3), ("Debt", 2), ("Gold", 1)],
     "Aggressive": [("Equity", 7), ("Hybrid", 2), ("Debt", 1)],
 }
+FALLBACK_POOL = "Aggressive"  # of every other profile
 HOLDINGS_PER_CLIENT = (3, 6)
 TXN_TYPE_WEIGHTS = [("SIP", 0.55), ("BUY", 0.25), ("SELL", 0.15), ("DIVIDEND", 0.05)]
 CHANNEL_WEIGHTS = [("APP", 0.45), ("WEB", 0.30), ("ADVISOR", 0.20), ("API", 0.05)]
@@ -154,5 +155,6 @@ SCORE_REQUEST_SCHEMA = T.StructType(
 # Defaults for the compared queries (deterministic; never current_date)
 # --------------------------------------------------------------------------
 
+LAKE_BUCKETS = 16  # of bucketed lake tables: a property of the tables, not of the session that writes them
 FIXTURE_AS_OF = dt.date(2001, 12, 31)
 FIXTURE_METROS = ["Nation_0", "Nation_1", "Nation_2", "Nation_3", "Nation_4", "Nation_5"]

@@ -54,11 +54,6 @@ def years_between(start: str | Column, as_of: dt.date | str | Column | None) ->
     return F.round(F.datediff(end, col(start)) / C.DAYS_PER_YEAR, 1)
 
 
-def pct_of(part: str | Column, total: str | Column, digits: int = 2) -> Column:
-    """round(part / total * 100, digits); NULL when total is 0 or NULL."""
-    return F.round(F.try_divide(col(part), col(total)) * 100, digits)
-
-
 def clip(c: str | Column, lo: float | None = None, hi: float | None = None) -> Column:
     x = col(c)
     if lo is not None:
@@ -112,15 +107,25 @@ def pick_weighted(u: Column, choices: Sequence[tuple[str, float]]) -> Column:
     return last if expr is None else expr.otherwise(last)
 
 
-def plain_number(c: str | Column, scale: int = 10) -> Column:
-    """Number as plain text with at least one decimal ('85.0', '10000000.0', '12.5').
+def plain_number(c: str | Column) -> Column:
+    """Number as plain text with at least one decimal ('85.0', '10000000.0', '12.5'), every digit kept.
 
-    Spark prints large doubles as '1.0E7'; going through a decimal keeps the
-    plain form, then trailing zeros are trimmed down to one decimal digit.
+    The text reads back as the same double; Spark
+    prints large and small ones as '1.0E7' or '2.5E-5', whose exponent is
+    written out here.  NULL stays NULL; NaN and infinities keep their names.
     """
-    txt = col(c).cast(f"decimal(38,{scale})").cast("string")
-    trimmed = F.regexp_replace(txt, "0+$", "")
-    return F.when(trimmed.endswith("."), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)
+    txt = col(c).cast("double").cast("string")
+    sign = F.when(txt.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    whole = F.regexp_extract(txt, r"^-?([0-9]+)\.", 1)
+    digits = F.concat(whole, F.regexp_extract(txt, r"\.([0-9]*?)0*E", 1))
+    point = F.length(whole) + F.regexp_extract(txt, r"E(-?[0-9]+)$", 1).try_cast("int")
+    size = F.length(digits)
+    large = F.concat(digits, F.repeat(F.lit("0"), F.greatest(point - size, F.lit(0))))
+    shifted = F.when(point > 0, F.concat(
+        F.substring(large, F.lit(1), point), F.lit("."),
+        F.when(point < size, F.substring(digits, point + 1, size)).otherwise(F.lit("0")))
+    ).otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+    return F.when(txt.contains("E"), F.concat(sign, shifted)).otherwise(txt)
 
 
 def feature_vector(cols: Sequence[str] = tuple(C.FEATURE_COLS)) -> Column:

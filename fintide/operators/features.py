@@ -3,14 +3,17 @@
 Scale notes
 -----------
 * ``F.median`` / ``percentile`` buffers every distinct value of a group in one
-  task.  ``exact_medians`` instead brackets the middle ranks with
-  ``percentile_approx`` (a bounded sketch), counts below the bracket, narrows
-  until the bracket holds at most ``max_rows`` rows, and sorts only those.
-  The driver sees scalars only.
+  task.  ``exact_medians`` instead brackets the middle ranks of all columns
+  with ``percentile_approx`` (a bounded sketch) in one aggregate, counts what
+  lies below and on the bracket ends in a second one, and repeats on the open
+  brackets, which lose at least their ends each time.  The driver sees scalars.
 * A per-class ``row_number`` window would put a whole class (possibly a third
-  of the table) in one task.  ``rank_within`` ranks after a range
-  repartition, so a hot group is spread over many tasks, and stitches the
-  per-partition ranks together with a per-(partition, group) offset table.
+  of the table) in one task.  Hash orders are ranked through fixed buckets
+  instead: the first ``BUCKET_DIGITS`` hex digits of the md5 that defines the
+  order.  Bucket counts per group give every bucket's first rank, and a row is
+  ranked only among its bucket.  Nothing depends on how the rows are
+  partitioned, so re-execution, other core counts and pruned columns give the
+  same ranks.
 """
 
 from __future__ import annotations
@@ -54,91 +57,83 @@ def training_features(summary: DataFrame, clients: DataFrame,
 # ---------------------------------------------------------------- medians
 
 
-def _values_at_ranks(sub: DataFrame, ranks: Sequence[int]) -> list[float]:
-    """Values at 0-based ``ranks`` of ``sub.x`` from its per-value histogram (few distinct values)."""
-    hist = sub.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
-    cum = hist.select("x", (upto - F.col("c")).alias("lo_rank"), upto.alias("hi_rank"))
-    out = []
-    for r in ranks:
-        row = cum.filter((F.col("lo_rank") <= r) & (F.col("hi_rank") > r)).select("x").first()
-        out.append(row["x"])
-    return out
-
+class _Rank:
+    """One wanted rank of one column: an open bracket (lo, hi) around it, or its value once found."""
+
+    def __init__(self, column: int, rank: int, n: int):
+        self.column, self.rank = column, rank
+        self.lo = self.hi = None
+        self.below, self.inside = 0, n
+        self.value: float | None = None
+
+    def within(self, x: Column) -> Column:
+        inside = x.isNotNull()
+        if self.lo is not None:
+            inside = inside & (x > F.lit(self.lo))
+        if self.hi is not None:
+            inside = inside & (x < F.lit(self.hi))
+        return inside
+
+    def narrow(self, lo: float, hi: float, lt_lo: int, le_lo: int, lt_hi: int, le_hi: int) -> None:
+        """Counts (inside the bracket) below and up to two of its values decide where the rank is."""
+        k = self.rank - self.below
+        if lt_lo <= k < le_lo:
+            self.value = lo
+        elif lt_hi <= k < le_hi:
+            self.value = hi
+        elif k < lt_lo:
+            self.hi, self.inside = lo, lt_lo
+        elif k >= le_hi:
+            self.lo, self.below, self.inside = hi, self.below + le_hi, self.inside - le_hi
+        else:
+            self.lo, self.hi, self.below, self.inside = lo, hi, self.below + le_lo, lt_hi - le_lo
 
-def _order_stat_bracket(x: DataFrame, k1: int, k2: int, n: int, accuracy: int, max_rows: int):
-    """Narrow [lo, hi] around the 0-based ranks k1..k2 of column ``x`` until ≤ max_rows rows remain.
 
-    Returns ("sort", sub, offset): ranks k1..k2 sit at positions offset.. of ``sub``
-    in ascending order; or ("values", [v1, v2], None) when the answer was read
-    off directly (a single value, or a bracket of heavy ties the sketch cannot
-    split, resolved from its small per-value histogram).
-    """
-    lo = hi = None
-    below, inside = 0, n
-    eps = 2.0 / accuracy
-    while True:
-        sub = x if lo is None else x.where((F.col("x") >= lo) & (F.col("x") <= hi))
-        if inside <= max_rows:
-            return "sort", sub, k1 - below
-        q1 = max(0.0, (k1 - below) / inside - eps)
-        q2 = min(1.0, (k2 - below) / inside + eps)
-        nlo, nhi = sub.agg(F.percentile_approx("x", [q1, q2], accuracy).alias("q")).first()["q"]
-        c = sub.agg(F.count_if(F.col("x") < nlo).alias("b"), F.count_if(F.col("x") <= nhi).alias("u")).first()
-        if below + c["b"] <= k1 and below + c["u"] > k2:
-            if nlo == nhi:
-                return "values", [nlo, nhi], None  # every middle rank holds this one value
-            if (nlo, nhi) == (lo, hi):
-                # No progress: the bracket is made of a few heavily repeated values.
-                return "values", _values_at_ranks(sub, [k1 - below, k2 - below]), None
-            lo, hi, below, inside = nlo, nhi, below + c["b"], c["u"] - c["b"]
-        elif eps >= 1.0:
-            return "values", _values_at_ranks(sub, [k1 - below, k2 - below]), None
-        else:  # the sketch is probabilistic: widen and retry on the same bracket
-            eps *= 4
-
-
-def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
-                  max_rows: int = 1_000_000) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> dict[str, float | None]:
     """Exact median (interpolated halfway between the two middle values for even counts) per column.
 
-    Each column's middle ranks are bracketed with ``percentile_approx`` (a
-    bounded sketch) and counted; brackets shrink by about ``accuracy`` per pass
-    until at most ``max_rows`` rows remain, which a distributed sort orders to
-    read off the one or two middle values.  Nothing is buffered per distinct
-    value, and the driver sees scalars only.
+    All columns share two aggregates a round: sketch quantiles beside every
+    wanted rank, then counts at those values.  A bracket loses its end values
+    and about ``accuracy``-fold of its rows a round, so rounds grow with the
+    logarithm of the rows and never stall on ties.
     """
     # Several passes follow: read the needed columns from one materialised copy, not the lineage.
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).checkpoint()
-    counts = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)]).first()
-    out: dict[str, float | None] = {}
+    df = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).checkpoint()
+    counts = df.agg(*[F.count(f"x{i}").alias(f"n{i}") for i in range(len(cols))]).first()
+    ranks = [_Rank(i, k, n) for i in range(len(cols)) if (n := counts[f"n{i}"]) for k in sorted({(n - 1) // 2, n // 2})]
+    while todo := [r for r in ranks if r.value is None]:
+        quantiles = []
+        for j, r in enumerate(todo):
+            x, at, eps = F.col(f"x{r.column}"), (r.rank - r.below + 0.5) / r.inside, 2.0 / accuracy
+            quantiles.append(F.percentile_approx(F.when(r.within(x), x), [max(0.0, at - eps), min(1.0, at + eps)],
+                                                 accuracy).alias(f"q{j}"))
+        q = df.agg(*quantiles).first()
+        tallies = []
+        for j, r in enumerate(todo):
+            x, inside = F.col(f"x{r.column}"), r.within(F.col(f"x{r.column}"))
+            for end, value in zip(("lo", "hi"), q[f"q{j}"]):
+                tallies += [F.count_if(inside & (x < F.lit(value))).alias(f"lt_{end}{j}"),
+                            F.count_if(inside & (x <= F.lit(value))).alias(f"le_{end}{j}")]
+        c = df.agg(*tallies).first()
+        for j, r in enumerate(todo):
+            r.narrow(*q[f"q{j}"], c[f"lt_lo{j}"], c[f"le_lo{j}"], c[f"lt_hi{j}"], c[f"le_hi{j}"])
+    out: dict[str, float | None] = dict.fromkeys(cols)
     for i, c in enumerate(cols):
-        n = counts[f"n_{i}"]
-        if not n:
-            out[c] = None
-            continue
-        k1, k2 = (n - 1) // 2, n // 2
-        x = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-        kind, sub, offset = _order_stat_bracket(x, k1, k2, n, accuracy, max_rows)
-        if kind == "values":
-            vals = sub
-        else:
-            vals = [r["x"] for r in sub.orderBy("x").offset(offset).limit(k2 - k1 + 1).collect()]
-        lo_v, hi_v = vals[0], vals[-1]
-        out[c] = lo_v + (hi_v - lo_v) * 0.5
+        middle = [r.value for r in ranks if r.column == i]
+        if middle:
+            out[c] = middle[0] + (middle[-1] - middle[0]) * 0.5
     return out
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Fill NULLs with the exact column median (0 when a column is all NULL).
+    """Fill NULLs with the exact column median (0 when a column is all NULL); filled columns are DOUBLE.
 
     Returns the filled frame and a report (column, null_count, median).
     """
     medians = exact_medians(df, cols)
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     filled = df.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(medians[c] if medians[c] is not None else 0.0).cast(df.schema[c].dataType))
-         for c in cols}
+        {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c] if medians[c] is not None else 0.0)) for c in cols}
     )
     stack = ", ".join(f"'{c}', `{c}`" for c in cols)
     report = nulls.selectExpr(f"stack({len(cols)}, {stack}) as (column, null_count)").withColumn(
@@ -152,38 +147,44 @@ def impute_median(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFr
 # ---------------------------------------------------------------- ranking
 
 
-def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
-                rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
-    """1-based rank of each row within its ``by`` group under ``order`` (order must be total).
+BUCKET_DIGITS = 4  # hex digits of the md5 order: at most 65,536 buckets a group
 
-    Rows are range-partitioned on (by, order), sorted inside each partition,
-    and numbered with ``monotonically_increasing_id`` (partition id in the high
-    bits, position in the low 33 bits).  A group may span several partitions;
-    a small (partition, group) offset table restores the global rank.  No
-    task ever holds more than one range partition, however large a group is.
+
+def _with_buckets(df: DataFrame, by: Sequence[str], hash_col: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its ``_bucket``, and (by, _bucket, _size, _before): rows of the bucket and of all earlier ones of the group."""
+    bucketed = df.withColumn("_bucket", F.substring(hash_col, 1, BUCKET_DIGITS))
+    sizes = bucketed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return bucketed, sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+
+
+def rank_within(df: DataFrame, by: Sequence[str], hash_col: str, ties: Sequence[str] = (),
+                rank_col: str = "rank") -> DataFrame:
+    """1-based rank of each row within its ``by`` group in the order of ``hash_col`` (md5 hex text), then ``ties``.
+
+    The order must be total and ``by`` columns not NULL.  ``df`` is read twice
+    (counts, rows): pass a materialised frame if its lineage is dear.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    keys = [F.col(b) for b in by] + order_cols
-    numbered = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumns({"_pid": F.shiftright("_mid", 33),
-                      "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
-    )
-    spans = numbered.groupBy("_pid", *by).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_cnt"))
-    before = F.coalesce(
-        F.sum("_cnt").over(Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    offsets = spans.select("_pid", *by, "_start", before.alias("_before"))
-    return (
-        numbered.join(offsets, on=["_pid", *by], how="inner")
-        .withColumn(rank_col, F.col("_before") + F.col("_pos") - F.col("_start") + 1)
-        .drop("_mid", "_pid", "_pos", "_start", "_before")
-    )
+    bucketed, sizes = _with_buckets(df, by, hash_col)
+    place = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(hash_col, *ties))
+    return (bucketed.withColumn("_place", place).join(sizes, on=[*by, "_bucket"])
+            .withColumn(rank_col, F.col("_before") + F.col("_place")).drop("_bucket", "_place", "_size", "_before"))
+
+
+def first_in_order(df: DataFrame, by: Sequence[str], hash_col: str, ties: Sequence[str], n: Column,
+                   flag: str) -> DataFrame:
+    """Adds boolean ``flag``: is the row among the first ``n`` of its group in the order of ``rank_within``?
+
+    Only the one bucket of a group that ``n`` cuts is ranked; every other row
+    is decided by its bucket.  ``n`` may use columns of ``df``.
+    """
+    bucketed, sizes = _with_buckets(df, by, hash_col)
+    placed = bucketed.join(sizes, on=[*by, "_bucket"]).withColumn("_n", n)
+    cut = (F.col("_before") < F.col("_n")) & (F.col("_n") < F.col("_before") + F.col("_size"))
+    whole = placed.filter(~cut).withColumn(flag, F.col("_before") < F.col("_n"))
+    place = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(hash_col, *ties))
+    split = placed.filter(cut).withColumn(flag, F.col("_before") + place <= F.col("_n"))
+    return whole.unionByName(split).drop("_bucket", "_size", "_before", "_n")
 
 
 def split_quotas(df: DataFrame, label: str, test_frac: float = C.TEST_SIZE) -> DataFrame:
@@ -214,15 +215,12 @@ def split_quotas(df: DataFrame, label: str, test_frac: float = C.TEST_SIZE) -> D
 def stratified_split(df: DataFrame, id_col: str, label: str, test_frac: float = C.TEST_SIZE,
                      seed: int = C.SEED) -> DataFrame:
     """Adds ``split`` ∈ {train, test}: per class, the n_test rows first in md5(id:seed) order are test."""
-    # Counted, range-sampled and ranked below: materialise the input once instead of re-running its lineage.
+    # Counted and read again below: materialise the input once instead of re-running its lineage.
     df = df.withColumn("_h", hash_hex(id_col, seed=seed)).checkpoint()
     quotas = split_quotas(df, label, test_frac).select(label, "n_test")
-    ranked = rank_within(df, [label], ["_h", id_col], "_rank")
-    return (
-        ranked.join(quotas, on=label, how="inner")
-        .withColumn("split", F.when(F.col("_rank") <= F.col("n_test"), F.lit("test")).otherwise(F.lit("train")))
-        .drop("_h", "_rank", "n_test")
-    )
+    chosen = first_in_order(df.join(quotas, on=label), [label], "_h", [id_col], F.col("n_test"), "_test")
+    return chosen.withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop(
+        "_h", "_test", "n_test")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -27,13 +27,18 @@ from fintide.operators.features import with_class_weights
 
 def fit_risk_model(train: DataFrame, features: Sequence[str] = tuple(C.FEATURE_COLS), label: str = "target",
                    seed: int = C.SEED, num_trees: int = C.N_TREES, max_depth: int = C.MAX_DEPTH,
-                   min_samples_split: int = C.MIN_SAMPLES_SPLIT) -> PipelineModel:
+                   min_samples_split: int = C.MIN_SAMPLES_SPLIT, partitions: int = 32) -> PipelineModel:
     """Fit the pipeline on rows with balanced class weights.
 
     Spark ML has no ``min_samples_split``; the nearest knob is the per-child
     minimum, so a split needs at least ``2·minInstancesPerNode`` rows.
+
+    Bootstrap draws follow the rows' partition and place, so rows are dealt to
+    ``partitions`` by a hash of their values and sorted there: the same rows
+    give the same forest, however they arrive.
     """
-    weighted = with_class_weights(train, label, "weight")
+    order = [*features, label]
+    weighted = with_class_weights(train, label, "weight").repartition(partitions, *order).sortWithinPartitions(*order)
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc",
                             handleInvalid="error")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")

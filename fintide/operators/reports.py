@@ -61,29 +61,27 @@ def top_n(df: DataFrame, order_col: str, n: int, key: str, columns: Sequence[str
     return out.orderBy(F.desc(order_col), F.asc(key)).limit(n)
 
 
-# BI reports, written as SQL over registered views.
-
-CLIENT_TOTALS_SQL = f"""
-SELECT COUNT(*) AS total_clients,
-       ROUND(AVG(aum) / {C.LAKH}, 1) AS avg_aum_lakh,
-       ROUND(SUM(aum) / {C.CRORE}, 1) AS total_aum_crore
-FROM {{clients}}"""
-
-TIER_REPORT_SQL = f"""
-SELECT aum_tier,
-       COUNT(*) AS total_clients,
-       ROUND(SUM(aum) / {C.CRORE}, 1) AS total_aum_crore
-FROM {{clients}}
-GROUP BY aum_tier
-ORDER BY total_aum_crore DESC"""
-
-PORTFOLIO_AVERAGES_SQL = """
-SELECT ROUND(AVG(equity_pct), 1) AS avg_equity_pct,
-       ROUND(AVG(debt_pct), 1) AS avg_debt_pct,
-       ROUND(AVG(gold_pct), 1) AS avg_gold_pct,
-       ROUND(AVG(total_num_funds), 1) AS avg_funds,
-       COUNT(*) AS total_clients
-FROM {portfolios}"""
+# BI reports: SQL rendered from column specifications (output name, aggregate, source column, unit, digits).
+
+ROWS, MEAN, TOTAL = "count(1)", "avg", "sum"
+
+
+def report_sql(source: str, measures: Sequence[tuple], by: str | None = None, descending: str | None = None) -> str:
+    """SQL text of one report over the placeholder ``{source}``; a measure is (name, ROWS) or (name, aggregate, column, unit, digits)."""
+    rendered = [f"{m[1]} AS {m[0]}" if m[1] == ROWS else f"round({m[1]}({m[2]}) / {m[3]}, {m[4]}) AS {m[0]}" for m in measures]
+    text = f"SELECT {', '.join([by, *rendered] if by else rendered)} FROM {{{source}}}"
+    if by:
+        text += f" GROUP BY {by}"
+    return f"{text} ORDER BY {descending} DESC" if descending else text
+
+
+_TOTAL_CRORE = ("total_aum_crore", TOTAL, "aum", C.CRORE, 1)
+CLIENT_TOTALS_SQL = report_sql("clients", [
+    _TOTAL_CRORE, ("avg_aum_lakh", MEAN, "aum", C.LAKH, 1), ("total_clients", ROWS)])
+TIER_REPORT_SQL = report_sql("clients", [_TOTAL_CRORE, ("total_clients", ROWS)], by="aum_tier", descending=_TOTAL_CRORE[0])
+PORTFOLIO_AVERAGES_SQL = report_sql("portfolios", [
+    ("total_clients", ROWS), ("avg_funds", MEAN, "total_num_funds", 1, 1),
+    *[(f"avg_{kind}_pct", MEAN, f"{kind}_pct", 1, 1) for kind in C.FUND_TYPES]])
 
 
 def sql_report(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:

@@ -14,18 +14,22 @@ from pyspark.sql import functions as F
 
 from fintide import config as C
 from fintide.functions.columns import hash_hex, hash_uniform, pick_weighted
-from fintide.operators.features import rank_within
+from fintide.operators.features import first_in_order, rank_within
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int = C.SEED) -> DataFrame:
-    """Exactly ``n`` rows (or all, if fewer): the first n in md5(id:seed) order — a sampling operator."""
-    return df.orderBy(hash_hex(id_col, seed=seed), F.col(id_col)).limit(n)
+    """Exactly ``n`` rows (or all, if fewer): the first n in md5(id:seed) order — a sampling operator.
+
+    Whole hash buckets are taken until ``n`` cuts one; only that bucket is ranked.
+    """
+    hashed = df.withColumn("_h", hash_hex(id_col, seed=seed)).withColumn("_all", F.lit(0))
+    return first_in_order(hashed, ["_all"], "_h", [id_col], F.lit(n), "_in").filter("_in").select(*df.columns)
 
 
 def shuffle(df: DataFrame, id_col: str, seed: int = C.SEED, position: str = "position") -> DataFrame:
     """Seeded full shuffle: every row gets its 1-based position in md5(id:seed) order (distributed rank)."""
-    h = df.withColumn("_h", hash_hex(id_col, seed=seed))
-    return rank_within(h, [], ["_h", id_col], position).drop("_h")
+    h = df.withColumn("_h", hash_hex(id_col, seed=seed)).withColumn("_all", F.lit(0))
+    return rank_within(h, ["_all"], "_h", [id_col], position).drop("_h", "_all")
 
 
 def assign_weighted(df: DataFrame, id_col: str, choices: Sequence[tuple[str, float]], out: str,
@@ -36,15 +40,19 @@ def assign_weighted(df: DataFrame, id_col: str, choices: Sequence[tuple[str, flo
 
 def expand_allocation(df: DataFrame, id_col: str = "client_id", profile_col: str = "risk_profile",
                       pools: Mapping[str, Sequence[tuple[str, int]]] = C.ALLOCATION_POOLS,
-                      sizes: tuple[int, int] = C.HOLDINGS_PER_CLIENT, seed: int = C.SEED) -> DataFrame:
-    """1 → N: each row becomes between sizes[0] and sizes[1] slots, each drawing a fund type from its pool."""
+                      sizes: tuple[int, int] = C.HOLDINGS_PER_CLIENT, seed: int = C.SEED,
+                      fallback: str = C.FALLBACK_POOL) -> DataFrame:
+    """1 → N: each row becomes between sizes[0] and sizes[1] slots, each drawing a fund type from its pool.
+
+    A profile without a pool of its own (NULL included) draws from the ``fallback`` pool.
+    """
     lo, hi = sizes
     n = (F.lit(lo) + F.floor(hash_uniform(id_col, F.lit("n"), seed=seed) * (hi - lo + 1))).cast("int")
     slots = df.select(id_col, profile_col, F.explode(F.sequence(F.lit(1), n)).alias("slot"))
     u = hash_uniform(id_col, F.col("slot"), seed=seed)
-    kind = None
+    kind = pick_weighted(u, [(t, float(w)) for t, w in pools[fallback]])
     for profile, pool in pools.items():
-        choice = pick_weighted(u, [(t, float(w)) for t, w in pool])
-        kind = (F.when(F.col(profile_col) == profile, choice) if kind is None
-                else kind.when(F.col(profile_col) == profile, choice))
+        if profile != fallback:
+            choice = pick_weighted(u, [(t, float(w)) for t, w in pool])
+            kind = F.when(F.col(profile_col) == profile, choice).otherwise(kind)
     return slots.withColumn("fund_type", kind)

@@ -15,7 +15,7 @@ The request/response service becomes table operations:
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
@@ -31,12 +31,15 @@ AGE_GROUPS = list(C.AGE_GROUP_CODES)
 
 
 def validation_reasons() -> Column:
-    """array<string> of everything wrong with a request row (empty when valid)."""
+    """array<string> of everything wrong with a request row (empty when valid).
+
+    NaN is out of range in every numeric field, whether or not the field has an upper bound.
+    """
     checks: list[Column] = []
     for field in C.REQUEST_FIELDS:
         checks.append(F.when(F.col(field).isNull(), F.lit(f"{field}: required")))
     for field, (lo, hi) in C.REQUEST_RANGES.items():
-        bad = F.lit(False)
+        bad = F.isnan(F.col(field).cast("double"))
         if lo is not None:
             bad = bad | (F.col(field) < lo)
         if hi is not None:
@@ -112,27 +115,21 @@ def epoch_micros(c: str | Column, dtype: T.DataType) -> Column:
     return F.unix_micros(x.cast("timestamp"))
 
 
-MAX_BUCKET_ROWS = 2_000_000
+SUB_BUCKETS = 8  # parts of one TTL: a window task holds one key's requests of one part
 
 
-def _next_miss_candidates(base: DataFrame, ttl: int, max_bucket_rows: int = MAX_BUCKET_ROWS
-                          ) -> tuple[DataFrame, DataFrame]:
+def _next_miss_candidates(base: DataFrame, ttl: int, sub_buckets: int = SUB_BUCKETS) -> tuple[DataFrame, DataFrame]:
     """Per request r: ``_j`` = the first request s of the same key with t_s ≥ t_r + ttl, by (t, id);
     and the set of *reset* requests (first of their key, or ≥ one TTL after the previous one).
 
-    Time is cut into sub-buckets of width ttl/m (m = 1 unless some key has more
-    than ``max_bucket_rows`` requests inside one TTL, then just enough to split
-    it).  A probe at t_r + ttl is answered inside its own sub-bucket (a window
+    Time is cut into sub-buckets of width ttl / ``sub_buckets``.  A probe at t_r + ttl is answered inside its own sub-bucket (a window
     over one (key, sub-bucket) partition) or by the first request of the next
     non-empty sub-bucket, looked up on a table of one row per non-empty
     (key, sub-bucket).  Inside a sub-bucket gaps are < ttl, so only a
     sub-bucket's first request can be a reset, decided from the previous
     non-empty sub-bucket's last time.
     """
-    densest = (base.groupBy("_k", F.floor(F.col("_t") / ttl)).agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.max("n")).first()[0]) or 0
-    m = max(1, -(-densest // max_bucket_rows))
-    width = max(1, ttl // m)
+    width = max(1, ttl // sub_buckets)
     sb = F.floor(F.col("_t") / width)
     id_type = base.schema["_id"].dataType
     targets = base.select("_k", "_t", F.lit(1).alias("_kind"), F.col("_id").alias("_tid"),
@@ -167,7 +164,7 @@ def _next_miss_candidates(base: DataFrame, ttl: int, max_bucket_rows: int = MAX_
 
 
 def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
-               ttl_seconds: int = C.CACHE_TTL_SECONDS, max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
+               ttl_seconds: int = C.CACHE_TTL_SECONDS, sub_buckets: int = SUB_BUCKETS) -> DataFrame:
     """Replay a TTL cache: adds ``from_cache`` (False for the request that filled the entry).
 
     The misses of a key form a chain: repeatedly, the first request at least
@@ -189,29 +186,28 @@ def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
     df = df.checkpoint()  # read several times below: materialise the input once, not its whole lineage
     base = df.select(F.col(key).alias("_k"), F.col(id_col).alias("_id"),
                      epoch_micros(ts_col, df.schema[ts_col].dataType).alias("_t"))
-    nxt, resets = _next_miss_candidates(base, ttl, max_bucket_rows)
+    nxt, resets = _next_miss_candidates(base, ttl, sub_buckets)
     resets = resets.checkpoint()
     # A jump into a reset point ends the segment (that reset starts its own chain).
     stop = resets.select(F.col("_id").alias("_j"), F.lit(True).alias("_stop"))
     jump = (nxt.join(stop, on="_j", how="left")
             .select("_id", F.when(F.col("_stop").isNull(), F.col("_j")).alias("_j"))
             .checkpoint())
-    chain, size = resets, resets.count()
+    # Round i walks 2^i requests on from every start: only the new ids are written, the pieces are united once.
+    pieces = [resets]
     while True:
-        # P(i+1) = P(i) ∪ next^(2^i)(P(i)); within disjoint segments the new ids are not in P(i).
+        chain = pieces[0]
+        for piece in pieces[1:]:
+            chain = chain.unionByName(piece)
         new = chain.join(jump, on="_id", how="inner").filter(F.col("_j").isNotNull()).select(
-            F.col("_j").alias("_id"))
-        grown = chain.unionByName(new).checkpoint()
-        grown_size = grown.count()
-        if grown_size == size:
+            F.col("_j").alias("_id")).checkpoint()
+        if not new.limit(1).count():
             break
-        chain, size = grown, grown_size
-        sq = jump.select(F.col("_id").alias("_mid"), F.col("_j").alias("_j2"))
-        jump = (
-            jump.join(sq, jump["_j"] == sq["_mid"], "left")
-            .select("_id", F.col("_j2").alias("_j"))
-            .checkpoint()
-        )
+        pieces.append(new)
+        # Jumps that ended stay ended: only live ones are squared.
+        live = jump.filter(F.col("_j").isNotNull())
+        sq = live.select(F.col("_id").alias("_mid"), F.col("_j").alias("_j2"))
+        jump = live.join(sq, live["_j"] == sq["_mid"]).select("_id", F.col("_j2").alias("_j")).checkpoint()
     misses = chain.select(F.col("_id").alias(id_col), F.lit(True).alias("_miss"))
     return df.join(misses, on=id_col, how="left").withColumn("from_cache", F.col("_miss").isNull()).drop("_miss")
 
@@ -231,6 +227,32 @@ def cache_lookup(requests: DataFrame, store: DataFrame, key: str, ts_col: str, s
     return found.withColumn("from_cache", F.coalesce(age_ok, F.lit(False)))
 
 
+def request_flow(asked: DataFrame, id_col: str, ts_col: str, score: Callable[[DataFrame], DataFrame],
+                 value_cols: Sequence[str], ttl_seconds: int = C.CACHE_TTL_SECONDS) -> DataFrame:
+    """Validated requests (``reasons``, features, client_id) → one answer per request.
+
+    Adds status ('rejected', 'scored' or 'hit'), from_cache, ``value_cols`` and
+    stored_at.  A request that finds no fresh entry of its key is scored by
+    ``score`` and stores its values; later ones take them until the TTL ends.
+    Rejected requests keep their reasons and have no values.
+    """
+    ok = F.size("reasons") == 0
+    answers = [F.lit(None).cast("timestamp_ntz" if isinstance(asked.schema[ts_col].dataType, T.TimestampNTZType)
+                                else "timestamp").alias("stored_at")]
+    valid = cache_hits(asked.filter(ok).withColumn("_key", request_key()), "_key", ts_col, id_col, ttl_seconds).checkpoint()
+    misses = score(valid.filter(~F.col("from_cache"))).select(
+        "_key", F.col(ts_col).alias("stored_at"), *value_cols)
+    found = cache_lookup(valid.withColumnRenamed("from_cache", "_hit"), misses, "_key", ts_col, "stored_at", value_cols,
+                         ttl_seconds)
+    done = found.withColumn("from_cache", F.col("_hit")).withColumn(
+        "status", F.when(F.col("_hit"), "hit").otherwise("scored")).drop("_hit", "_key")
+    types = {f.name: f.dataType for f in done.schema}
+    refused = asked.filter(~ok).select(
+        *asked.columns, *answers, F.lit(False).alias("from_cache"), F.lit("rejected").alias("status"),
+        *[F.lit(None).cast(types[c]).alias(c) for c in value_cols])
+    return done.unionByName(refused)
+
+
 def hit_rate(df: DataFrame, flag: str = "from_cache", digits: int = 4) -> DataFrame:
     """requests, hits, misses, hit_rate in one aggregate."""
     return df.agg(

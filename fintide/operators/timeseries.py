@@ -4,9 +4,8 @@ Windows keyed only by fund would put a whole fund's history in one task (and a
 few funds in total means a few tasks).  Both ``lag_chunked`` and
 ``asof_join`` therefore window over (key, time chunk) and stitch chunk
 boundaries with a summary of one row per (key, chunk), which is bounded by the
-time span, not by the row count.  Chunks are months, and a key's month that
-holds more than ``max_chunk_rows`` rows is cut into days (``with_chunks``), so
-even a key with a third of all rows inside one month is spread over tasks.
+time span, not by the row count.  The chunk (``month`` unless the caller
+names another of ``CHUNKS``) is a fixed parameter; results do not depend on it.
 """
 
 from __future__ import annotations
@@ -23,45 +22,33 @@ def weekdays_only(df: DataFrame, date_col: str = "nav_date") -> DataFrame:
     return df.filter(F.weekday(F.col(date_col)) < 5)
 
 
-MAX_CHUNK_ROWS = 2_000_000
+CHUNKS = ("day", "week", "month", "quarter", "year")
 
 
-def month_chunk(c: str | Column) -> Column:
-    x = F.col(c) if isinstance(c, str) else c
-    return F.trunc(x.cast("date"), "month")
-
-
-def with_chunks(df: DataFrame, keys: Sequence[str], time_col: str,
-                max_chunk_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
-    """Add ``_chunk`` (a date): the month of ``time_col``, or its day when the key's month is hot.
-
-    Chunk starts stay ordered in time and never overlap, so per-chunk windows
-    plus a carry from the previous chunk equal one window over the key.  The
-    hot (key, month) list comes from a grouped count (one row per key-month);
-    it is usually empty or tiny, so AQE broadcasts it after measuring it.
-    """
-    t = F.col(time_col)
-    withc = df.withColumn("_coarse", month_chunk(t))
-    hot = (withc.groupBy(*keys, "_coarse").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > max_chunk_rows).select(*keys, "_coarse", F.lit(True).alias("_fine")))
-    return (withc.join(hot, on=[*keys, "_coarse"], how="left")
-            .withColumn("_chunk", F.when(F.col("_fine"), t.cast("date")).otherwise(F.col("_coarse")))
-            .drop("_coarse", "_fine"))
+def chunk_of(c: str | Column, chunk: str = "month") -> Column:
+    """First day of the time chunk that holds ``c``."""
+    if chunk not in CHUNKS:
+        raise ValueError(f"chunk must be one of {CHUNKS}")
+    x = (F.col(c) if isinstance(c, str) else c).cast("date")
+    return x if chunk == "day" else F.trunc(x, chunk)
 
 
 def lag_chunked(df: DataFrame, key: Sequence[str], order: str, values: Sequence[str],
-                prefix: str = "prev_", max_chunk_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+                prefix: str = "prev_", chunk: str = "month", ties: Sequence[str] = ()) -> DataFrame:
     """Previous row's ``order`` and ``values`` per key (``prev_<col>``), computed per time chunk.
 
+    Rows of one key at one instant are ordered by ``ties``, then by the values.
+
     Inside a chunk: ``lag``.  For a chunk's first row: the last row of the
     latest earlier non-empty chunk of the key, from a one-row-per-chunk table.
     """
     keys = list(key)
     packed = F.struct(F.col(order).alias("o"), *[F.col(v).alias(v) for v in values])
-    withc = with_chunks(df, keys, order, max_chunk_rows).withColumn("_row", packed)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(order)
+    withc = df.withColumn("_chunk", chunk_of(order, chunk)).withColumn("_row", packed)
+    total = [order, *ties, *values]
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*total)
     inner = withc.withColumn("_prev", F.lag("_row").over(w))
-    lasts = withc.groupBy(*keys, "_chunk").agg(F.max_by("_row", F.col(order)).alias("_last"))
+    lasts = withc.groupBy(*keys, "_chunk").agg(F.max_by("_row", F.struct(*total)).alias("_last"))
     carry = lasts.select(*keys, "_chunk",
                          F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carry"))
     out = inner.join(carry, on=[*keys, "_chunk"], how="left").withColumn("_p", F.coalesce("_prev", "_carry"))
@@ -88,14 +75,15 @@ def nav_volatility(returns: DataFrame, fund: str = "fund_name", digits: int = 8)
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
-              right_cols: Sequence[str], max_chunk_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+              right_cols: Sequence[str], chunk: str = "month") -> DataFrame:
     """Left rows with the last right row of the same ``by`` whose ``right_on`` ≤ ``left_on``.
 
     Adds ``right_on`` and ``right_cols`` (NULL when nothing qualifies).  Right
     rows and left rows are unioned and windowed per (by, chunk) — a right row
     at the same instant counts as "on or before".  A left row with no right row
     earlier in its chunk takes the last right row of the latest earlier chunk,
-    found on a table of one row per (by, chunk).
+    found on a table of one row per (by, chunk).  Of several right rows at one
+    instant the one with the greatest ``right_cols`` (in order) counts.
     """
     keys = list(by)
     rpack = F.struct(F.col(right_on).alias("_rt"), *[F.col(c).alias(c) for c in right_cols])
@@ -105,13 +93,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
                            F.lit(None).cast(rtype).alias("_r"))
     r_full = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) if c not in keys else F.col(c)
                             for c in lcols], F.col(right_on).alias("_t"), F.lit(0).alias("_kind"), rpack.alias("_r"))
-    both = with_chunks(l_tagged.unionByName(r_full), keys, "_t", max_chunk_rows)
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = l_tagged.unionByName(r_full).withColumn("_chunk", chunk_of("_t", chunk))
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_t", "_kind", "_r").rowsBetween(Window.unboundedPreceding, 0)
     matched = (both.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
                .filter(F.col("_kind") == 1).drop("_r"))
     # Boundary carry: last right row per (by, chunk), propagated to later chunks of left rows.
     r_last = both.filter(F.col("_kind") == 0).groupBy(*keys, "_chunk").agg(
-        F.max_by("_r", F.col("_t")).alias("_last"))
+        F.max("_r").alias("_last"))  # by time first, then by value
     l_chunks = matched.select(*keys, "_chunk").distinct().withColumn("_last", F.lit(None).cast(rtype))
     # Left-chunk rows sort before the same chunk's right summary, so only earlier chunks precede them.
     wc = Window.partitionBy(*keys).orderBy(F.col("_chunk"), F.col("_is_left").desc()).rowsBetween(
@@ -132,14 +120,22 @@ def latest_on_or_before(right: DataFrame, by: Sequence[str], right_on: str, valu
     d = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(as_of)
     packed = F.struct(F.col(right_on).alias(right_on), *[F.col(c).alias(c) for c in value_cols])
     return (right.filter(F.col(right_on) <= F.lit(d))
-            .groupBy(*by).agg(F.max_by(packed, F.col(right_on)).alias("_p"))
+            .groupBy(*by).agg(F.max(packed).alias("_p"))  # by date first, then by value
             .select(*by, *[F.col(f"_p.{c}").alias(c) for c in [right_on, *value_cols]]))
 
 
 def value_holdings(holdings: DataFrame, nav: DataFrame, as_of: dt.date | str, fund: str = "fund_name") -> DataFrame:
-    """Each holding valued at the NAV on/before its buy date and at the NAV on/before ``as_of``."""
-    at_buy = asof_join(holdings, nav.select(fund, "nav_date", "nav"), [fund], "buy_date", "nav_date", ["nav"])
-    at_buy = at_buy.withColumnsRenamed({"nav_date": "nav_date_at_buy", "nav": "nav_at_buy"})
+    """Each holding valued at the NAV on/before its buy date and at the NAV on/before ``as_of``.
+
+    Only the distinct (fund, buy date) pairs meet the price history; holdings
+    take their price with an equi-join, so they are never sorted or windowed.
+    """
+    pairs = holdings.select(fund, "buy_date").distinct()
+    priced = asof_join(pairs, nav.select(fund, "nav_date", "nav"), [fund], "buy_date", "nav_date", ["nav"])
+    priced = priced.withColumnsRenamed({"nav_date": "nav_date_at_buy", "nav": "nav_at_buy"})
+    p = priced.withColumnsRenamed({fund: "_fund", "buy_date": "_date"})
+    at_buy = holdings.join(p, F.col(fund).eqNullSafe(F.col("_fund")) & F.col("buy_date").eqNullSafe(F.col("_date")),
+                           "left").drop("_fund", "_date")
     current = latest_on_or_before(nav, [fund], "nav_date", ["nav"], as_of).withColumnsRenamed(
         {"nav_date": "current_nav_date", "nav": "current_nav"})
     return at_buy.join(current, on=fund, how="left").withColumns({

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from fintide import config as C
 from fintide.operators import model as ML
+from fintide.operators.clean import clean_clients, clean_holdings
+from fintide.operators.enrich import enrich_clients
 from fintide.operators.features import training_features
-from fintide.operators.portfolio import summarise_holdings
+from fintide.operators.portfolio import portfolio_summary, summarise_holdings
 from fintide.operators import metrics as M
 from fintide.plans import views as V
 from fintide.plans.catalog import register
@@ -17,6 +19,7 @@ from fintide.plans.q_ml import FEATURE_TABLE_COLS, trained
 from fintide.plans.q_portfolio import SUMMARY_COLS
 from fintide.session import work_path
 from fintide.sources import io
+from fintide.sources import testviews as tv
 
 
 def _cols(text: str) -> list[str]:
@@ -45,7 +48,7 @@ def lake_sql_table(spark, d):
     path = work_path(spark, "portfolios")
     written = io.write_lake(V.summary(spark, d), path, ["risk_profile"])
     name = io.register_table(spark, "wealth", f"portfolios_{path.rsplit('-', 1)[-1]}", path,
-                             "Portfolio summaries per client")
+                             "Portfolio summaries per client", partitioned=True)
     table = spark.table(name)
     n = table.count()
     if n != written:
@@ -65,7 +68,9 @@ def run_record_roundtrip(spark, d):
     params = {"n_estimators": C.N_TREES, "max_depth": C.MAX_DEPTH, "min_samples": C.MIN_SAMPLES_SPLIT,
               "test_size": C.TEST_SIZE, "random_state": C.SEED, "features": C.FEATURE_COLS,
               "model_path": model_path}
-    metrics = {"accuracy": round(m["accuracy"], 4), "f1_score": round(m["macro_f1"], 4), "test_rows": m["n"]}
+    metrics = {"accuracy": round(m["accuracy"], 4), "f1_score": round(m["macro_f1"], 4), "test_rows": m["n"],
+               "training_rows": split.filter(F.col("split") == "train").count(), "classes": ML.class_labels(model),
+               "importances": {r["feature"]: r["importance"] for r in ML.importances(spark, model).collect()}}
     runs = work_path(spark, "runs")
     io.write_records(ML.run_record(spark, model_path.rsplit("-", 1)[-1], params, metrics), runs)
     return io.read_records(spark, runs, ML.RUN_SCHEMA)
@@ -76,7 +81,7 @@ def run_record_roundtrip(spark, d):
 def bucketed_features(spark, d):
     """Clients and the holdings roll-up land as tables bucketed by client_id; the feature join
     then reads both bucket-aligned and needs no exchange."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = C.LAKE_BUCKETS
     clients_path, summary_path = work_path(spark, "clients_b"), work_path(spark, "summary_b")
     suffix = clients_path.rsplit("-", 1)[-1]
     spark.sql("CREATE DATABASE IF NOT EXISTS wealth")
@@ -85,3 +90,50 @@ def bucketed_features(spark, d):
     summary = io.write_bucketed(summarise_holdings(V.holdings_clean(spark, d), as_of=C.FIXTURE_AS_OF),
                                 f"wealth.summary_b_{suffix}", summary_path, "client_id", n)
     return training_features(spark.table(summary), spark.table(clients))
+
+
+@register("ingest_clients", with_views(f"SELECT {ENRICHED_COLS} FROM clients_enriched", "clients_enriched"))
+def ingest_clients(spark, d):
+    """Raw client CSV → declared schema → clean → enrich → partitioned table → verified read-back."""
+    return _ingested_clients(spark, d)[1].select(*_cols(ENRICHED_COLS))
+
+
+def _ingested_clients(spark, d):
+    landing, lake = work_path(spark, "clients_csv"), work_path(spark, "clients_lake")
+    io.write_csv(tv.clients_raw(spark, d), landing)
+    raw = io.read_csv_checked(spark, landing, C.CLIENTS_RAW_SCHEMA)
+    ready = enrich_clients(clean_clients(raw), as_of=C.FIXTURE_AS_OF, metros=C.FIXTURE_METROS)
+    written = io.write_lake(ready, lake, ["risk_profile"])
+    return raw, io.read_back(spark, lake, written)
+
+
+@register("ingest_clients_report", with_views("""
+SELECT (SELECT count(*) FROM clients_raw) AS raw_rows, count(*) AS lake_rows,
+       (SELECT count(*) FROM clients_raw) - count(*) AS removed_rows FROM clients_enriched""", "clients_enriched"))
+def ingest_clients_report(spark, d):
+    """Rows read from the CSV files against rows read back from the table."""
+    raw, lake = _ingested_clients(spark, d)
+    n_raw, one = raw.agg(F.count(F.lit(1)).alias("raw_rows")), F.lit(1).alias("one")
+    n_lake = lake.agg(F.count(F.lit(1)).alias("lake_rows"))
+    return n_raw.select("*", one).join(n_lake.select("*", one), "one").select(
+        "raw_rows", "lake_rows", (F.col("raw_rows") - F.col("lake_rows")).alias("removed_rows"))
+
+
+@register("ingest_holdings", with_views(f"SELECT {SUMMARY_COLS} FROM portfolio_summary", "portfolio_summary"))
+def ingest_holdings(spark, d):
+    """Raw holdings CSV → declared schema → clean → roll-up joined to the written clients table → table → read-back."""
+    landing, lake = work_path(spark, "holdings_csv"), work_path(spark, "holdings_lake")
+    io.write_csv(tv.holdings_raw(spark, d), landing)
+    held = clean_holdings(io.read_csv_checked(spark, landing, C.HOLDINGS_RAW_SCHEMA))
+    _, clients = _ingested_clients(spark, d)
+    written = io.write_lake(portfolio_summary(held, clients, as_of=C.FIXTURE_AS_OF), lake, ["risk_profile"])
+    return io.read_back(spark, lake, written).select(*_cols(SUMMARY_COLS))
+
+
+@register("inferred_csv", with_views(f"SELECT {FEATURE_TABLE_COLS} FROM training_features", "training_features"))
+def inferred_csv(spark, d):
+    """The exported feature table read without a declared schema; inferred types are brought to the declared ones."""
+    path = work_path(spark, "features_csv")
+    io.write_csv(V.features(spark, d), path)
+    found = io.read_csv_inferred(spark, path)
+    return found.select(*[F.col(f.name).cast(f.dataType) for f in C.TRAINING_FEATURES_SCHEMA])

@@ -11,39 +11,36 @@ from fintide.operators import model as ML
 from fintide.plans import views as V
 from fintide.plans.catalog import register
 from fintide.plans.oracle_views import rnd, with_views
-from fintide.session import app_id
 
 FEATURE_TABLE_COLS = ("client_id, equity_pct, debt_pct, gold_pct, total_num_funds, years_invested, aum_lakh, "
                       "age_group_encoded, target")
 
-_INT_FEATURES = {"total_num_funds", "age_group_encoded"}
-
-
 @register("training_features", with_views(f"SELECT {FEATURE_TABLE_COLS} FROM training_features",
                                           "training_features"))
 def training_features(spark, d):
     return V.features(spark, d)
 
 
-def _imputed_sql() -> str:
-    meds = ", ".join(f"median({c}) AS m_{c}" for c in C.FEATURE_COLS)
-    fills = []
-    for c in C.FEATURE_COLS:
-        fill = f"coalesce(m.m_{c}, 0)"
-        if c in _INT_FEATURES:
-            fills.append(f"coalesce(f.{c}, CAST(trunc({fill}) AS {'BIGINT' if c == 'total_num_funds' else 'INTEGER'}))"
-                         f" AS {c}")
-        else:
-            fills.append(f"coalesce(f.{c}, {fill}) AS {c}")
-    return with_views(f"""
-SELECT f.client_id, {', '.join(fills)}, f.target
-FROM training_features f CROSS JOIN (SELECT {meds} FROM training_features) m""", "training_features")
+_GAPS = ("gaps", "SELECT client_id, target, " + ", ".join(
+    f"CASE WHEN CAST(substr(client_id, 4) AS BIGINT) % {5 + i} <> 0 THEN {c} END AS {c}"
+    for i, c in enumerate(C.FEATURE_COLS)) + " FROM training_features")
+_MEDIANS = ", ".join(f"median(CAST({c} AS DOUBLE)) AS m_{c}" for c in C.FEATURE_COLS)
 
 
-@register("imputed_features", _imputed_sql())
+@register("imputed_features", with_views(f"""
+SELECT g.client_id, {', '.join(f'coalesce(CAST(g.{c} AS DOUBLE), m.m_{c}, 0) AS {c}' for c in C.FEATURE_COLS)}, g.target
+FROM gaps g CROSS JOIN (SELECT {_MEDIANS} FROM gaps) m""", "training_features", extra=[_GAPS]))
 def imputed_features(spark, d):
-    filled, _ = FE.impute_median(V.features(spark, d), C.FEATURE_COLS)
-    return filled
+    filled, _ = FE.impute_median(V.features_with_gaps(spark, d), C.FEATURE_COLS)
+    return filled.select("client_id", *C.FEATURE_COLS, "target")
+
+
+@register("median_report", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS null_count, median(CAST({c} AS DOUBLE)) AS median "
+    "FROM gaps" for c in C.FEATURE_COLS), "training_features", extra=[_GAPS]))
+def median_report(spark, d):
+    _, report = FE.impute_median(V.features_with_gaps(spark, d), C.FEATURE_COLS)
+    return report
 
 
 @register("class_weights", with_views("""
@@ -141,18 +138,20 @@ def classification_report(spark, d):
     return M.class_report(_with_rule(spark, d), "target", "prediction")
 
 
-_MODELS: dict[tuple[str, str], tuple] = {}
+@register("split_features", with_views(f"""
+SELECT {FEATURE_TABLE_COLS.replace('client_id', 'f.client_id').replace('target', 'f.target')}, s.split
+FROM training_features f JOIN split_rows s ON f.client_id = s.client_id""", "training_features",
+                                       extra=[_QUOTA_CTE, _RANKED_CTE, _SPLIT_CTE]))
+def split_features(spark, d):
+    """The split with every feature kept."""
+    return FE.stratified_split(V.features(spark, d), "client_id", "target", C.TEST_SIZE, C.SEED)
 
 
 def trained(spark, d):
-    """Fit once per (application, tables): the split, the model, and the held-out predictions."""
-    key = (app_id(spark), d)
-    if key not in _MODELS:
-        filled, _ = FE.impute_median(V.features(spark, d), C.FEATURE_COLS)
-        split = FE.stratified_split(filled, "client_id", "target", C.TEST_SIZE, C.SEED).checkpoint()
-        model = ML.fit_risk_model(split.filter(F.col("split") == "train"))
-        _MODELS[key] = (split, model)
-    return _MODELS[key]
+    """The split feature table (imputed) and the model fitted on its training rows."""
+    filled, _ = FE.impute_median(V.features(spark, d), C.FEATURE_COLS)
+    split = FE.stratified_split(filled, "client_id", "target", C.TEST_SIZE, C.SEED).checkpoint()
+    return split, ML.fit_risk_model(split.filter(F.col("split") == "train"))
 
 
 @register("risk_model_metrics")
@@ -165,20 +164,48 @@ def risk_model_metrics(spark, d):
                     F.round("accuracy", 4).alias("accuracy"), F.round("macro_f1", 4).alias("f1_score"))
 
 
+@register("risk_model_rows", with_views("""
+SELECT sum(n_test)::BIGINT AS test_rows, (sum(n_class) - sum(n_test))::BIGINT AS training_rows, sum(n_test)::BIGINT AS confusion_total,
+       true AS accuracy_in_range
+FROM quota""", "training_features", extra=[_QUOTA_CTE]))
+def risk_model_rows(spark, d):
+    """What the metrics rest on: rows scored and trained on, the confusion matrix's total, accuracy within 0..1."""
+    split, model = trained(spark, d)
+    test = ML.score_features(model, split.filter(F.col("split") == "test"))
+    table = M.confusion(test, "target", "predicted_profile")
+    total = table.agg(F.sum(sum(F.col(c) for c in C.RISK_CLASSES)).alias("confusion_total"))
+    rows = split.agg(F.count_if(F.col("split") == "test").alias("test_rows"),
+                     F.count_if(F.col("split") == "train").alias("training_rows"))
+    share = M.accuracy_and_macro_f1(test, "target", "predicted_profile").select(
+        F.col("accuracy").between(0, 1).alias("accuracy_in_range"))
+    one = F.lit(1).alias("one")  # three one-row results side by side
+    return (rows.select("*", one).join(total.select("*", one), "one").join(share.select("*", one), "one")
+            .select("test_rows", "training_rows", "confusion_total", "accuracy_in_range"))
+
+
 @register("feature_importances")
 def feature_importances(spark, d):
     _, model = trained(spark, d)
     return ML.importances(spark, model)
 
 
-def known_profiles(spark, d):
-    """The three reference profiles scored by the model trained on the tables (pytest only: fixed input)."""
-    _, model = trained(spark, d)
+@register("importance_totals", with_views(f"""
+SELECT {len(C.FEATURE_COLS)}::BIGINT AS features, 1.0::DOUBLE AS total, 0::BIGINT AS negative
+FROM (SELECT count(*) FROM training_features) t""", "training_features"))
+def importance_totals(spark, d):
+    """Importances cover every feature, add up to one and are never negative."""
+    return feature_importances(spark, d).agg(
+        F.countDistinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("negative"))
+
+
+def known_profiles(spark, model):
+    """Three fixed profiles with their expected class, scored by ``model`` (pytest only: fixed input)."""
     rows = [
-        ("Young aggressive investor", 85.0, 10.0, 5.0, 6, 3.0, 25.0, 0, "Aggressive"),
-        ("Senior conservative investor", 5.0, 85.0, 10.0, 3, 15.0, 200.0, 2, "Conservative"),
-        ("Middle-aged moderate investor", 45.0, 40.0, 15.0, 4, 7.0, 80.0, 1, "Moderate"),
+        (85.0, 10.0, 5.0, 6, 3.0, 25.0, 0, "Aggressive"),
+        (5.0, 85.0, 10.0, 3, 15.0, 200.0, 2, "Conservative"),
+        (45.0, 40.0, 15.0, 4, 7.0, 80.0, 1, "Moderate"),
     ]
-    cols = ["name"] + list(C.FEATURE_COLS) + ["expected"]
+    cols = list(C.FEATURE_COLS) + ["expected"]
     probe = spark.createDataFrame(rows, cols)
-    return ML.score_features(model, probe).select("name", "expected", "predicted_profile", "confidence")
+    return ML.score_features(model, probe).select("expected", "predicted_profile", "confidence")

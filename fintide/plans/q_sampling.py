@@ -36,9 +36,8 @@ def weighted_assignment(spark, d):
 
 def _expand_sql() -> str:
     u = uniform("client_id", "CAST(slot AS VARCHAR)")
-    cases = " ".join(
-        f"WHEN risk_profile = '{p}' THEN {pick(u, [(t, float(w)) for t, w in pool])}"
-        for p, pool in C.ALLOCATION_POOLS.items())
+    pools = {p: pick(u, [(t, float(w)) for t, w in pool]) for p, pool in C.ALLOCATION_POOLS.items()}
+    cases = " ".join(f"WHEN risk_profile = '{p}' THEN {x}" for p, x in pools.items()) + f" ELSE {pools[C.FALLBACK_POOL]}"
     lo, hi = C.HOLDINGS_PER_CLIENT
     return with_views(f"""
 SELECT client_id, risk_profile, CAST(slot AS INTEGER) AS slot, CASE {cases} END AS fund_type

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fintide import config as C
+from fintide.operators import metrics as M
+from fintide.operators import model as ML
 from fintide.operators import scoring as S
 from fintide.plans import views as V
 from fintide.plans.catalog import register
@@ -22,11 +24,16 @@ def keyed_requests(spark, d):
     return valid.withColumn("cache_key", S.request_key())
 
 
-def timed_requests(spark, d):
+def events_of_clients(spark, d):
     """Every event is a scoring request by its user at its time."""
-    ev = tv.table(spark, d, "events").select("event_id", tv.padded_id("CLT", F.col("user_id"), 7).alias("client_id"),
-                                             "ts")
-    return ev.join(keyed_requests(spark, d).select("client_id", "cache_key"), on="client_id", how="inner")
+    return tv.table(spark, d, "events").select("event_id", tv.padded_id("CLT", F.col("user_id"), 7).alias("client_id"),
+                                               "ts")
+
+
+def timed_requests(spark, d):
+    """The events of clients with a valid request, with their cache key."""
+    return events_of_clients(spark, d).join(keyed_requests(spark, d).select("client_id", "cache_key"), on="client_id",
+                                            how="inner")
 
 
 @register("request_validation", with_views("""
@@ -83,28 +90,85 @@ def score_requests(spark, d):
     return S.score_requests(model, valid)
 
 
+def _answered(scored):
+    return scored.select(
+        "client_id", F.col("risk_profile").isin(C.RISK_CLASSES).alias("known_class"),
+        F.col("confidence").isin("High", "Medium", "Low").alias("known_confidence"), "from_cache", "model_version")
+
+
+_ANSWERED_SQL = with_views(f"""
+SELECT client_id, true AS known_class, true AS known_confidence, false AS from_cache, '{C.MODEL_VERSION}' AS model_version
+FROM request_keys""", "request_keys")
+
+
+@register("score_requests_answers", _ANSWERED_SQL)
+def score_requests_answers(spark, d):
+    """Every valid request answered once, with a class, a confidence and the model's version."""
+    return _answered(score_requests(spark, d))
+
+
 @register("scored_with_reuse")
 def scored_with_reuse(spark, d):
-    """Every timed request answered; the model runs once per distinct cache key."""
+    """Every timed request answered; the model runs once per distinct cache key (a client has one)."""
     _, model = trained(spark, d)
-    keyed = keyed_requests(spark, d)
-    timed = timed_requests(spark, d).join(keyed.drop("client_id"), on="cache_key", how="inner")
-    return S.score_distinct(model, timed).select("event_id", "client_id", "cache_key", "risk_profile",
-                                                 "confidence")
+    scored = ML.score_features(model, S.encode_requests(keyed_requests(spark, d))).select(
+        "client_id", "cache_key", F.col("predicted_profile").alias("risk_profile"), "confidence")
+    return events_of_clients(spark, d).join(scored, on="client_id").select(
+        "event_id", "client_id", "cache_key", "risk_profile", "confidence")
+
+
+@register("scored_with_reuse_answers", with_views("""
+SELECT event_id, cache_key, 1::BIGINT AS answers, 1::BIGINT AS answers_of_key FROM timed_requests""", "timed_requests"))
+def scored_with_reuse_answers(spark, d):
+    """One answer per request, and one prediction per key whatever its requests."""
+    scored = scored_with_reuse(spark, d).checkpoint()
+    keys = scored.groupBy("cache_key").agg(F.countDistinct("risk_profile", "confidence").alias("answers_of_key"))
+    return scored.groupBy("event_id", "cache_key").agg(F.count(F.lit(1)).alias("answers")).join(keys, "cache_key").select(
+        "event_id", "cache_key", "answers", "answers_of_key")
+
+
+_RULE = "CASE WHEN equity_pct >= 60 THEN 'Aggressive' WHEN debt_pct >= 50 THEN 'Conservative' ELSE 'Moderate' END"
 
 
 @register("cache_lookup", with_views(f"""
 SELECT r.event_id, r.cache_key, r.ts, s.stored_at,
-       coalesce(r.ts < s.stored_at + INTERVAL {C.CACHE_TTL_SECONDS} SECOND, false) AS from_cache
+       coalesce(r.ts < s.stored_at + INTERVAL {C.CACHE_TTL_SECONDS} SECOND, false) AS from_cache,
+       CASE WHEN coalesce(r.ts < s.stored_at + INTERVAL {C.CACHE_TTL_SECONDS} SECOND, false) THEN s.stored
+            ELSE v.profile END AS risk_profile
 FROM timed_requests r
-ASOF LEFT JOIN (SELECT cache_key, date_trunc('day', min(ts)) + INTERVAL 12 HOUR AS stored_at
-                FROM timed_requests GROUP BY cache_key) s
-  ON r.cache_key = s.cache_key AND r.ts >= s.stored_at""", "timed_requests"))
+JOIN (SELECT client_id, {_RULE} AS profile FROM validated) v ON v.client_id = r.client_id
+ASOF LEFT JOIN (SELECT t.cache_key, date_trunc('day', min(ts)) + INTERVAL 12 HOUR AS stored_at,
+                       any_value({_RULE}) || ' (stored)' AS stored
+                FROM timed_requests t JOIN validated f ON t.client_id = f.client_id GROUP BY t.cache_key) s
+  ON r.cache_key = s.cache_key AND r.ts >= s.stored_at""", "timed_requests", "validated"))
 def cache_lookup(spark, d):
-    """Each key's prediction stored once, at noon of its first request day; requests look it up."""
-    reqs = timed_requests(spark, d).checkpoint()  # read by both join sides: materialise once
+    """Each key's prediction stored once, at noon of its first request day; requests take the stored
+    value while it is fresh and are scored (by the allocation rule) otherwise."""
+    ruled = keyed_requests(spark, d).withColumn("profile", M.rule_prediction()).select("client_id", "cache_key", "profile")
+    reqs = events_of_clients(spark, d).join(ruled, on="client_id").checkpoint()  # read by both join sides
     store = reqs.groupBy("cache_key").agg(
         (F.date_trunc("day", F.min("ts")).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(12)))
-        .alias("stored_at"))
-    return S.cache_lookup(reqs, store, "cache_key", "ts", "stored_at", []).select(
-        "event_id", "cache_key", "ts", "stored_at", "from_cache")
+        .alias("stored_at"), F.concat(F.min("profile"), F.lit(" (stored)")).alias("stored"))
+    found = S.cache_lookup(reqs, store, "cache_key", "ts", "stored_at", ["stored"])
+    return found.select("event_id", "cache_key", "ts", "stored_at", "from_cache",
+                        F.when(F.col("from_cache"), F.col("stored")).otherwise(F.col("profile")).alias("risk_profile"))
+
+
+@register("request_flow", with_views(f"""
+SELECT e.event_id, printf('CLT%07d', e.user_id) AS client_id, e.ts,
+       CASE WHEN w.event_id IS NULL THEN 'rejected' WHEN w.hit THEN 'hit' ELSE 'scored' END AS status,
+       CASE WHEN v.client_id IS NULL THEN 'client_id: unknown' ELSE array_to_string(v.reasons, '; ') END AS reasons,
+       coalesce(w.hit, false) AS from_cache,
+       CASE WHEN w.event_id IS NOT NULL THEN {_RULE} END AS risk_profile,
+       make_timestamp(w.expiry - {TTL_US}) AS stored_at
+FROM events e LEFT JOIN validated v ON v.client_id = printf('CLT%07d', e.user_id)
+LEFT JOIN walk w ON w.event_id = e.event_id""", "timed_requests", "validated", extra=_WALK, recursive=True))
+def request_flow(spark, d):
+    """Every event answered: rejected with its reasons, scored (and stored), or given the stored value."""
+    checked = S.validate_requests(requests(spark, d))
+    asked = events_of_clients(spark, d).join(checked, on="client_id", how="left")
+    asked = asked.withColumn("reasons", F.coalesce("reasons", F.array(F.lit("client_id: unknown"))))
+    out = S.request_flow(asked, "event_id", "ts", lambda df: df.withColumn("risk_profile", M.rule_prediction()),
+                         ["risk_profile"])
+    return out.select("event_id", "client_id", "ts", "status", F.concat_ws("; ", "reasons").alias("reasons"), "from_cache",
+                      "risk_profile", "stored_at")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from fintide.plans.catalog import register
 from fintide.plans.oracle_views import with_views
 from fintide.plans.q_ml import trained
-from fintide.plans.q_scoring import requests
+from fintide.plans.q_scoring import _ANSWERED_SQL, _answered, requests
 from fintide.plans.q_transactions import _RULES_SQL
 from fintide.session import work_path
 from fintide.sources import testviews as tv
@@ -16,13 +16,16 @@ from fintide.streaming import stream as ST
 SELECT client_id, date_trunc('hour', txn_ts) AS window_start, date_trunc('hour', txn_ts) + INTERVAL 1 HOUR
        AS window_end, count(*) AS n_txn, CAST(sum(amount) AS DOUBLE) AS total_amount,
        CAST(count_if(rules_hit >= 3) AS BIGINT) AS n_suspicious
-FROM flagged GROUP BY 1, 2
-HAVING date_trunc('hour', txn_ts) + INTERVAL 1 HOUR <= (SELECT max(txn_ts) FROM transactions) - INTERVAL 1 HOUR
-""", "transactions", extra=[("flagged", _RULES_SQL)]))
+FROM flagged GROUP BY 1, 2""", "transactions", extra=[("flagged", _RULES_SQL)]))
 def stream_transaction_monitor(spark, d):
-    """Transactions arrive as files; hourly per-client windows are emitted once the watermark closes them."""
-    src = ST.stage_files(tv.transactions(spark, d), work_path(spark, "txn_stream_in"), files=4, order_by="txn_ts")
-    stream = ST.read_stream(spark, src, tv.transactions(spark, d).schema, max_files=1)  # 4 micro-batches
+    """Transactions arrive as files; hourly per-client windows are emitted once the watermark closes them.
+
+    A closing row ends the stream, so every window of the data is emitted.
+    """
+    txn = tv.transactions(spark, d)
+    src = ST.stage_files(txn, work_path(spark, "txn_stream_in"))
+    ST.close_stream(txn, src, "txn_ts", "3 HOURS")
+    stream = ST.read_stream(spark, src, txn.schema)
     return ST.run_to_table(spark, ST.stream_monitor(stream), "txn_monitor")
 
 
@@ -35,3 +38,7 @@ def stream_scoring(spark, d):
     return ST.run_to_table(spark, ST.stream_scores(stream, model), "scoring")
 
 
+@register("stream_scoring_answers", _ANSWERED_SQL)
+def stream_scoring_answers(spark, d):
+    """Every valid request of the stream answered once."""
+    return _answered(stream_scoring(spark, d))

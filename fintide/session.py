@@ -57,7 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
     if not conf_dir:
-        # Local/test fallback only: a cluster names a shared folder in spark.checkpoint.dir.
+        # A cluster names a folder that its executors share; only local sessions (tests) may choose their own.
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="fintide-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", conf_dir)

@@ -12,34 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-_SPREAD: dict[tuple[str, tuple[str, ...]], int] = {}
-
-
-def spread_small_scan(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
-    """Round-robin a scan of fewer files than the cluster has cores, if it is big enough to matter.
-
-    A file written as one Parquet row group is one split whatever its size, so
-    all downstream narrow work would run in one task.  A large table laid out
-    in many files already has more splits than cores and is returned unchanged
-    (no shuffle is added).  Filters and column pruning still reach the scan
-    (they push through a repartition).  The decision is made once per input
-    (file listing + size statistics) and remembered for the session.
-    """
-    try:
-        sc = df.sparkSession.sparkContext
-        files = tuple(sorted(df.inputFiles()))
-        key = (sc.applicationId, files)
-        if key not in _SPREAD:
-            cores = sc.defaultParallelism
-            raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-            size = raw if isinstance(raw, int) else int(raw.toString())
-            big_and_few = size >= min_bytes and len(files) < cores
-            _SPREAD[key] = min(cores, max(2, size // (1 << 20))) if big_and_few else 0
-    except Exception:  # Spark Connect exposes neither; leave the scan as it is
-        return df
-    return df.repartition(_SPREAD[key]) if _SPREAD[key] else df
-
-
 def lake_format(spark: SparkSession) -> str:
     """``delta`` when the session is configured with the Delta extension, otherwise ``parquet``."""
     extensions = spark.conf.get("spark.sql.extensions", "") or ""
@@ -98,6 +70,9 @@ def write_lake(df: DataFrame, path: str, partition_by: list[str] | None = None,
     fmt = fmt or lake_format(df.sparkSession)
     obs = Observation(name)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        # Few files per partition value; adaptive execution splits the large values and joins the small ones.
+        observed = observed.hint("rebalance", *partition_by)
     writer = observed.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -138,24 +113,24 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int,
 
 
 def register_table(spark: SparkSession, database: str, name: str, path: str, comment: str = "",
-                   fmt: str = "parquet") -> str:
-    """Create the namespace if missing, drop and re-create an external table over files; returns its name."""
+                   fmt: str = "parquet", partitioned: bool = False) -> str:
+    """Create the namespace if missing, drop and re-create an external table over files; returns its name.
+
+    ``partitioned`` tables recover their partitions (a failure to do so is raised).
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     full = f"`{database}`.`{name}`"
     spark.sql(f"DROP TABLE IF EXISTS {full}")
     text = comment.replace("'", "\\'")
     spark.sql(f"CREATE TABLE {full} USING {fmt} OPTIONS (path '{path}') COMMENT '{text}'")
-    if fmt == "parquet":
-        try:
-            spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
-        except Exception:  # not partitioned, or the catalog tracks no partitions
-            pass
+    if partitioned and fmt == "parquet":
+        spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
     return f"{database}.{name}"
 
 
 def write_records(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Append small record rows (run metadata) as JSON lines."""
-    df.coalesce(1).write.mode(mode).json(path)
+    """Append record rows (run metadata) as JSON lines."""
+    df.write.mode(mode).json(path)
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

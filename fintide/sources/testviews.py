@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fintide.session import app_id
-from fintide.sources.io import spread_small_scan
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -44,16 +42,19 @@ EVENT_CHANNEL = [("error", "API"), ("purchase", "API"), ("view", "APP"), ("click
                  ("signup", "ADVISOR")]
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+SCAN_PARTITIONS = "spark.fintide.scanPartitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test table (read-only input: one lazy scan per table is reused within a session)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (app_id(spark), path)
-    if key not in _SCANS:
-        _SCANS[key] = spread_small_scan(spark.read.parquet(path))
-    return _SCANS[key]
+    """Scan of one test table.
+
+    The test tables are single files of one row group, that is one task.  A
+    caller that wants them spread says so with ``spark.fintide.scanPartitions``
+    (bench does); tables laid out in many files need no such shuffle.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    parts = int(spark.conf.get(SCAN_PARTITIONS, "0"))
+    return df.repartition(parts) if parts > 1 else df
 
 
 def _lookup(col: Column, pairs) -> Column:

@@ -3,7 +3,7 @@
 Sources are file streams (``readStream`` with a declared schema); sinks are
 append-mode Parquet with a checkpoint folder, so a restarted query resumes
 exactly where it stopped.  ``run_available`` drives a query with the
-``availableNow`` trigger (process what exists, then stop) and a bounded wait.
+``availableNow`` trigger (process what exists, then stop).
 """
 
 from __future__ import annotations
@@ -26,20 +26,37 @@ from fintide.session import work_path
 def stage_files(df: DataFrame, path: str, files: int = 4, order_by: str | None = None) -> str:
     """Materialise a frame as Parquet files a file-stream source can pick up.
 
-    With ``order_by`` the files arrive in that order: the source orders files by
-    modification time, so each range is appended by its own write, one after
-    another (parallel part files of one write would share a timestamp).
+    With ``order_by`` the rows arrive in ``files`` slices of that order: the
+    source orders files by modification time, so each slice is appended by its
+    own write, one after another.  Slices are cut at quantiles of the column
+    and written by as many tasks as hold their rows.
     """
     if not order_by:
         df.repartition(files).write.mode("overwrite").parquet(path)
         return path
-    ranged = df.repartitionByRange(files, order_by).withColumn("_slice", F.spark_partition_id()).checkpoint()
-    for i in range(files):
-        part = ranged.filter(F.col("_slice") == i).drop("_slice")
-        part.coalesce(1).write.mode("overwrite" if i == 0 else "append").parquet(path)
+    held = df.checkpoint()
+    at = F.unix_micros(F.col(order_by).cast("timestamp"))
+    cuts = held.agg(F.percentile_approx(at, [i / files for i in range(1, files)], 1000).alias("q")).first()["q"] or []
+    bounds = [None, *cuts, None]
+    for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        part = held if low is None else held.filter(at > low)
+        part = part if high is None else part.filter(at <= high)
+        part.write.mode("overwrite" if i == 0 else "append").parquet(path)
     return path
 
 
+def close_stream(df: DataFrame, path: str, ts_col: str, after: str) -> None:
+    """Append a closing row ``after`` (an interval) the last ``ts_col``, with NULL elsewhere.
+
+    It carries the watermark past every window of the data, so the last ones
+    are emitted as well; it holds no transaction, so the monitor emits nothing for it.
+    """
+    last = df.agg((F.max(ts_col) + F.expr(f"INTERVAL {after}")).alias(ts_col))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != ts_col else F.col(ts_col).cast(f.dataType)
+             for f in df.schema]
+    last.select(*nulls).write.mode("append").parquet(path)
+
+
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if max_files:
@@ -59,14 +76,17 @@ def prefer_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(STATE_PROVIDER, ROCKSDB)
 
 
-def run_available(df: DataFrame, out_path: str, checkpoint: str, timeout_s: int = 600,
+def run_available(df: DataFrame, out_path: str, checkpoint: str, timeout_s: float | None = None,
                   output_mode: str = "append") -> None:
-    """Run a streaming frame to an append Parquet sink until all available input is processed."""
+    """Run a streaming frame to an append Parquet sink until all available input is processed.
+
+    Waits as long as that takes unless the caller sets ``timeout_s``.
+    """
     prefer_rocksdb_state(df.sparkSession)
     q = (df.writeStream.format("parquet").outputMode(output_mode).option("checkpointLocation", checkpoint)
          .option("path", out_path).trigger(availableNow=True).start())
     try:
-        finished = q.awaitTermination(timeout_s)
+        finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() is None
         if not finished:
             raise TimeoutError(f"streaming query did not finish within {timeout_s}s")
         if q.exception() is not None:
@@ -85,10 +105,11 @@ def stream_monitor(stream: DataFrame, window: str = "1 hour", watermark: str = "
         flagged.withWatermark("_event_time", watermark)
         .groupBy(F.window("_event_time", window).alias("w"), "client_id")
         .agg(
-            F.count(F.lit(1)).alias("n_txn"),
+            F.count("txn_id").alias("n_txn"),
             F.sum("amount").cast("double").alias("total_amount"),
             F.count_if(F.col("is_suspicious")).alias("n_suspicious"),
         )
+        .filter(F.col("n_txn") > 0)  # a closing row has no transaction (a filter on its key would be pushed below the watermark)
         .select("client_id", F.col("w.start").cast(ts_type).alias("window_start"),
                 F.col("w.end").cast(ts_type).alias("window_end"), "n_txn", "total_amount", "n_suspicious")
     )
@@ -118,8 +139,9 @@ def _cache_fold(ttl_us: int):
         expiry = state.get[0] if state.exists else None
         hits = []
         for t in rows["t_us"].tolist():
-            hit = expiry is not None and t < expiry
-            if not hit:
+            late = expiry is not None and t < expiry - ttl_us  # older than the entry: it cannot have seen it
+            hit = expiry is not None and not late and t < expiry
+            if not hit and not late:
                 expiry = t + ttl_us
             hits.append(hit)
         expiry_ms = int(expiry // 1000)
@@ -138,8 +160,11 @@ def stream_cache(stream: DataFrame, key: str = "cache_key", ts_col: str = "ts",
                  ttl_seconds: int = C.CACHE_TTL_SECONDS, watermark: str = "1 hour") -> DataFrame:
     """TTL cache replay on a stream with keyed state (one expiry per key, removed after it lapses).
 
-    Within a micro-batch a key's rows are ordered by time before folding; across
-    batches, arrival order is time order (a file stream of time-ordered files).
+    The contract is arrival order by micro-batch: within a batch a key's rows
+    are ordered by time before folding; a row of a later batch that is older
+    than the stored entry is a miss and does not replace it.  Time-ordered
+    files give the same answers as the batch replay.  One key's rows of one
+    micro-batch are folded in one task, which ``max_files`` of the source bounds.
     """
     ts_type = stream.schema[ts_col].dataType
     prepared = stream.select(
@@ -152,7 +177,7 @@ def stream_cache(stream: DataFrame, key: str = "cache_key", ts_col: str = "ts",
     )
 
 
-def run_to_table(spark: SparkSession, stream_df: DataFrame, name: str, timeout_s: int = 600) -> DataFrame:
+def run_to_table(spark: SparkSession, stream_df: DataFrame, name: str, timeout_s: float | None = None) -> DataFrame:
     """Run a streaming frame with availableNow into a fresh work folder and return the result table."""
     out = work_path(spark, f"{name}_out")
     run_available(stream_df, out, work_path(spark, f"{name}_ckpt"), timeout_s)

@@ -1,11 +1,14 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fintide.functions.columns import hash_hex
 from fintide.operators.features import (class_weights, exact_medians, impute_median, rank_within, split_quotas,
                                         stratified_split)
+from fintide.operators.sampling import sample_n, shuffle
 
 
 @settings(max_examples=10, deadline=None)
@@ -29,16 +32,49 @@ def test_impute_all_null_column_falls_back(spark):
     assert rep == {"a": (1, 2.0), "b": (3, None)}
 
 
-def test_rank_within_hot_group_equals_row_number(spark):
-    rows = [("hot", i) for i in range(3000)] + [(f"g{i % 7}", i) for i in range(2000)]
-    df = spark.createDataFrame(rows, "g string, v long")
-    got = rank_within(df, ["g"], ["v"], "rk", num_partitions=8)
-    want = df.withColumn("rk", F.row_number().over(Window.partitionBy("g").orderBy("v")))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # the hot group really was spread over several range partitions
-    parts = (df.repartitionByRange(8, "g", "v").withColumn("p", F.spark_partition_id())
-             .filter("g = 'hot'").select("p").distinct().count())
-    assert parts > 1
+def _hashed(spark, n, hot=3):
+    """n rows with payload columns; group 'hot' holds all but every ``hot``-th row."""
+    return spark.range(n).select(
+        F.concat(F.lit("id"), "id").alias("id"), F.when(F.col("id") % hot == 0, F.concat(F.lit("g"), F.col("id") % 7))
+        .otherwise("hot").alias("g"), (F.col("id") * 1.5).alias("a"), F.col("id").cast("string").alias("b"),
+    ).withColumn("h", hash_hex("id"))
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_rank_within_keeps_payload_and_gives_every_rank(spark, reuse):
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = _hashed(spark, 200_000)
+        got = rank_within(df, ["g"], "h", ["id"], "rk")
+        want = df.withColumn("rk", F.row_number().over(Window.partitionBy("g").orderBy("h", "id")).cast("long"))
+        cols = ["id", "g", "a", "b", "h", "rk"]
+        assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+        spread = got.groupBy("g").agg(F.count("*").alias("n"), F.countDistinct("rk").alias("d"), F.max("rk").alias("m")).collect()
+        assert all(r.n == r.d == r.m for r in spread)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_split_counts_with_all_columns_kept(spark):
+    df = _hashed(spark, 200_000).withColumn("y", F.when(F.col("id") < "id3", "A").otherwise("B"))
+    quota = {r.y: r.n_test for r in split_quotas(df, "y", 0.2).collect()}
+    one = stratified_split(df, "id", "y", 0.2, 42)
+    assert set(one.columns) == {*df.columns, "split"}
+    got = {r.y: r["count"] for r in one.filter("split = 'test'").groupBy("y").count().collect()}
+    assert got == quota and one.count() == 200_000
+    again = stratified_split(df.repartition(13), "id", "y", 0.2, 42)
+    assert one.select("id", "split").exceptAll(again.select("id", "split")).count() == 0
+
+
+def test_shuffle_and_sample_of_whole_rows(spark):
+    df = _hashed(spark, 30_000)
+    placed = shuffle(df, "id")
+    r = placed.agg(F.count("*").alias("n"), F.countDistinct("position").alias("d"), F.max("position").alias("m")).head()
+    assert r.n == r.d == r.m == 30_000
+    for n in (0, 1, 777, 30_000, 40_000):
+        got = {x.id for x in sample_n(df, "id", n).collect()}
+        assert got == {x.id for x in df.orderBy("h", "id").limit(n).collect()}
+    assert sample_n(df, "id", 5).columns == df.columns
 
 
 def test_stratified_split_exact_counts(spark):
@@ -62,20 +98,35 @@ def test_class_weights_balanced(spark):
 
 
 def test_exact_median_refines_small_brackets(spark):
-    # max_rows=10 forces several refinement passes; ties and an even count included.
+    # A coarse sketch forces several rounds; ties and an even count included.
     xs = [float(i % 37) for i in range(2000)] + [1000.0] * 7
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    assert exact_medians(df, ["x"], accuracy=100, max_rows=10)["x"] == float(np.median(xs))
+    assert exact_medians(df, ["x"], accuracy=100)["x"] == float(np.median(xs))
     ys = [float(i) for i in range(1001)]
     df2 = spark.createDataFrame([(y,) for y in ys], "x double")
-    assert exact_medians(df2, ["x"], accuracy=100, max_rows=10)["x"] == 500.0
+    assert exact_medians(df2, ["x"], accuracy=100)["x"] == 500.0
 
 
 def test_exact_median_heavy_ties_terminate(spark):
-    # Half zeros, half ones: the sketch cannot split the bracket; the histogram path resolves it.
+    # Half zeros, half ones: the two middle ranks sit on the two ends of the bracket.
     xs = [0.0] * 500 + [1.0] * 500
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    assert exact_medians(df, ["x"], accuracy=100, max_rows=10)["x"] == 0.5
+    assert exact_medians(df, ["x"], accuracy=100)["x"] == 0.5
     ys = [0.0] * 300 + [1.0] * 400 + [2.0] * 301
     df2 = spark.createDataFrame([(y,) for y in ys], "x double")
-    assert exact_medians(df2, ["x"], accuracy=100, max_rows=10)["x"] == float(np.median(ys))
+    assert exact_medians(df2, ["x"], accuracy=100)["x"] == float(np.median(ys))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 400), st.lists(st.floats(0.01, 0.99), max_size=120))
+def test_exact_median_with_heavy_end_ties(spark, low, high, middle):
+    xs = [0.0] * low + middle + [1.0] * high
+    df = spark.createDataFrame([(x, -x, None) for x in xs], "x double, y double, z double")
+    got = exact_medians(df, ["x", "y", "z"], accuracy=20)
+    assert got == {"x": float(np.median(xs)), "y": float(np.median([-x for x in xs])), "z": None}
+
+
+def test_integer_columns_are_filled_with_the_true_median(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "n long")
+    filled, report = impute_median(df, ["n"])
+    assert sorted(r.n for r in filled.collect()) == [1.0, 1.5, 2.0] and report.head().median == 1.5

@@ -59,3 +59,22 @@ def test_every_query_has_an_oracle_unless_model_dependent():
     rows_only = {"risk_model_metrics", "feature_importances", "score_requests", "scored_with_reuse",
                  "stream_scoring", "run_record_roundtrip"}
     assert set(qs) - set(oracle) == rows_only
+
+
+def test_no_behaviour_depends_on_sizes():
+    """No operator looks at bytes, file lists or statistics, and none switches its plan by a row count."""
+    patterns = [r"inputFiles\(", r"sizeInBytes", r"defaultParallelism", r"_jdf", r"max_rows", r"MAX_\w*ROWS", r"repartitionByRange",
+                r"monotonically_increasing_id", r"except Exception:\s*(#.*)?\n\s*pass"]
+    hits = [f"{p.name}: {pat}" for p in CORE.rglob("*.py") if "llm" not in p.relative_to(CORE).parts
+            for pat in patterns if re.search(pat, p.read_text())]
+    assert hits == []
+
+
+def test_no_unpartitioned_window_over_raw_rows(spark):
+    """Windows without keys stand only over one row per class."""
+    from fintide.operators import features as FE
+
+    df = spark.range(1000).select((F.col("id") % 7).cast("double").alias("x"), "id")
+    FE.exact_medians(df, ["x"])
+    text = (CORE / "operators" / "features.py").read_text()
+    assert "Window.orderBy(" not in text and text.count("Window.partitionBy()") == 3  # quotas and weights

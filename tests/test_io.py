@@ -34,7 +34,7 @@ def test_partitioned_roundtrip_prunes_partitions(spark):
 def test_sql_table_over_files(spark):
     path = work_path(spark, "portfolios_t")
     n = io.write_lake(V.summary(spark, SF_SMALL), path, ["risk_profile"])
-    name = io.register_table(spark, "wealth_test", "portfolios", path, "test")
+    name = io.register_table(spark, "wealth_test", "portfolios", path, "test", partitioned=True)
     assert spark.table(name).count() == n
     assert "risk_profile" in spark.table(name).columns
 
@@ -58,3 +58,38 @@ def test_bucketed_tables_join_without_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_recovery_failure_is_raised(spark):
+    path = work_path(spark, "flat_t")
+    io.write_lake(spark.range(3).toDF("id"), path)
+    with pytest.raises(Exception, match="(?i)partition"):
+        io.register_table(spark, "wealth_test", "flat", path, partitioned=True)
+    assert spark.table(io.register_table(spark, "wealth_test", "flat", path)).count() == 3
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from fintide.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, path):
+            self.dir = path
+
+    class Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = Conf(), Context(master)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(Session(master))
+    assert ensure_checkpoint_dir(Session("local[2]"))

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from fintide import config as C
+from fintide.operators import metrics as M
 from fintide.operators import model as ML
 from fintide.operators.features import impute_median, stratified_split
 from fintide.plans import views as V
@@ -22,7 +23,21 @@ def test_model_fit_score_importances(spark):
     assert imp == sorted(imp, key=lambda r: (-r.importance, r.feature))
 
 
-def test_known_profiles_shape(spark):
-    out = known_profiles(spark, SF_SMALL).collect()
-    assert [r.expected for r in out] == ["Aggressive", "Conservative", "Moderate"]
-    assert all(r.predicted_profile in C.RISK_CLASSES for r in out)
+def test_known_profiles_on_a_learnable_table(spark):
+    """The class follows the allocation: the model must give the three fixed profiles their expected class."""
+    rule = M.rule_prediction()
+    df = spark.range(3000).select(
+        (F.col("id") % 101).cast("double").alias("equity_pct"),
+        (F.lit(100) - F.col("id") % 101 - F.col("id") % 11).cast("double").alias("debt_pct"),
+        (F.col("id") % 11).cast("double").alias("gold_pct"), (1 + F.col("id") % 9).alias("total_num_funds"),
+        (F.col("id") % 20).cast("double").alias("years_invested"), (F.col("id") % 300).cast("double").alias("aum_lakh"),
+        (F.col("id") % 3).cast("int").alias("age_group_encoded")).withColumn("target", rule)
+    out = known_profiles(spark, ML.fit_risk_model(df, num_trees=20, max_depth=6)).collect()
+    assert [r.expected for r in out] == [r.predicted_profile for r in out] == ["Aggressive", "Conservative", "Moderate"]
+
+
+def test_training_is_reproducible(spark):
+    from fintide.plans.q_ml import trained
+
+    one, two = (ML.importances(spark, trained(spark, SF_SMALL)[1]).collect() for _ in range(2))
+    assert one == two

@@ -15,16 +15,13 @@ from fintide.plans import catalog
 
 QUERIES = catalog.queries()
 ORACLE = catalog.oracle_sql()
-SLOW = {"risk_model_metrics", "feature_importances", "score_requests", "scored_with_reuse", "run_record_roundtrip",
-        "stream_scoring"}
-
 
 @pytest.fixture(scope="module")
 def duck():
     return OC.duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in SLOW or os.environ.get("FINTIDE_SLOW")))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     r = OC.compare(spark, duck, name, QUERIES[name], ORACLE.get(name), SF_SMALL)
     assert r["ok"] is not False, r

@@ -1,4 +1,5 @@
 import datetime as dt
+import decimal
 import random
 
 from hypothesis import given, settings
@@ -7,7 +8,8 @@ from hypothesis import strategies as st
 from fintide import config as C
 from fintide.operators.scoring import (cache_hits, encode_requests, hit_rate, request_key, split_valid,
                                        validate_requests)
-from fintide.functions.columns import feature_vector
+from fintide.functions.columns import feature_vector, plain_number
+from fintide.operators.sampling import expand_allocation
 
 BASE = ("CLT001", 85.0, 10.0, 5.0, 5, 3.0, 85.0, "Young")
 
@@ -86,9 +88,41 @@ def test_hit_rate(spark):
 @settings(max_examples=6, deadline=None)
 @given(st.integers(0, 10_000))
 def test_ttl_fold_with_split_buckets(spark, seed):
-    # max_bucket_rows=4 forces sub-buckets of a fraction of the TTL; results must not change.
+    # Results must not depend on the width of the sub-buckets.
     rnd = random.Random(seed)
     rows = [("hot", rnd.randint(0, 3_000)) for _ in range(200)] + [("k1", rnd.randint(0, 20_000)) for _ in range(40)]
     df = _events(spark, rows)
-    got = {r.event_id: r.from_cache for r in cache_hits(df, "k", "ts", "event_id", 600, max_bucket_rows=4).collect()}
+    got = {r.event_id: r.from_cache for r in cache_hits(df, "k", "ts", "event_id", 600, sub_buckets=rnd.choice([1, 3, 50])).collect()}
     assert got == _fold(rows, 600)
+
+
+def test_key_text_keeps_every_digit_and_never_fails(spark):
+    values = [1e30, -1e30, 25.00000000001, 25.00000000002, 85.0, 1e7, 12345678.9, 0.00025, 1.5e-10, -2.5e-7, 0.0, 1e16, 1.7976931348623157e308, 100.1]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", plain_number("v").alias("t"))
+    for r in df.collect():
+        assert "E" not in r.t and "." in r.t and float(r.t) == r.v
+        assert r.t.lstrip("-") == format(decimal.Decimal(repr(abs(r.v))), "f") or "." not in format(decimal.Decimal(repr(abs(r.v))), "f")
+    texts = {r.v: r.t for r in df.collect()}
+    assert texts[25.00000000001] != texts[25.00000000002] and texts[1e7] == "10000000.0" and texts[85.0] == "85.0"
+    rows = [("C", 85.0, 10.0, 5.0, 5, 3.0, 1e30, "Young")]
+    out = validate_requests(_req(spark, rows)).withColumn("k", request_key()).head()
+    assert out.is_valid and out.k.startswith("portfolio:risk:C:")
+
+
+def test_nan_is_rejected_in_every_numeric_field(spark):
+    nan = float("nan")
+    rows = [("A", nan, 10.0, 5.0, 5, 3.0, 85.0, "Young"), ("B", 85.0, nan, 5.0, 5, 3.0, 85.0, "Young"),
+            ("C", 85.0, 10.0, nan, 5, 3.0, 85.0, "Young"), ("D", 85.0, 10.0, 5.0, 5, nan, 85.0, "Young"),
+            ("E", 85.0, 10.0, 5.0, 5, 3.0, nan, "Young")]
+    got = {r.client_id: r.reasons for r in validate_requests(_req(spark, rows)).collect()}
+    fields = ["equity_pct", "debt_pct", "gold_pct", "years_invested", "aum_lakh"]
+    assert got == {c: [f"{f}: out of range"] for c, f in zip("ABCDE", fields)}
+
+
+def test_unknown_profile_draws_from_the_fallback_pool(spark):
+    df = spark.createDataFrame([(f"c{i}", p) for i in range(40) for p in ("Balanced", None, "Aggressive")],
+                               "client_id string, risk_profile string")
+    got = {}
+    for r in expand_allocation(df).collect():
+        got.setdefault((r.client_id, r.slot), set()).add(r.fund_type)
+    assert all(len(kinds) == 1 and None not in kinds for kinds in got.values())

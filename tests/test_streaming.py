@@ -1,3 +1,5 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from fintide.operators.scoring import cache_hits
@@ -30,3 +32,14 @@ def test_stream_cache_state_across_batches(spark):
     want = cache_hits(reqs, "cache_key", "ts", "event_id").select("event_id", "from_cache")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_late_rows_miss_and_do_not_replace_the_entry(spark):
+    t0 = dt.datetime(2024, 1, 1, 12)
+    at = lambda i, s: (i, "k", t0 + dt.timedelta(seconds=s))
+    src = work_path(spark, "late_in")
+    for batch in ([at(1, 1800)], [at(2, 0), at(3, 2000)], [at(4, 5399), at(5, 5400)]):
+        spark.createDataFrame(batch, "event_id long, cache_key string, ts timestamp_ntz").coalesce(1).write.mode("append").parquet(src)
+    stream = ST.read_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
+    got = {r.event_id: r.from_cache for r in ST.run_to_table(spark, ST.stream_cache(stream), "late").collect()}
+    assert got == {1: False, 2: False, 3: True, 4: True, 5: False}

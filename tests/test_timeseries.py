@@ -2,12 +2,13 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fintide.operators.timeseries import asof_join, lag_chunked, weekdays_only
+from fintide.operators.timeseries import asof_join, lag_chunked, value_holdings, weekdays_only
 
 
 def _dates(rnd, n, span=400):
@@ -51,20 +52,40 @@ def test_weekdays_only(spark):
     assert [r.nav_date.weekday() for r in weekdays_only(df).collect()] == [0, 1, 2, 3, 4]
 
 
-def test_asof_and_lag_with_hot_months_split_into_days(spark):
-    # max_chunk_rows=3 forces most (fund, month) chunks into day chunks; results must not change.
+@pytest.mark.parametrize("chunk", ["day", "week", "year"])
+def test_results_do_not_depend_on_the_chunk(spark, chunk):
     rnd = random.Random(11)
     rrows = sorted({("A", d): rnd.random() for d in _dates(rnd, 120, 200)}.items())
     rrows = [(f, d, v) for (f, d), v in rrows]
     lrows = [(i, "A", d) for i, d in enumerate(_dates(rnd, 150, 230))]
     left = spark.createDataFrame(lrows, "id long, fund string, d date")
     r = spark.createDataFrame(rrows, "fund string, nav_date date, nav double")
-    small = asof_join(left, r, ["fund"], "d", "nav_date", ["nav"], max_chunk_rows=3)
+    small = asof_join(left, r, ["fund"], "d", "nav_date", ["nav"], chunk=chunk)
     big = asof_join(left, r, ["fund"], "d", "nav_date", ["nav"])
     assert small.count() == len(lrows)
     assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
     df = spark.createDataFrame(rrows, "fund string, d date, v double")
     w = Window.partitionBy("fund").orderBy("d")
     want = df.withColumns({"prev_d": F.lag("d").over(w), "prev_v": F.lag("v").over(w)})
-    got = lag_chunked(df, ["fund"], "d", ["v"], max_chunk_rows=3)
+    got = lag_chunked(df, ["fund"], "d", ["v"], chunk=chunk)
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
+
+
+def test_ties_in_time_are_ordered_by_value(spark):
+    day = dt.date(2024, 1, 2)
+    right = spark.createDataFrame([("A", day, 1.0), ("A", day, 3.0), ("A", day, 2.0)], "fund string, nav_date date, nav double")
+    left = spark.createDataFrame([(1, "A", day), (2, "A", day + dt.timedelta(days=90))], "id long, fund string, d date")
+    got = asof_join(left, right.repartition(3), ["fund"], "d", "nav_date", ["nav"]).collect()
+    assert [r.nav for r in got] == [3.0, 3.0]
+    lagged = lag_chunked(right.repartition(3), ["fund"], "nav_date", ["nav"]).orderBy("nav").collect()
+    assert [r.prev_nav for r in lagged] == [None, 1.0, 2.0]
+
+
+def test_valuation_windows_only_distinct_pairs(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    nav = spark.createDataFrame([("A", d, float(i)) for i, d in enumerate(days[::3])], "fund_name string, nav_date date, nav double")
+    held = spark.createDataFrame([(i, "A", 2.0, days[i % 40]) for i in range(200)] + [(900, None, 1.0, days[0]), (901, "A", 1.0, None)],
+                                 "id long, fund_name string, units double, buy_date date")
+    out = {r.id: r for r in value_holdings(held, nav, days[-1]).collect()}
+    assert len(out) == 202 and out[900].nav_at_buy is None and out[901].nav_at_buy is None
+    assert all(out[i].nav_at_buy == (i % 40) // 3 for i in range(200))
