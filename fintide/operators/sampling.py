@@ -56,3 +56,18 @@ def expand_allocation(df: DataFrame, id_col: str = "client_id", profile_col: str
             choice = pick_weighted(u, [(t, float(w)) for t, w in pool])
             kind = F.when(F.col(profile_col) == profile, choice).otherwise(kind)
     return slots.withColumn("fund_type", kind)
+
+
+def expand_to_funds(slots: DataFrame, funds: DataFrame, id_col: str = "client_id", type_col: str = "fund_type",
+                    fund_col: str = "fund_id", seed: int = C.SEED) -> DataFrame:
+    """Each slot of ``expand_allocation`` draws one fund of its type; slots whose type has no fund are dropped.
+
+    Funds of a type are numbered in md5 order and a slot's uniform picks a
+    number, so the draw is one equi-join on (type, number).
+    """
+    numbered = rank_within(funds.select(type_col, fund_col).withColumn("_h", hash_hex(fund_col, seed=seed)), [type_col], "_h",
+                           [fund_col], "_n").drop("_h")
+    sizes = funds.groupBy(type_col).agg(F.count(F.lit(1)).alias("_size"))
+    u = hash_uniform(id_col, F.col("slot"), F.lit("fund"), seed=seed)
+    return (slots.join(sizes, on=type_col).withColumn("_n", F.floor(u * F.col("_size")) + 1)
+            .join(numbered, on=[type_col, "_n"]).drop("_n", "_size"))

@@ -87,7 +87,7 @@ SELECT h.portfolio_id, h.client_id, h.fund_id, f.fund_code, f.fund_name, f.categ
 FROM holdings_clean h JOIN funds f ON h.fund_id = f.fund_id""", "holdings_clean", "funds"))
 def holdings_with_fund(spark, d):
     h = V.holdings_clean(spark, d)
-    funds = tv.funds(spark, d)
+    funds = tv.funds(spark, d).drop("fund_type")
     # The fund dimension is joined on its key; AQE broadcasts it when the measured size allows.
     return h.join(funds, on="fund_id", how="inner").select(
         "portfolio_id", "client_id", "fund_id", "fund_code", "fund_name", "category", "fund_type",

@@ -199,4 +199,5 @@ def funds(spark: SparkSession, sf_dir: str) -> DataFrame:
         padded_id("FND", F.col("p_partkey"), 6).alias("fund_code"),
         F.col("p_brand").alias("fund_name"),
         F.initcap(F.substring_index("p_type", " ", 1)).alias("category"),
+        F.initcap(F.trim(_lookup(F.substring_index("p_type", " ", 1), PART_TYPE_FUND))).alias("fund_type"),
     )
