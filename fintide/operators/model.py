@@ -9,7 +9,6 @@ with balanced class weights.  Tree building is distributed by Spark ML
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -92,15 +91,21 @@ RUN_SCHEMA = T.StructType(
         T.StructField("model_type", T.StringType()),
         T.StructField("model_version", T.StringType()),
         T.StructField("recorded_at", T.StringType()),
-        T.StructField("params_json", T.StringType()),
-        T.StructField("metrics_json", T.StringType()),
+        T.StructField("params", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("training_rows", T.LongType()),
+        T.StructField("test_rows", T.LongType()),
+        T.StructField("classes", T.ArrayType(T.StringType())),
+        T.StructField("importances", T.MapType(T.StringType(), T.DoubleType())),
     ]
 )
 
 
 def run_record(spark: SparkSession, run_id: str, params: Mapping[str, object], metrics: Mapping[str, float],
+               training_rows: int, test_rows: int, classes: Sequence[str], importances: Mapping[str, float],
                model_type: str = "RandomForestClassifier") -> DataFrame:
-    """One-row run record (params + metrics as JSON text) — appended to a run table by the caller."""
+    """One-row run record with typed columns — appended to a run table by the caller."""
     row = (run_id, model_type, C.MODEL_VERSION, dt.datetime.now(dt.timezone.utc).isoformat(),
-           json.dumps(dict(params), sort_keys=True, default=str), json.dumps(dict(metrics), sort_keys=True))
+           {k: str(v) for k, v in params.items()}, {k: float(v) for k, v in metrics.items()}, int(training_rows),
+           int(test_rows), list(classes), {k: float(v) for k, v in importances.items()})
     return spark.createDataFrame([row], RUN_SCHEMA)

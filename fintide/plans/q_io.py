@@ -15,9 +15,9 @@ from fintide.plans import views as V
 from fintide.plans.catalog import register
 from fintide.plans.oracle_views import with_views
 from fintide.plans.q_clients import ENRICHED_COLS
-from fintide.plans.q_ml import FEATURE_TABLE_COLS, trained
+from fintide.plans.q_ml import _QUOTA_CTE, FEATURE_TABLE_COLS, trained
 from fintide.plans.q_portfolio import SUMMARY_COLS
-from fintide.session import work_path
+from fintide.session import work_path, work_table
 from fintide.sources import io
 from fintide.sources import testviews as tv
 
@@ -47,7 +47,7 @@ def lake_sql_table(spark, d):
     """Portfolio summary → partitioned table → external SQL table → verified read through SQL."""
     path = work_path(spark, "portfolios")
     written = io.write_lake(V.summary(spark, d), path, ["risk_profile"])
-    name = io.register_table(spark, "wealth", f"portfolios_{path.rsplit('-', 1)[-1]}", path,
+    name = io.register_table(spark, "wealth", work_table("wealth", f"portfolios_{path.rsplit('-', 1)[-1]}"), path,
                              "Portfolio summaries per client", partitioned=True)
     table = spark.table(name)
     n = table.count()
@@ -66,16 +66,27 @@ def run_record_roundtrip(spark, d):
     test = ML.score_features(reloaded, split.filter(F.col("split") == "test"))
     m = M.accuracy_and_macro_f1(test, "target", "predicted_profile").first()
     params = {"n_estimators": C.N_TREES, "max_depth": C.MAX_DEPTH, "min_samples": C.MIN_SAMPLES_SPLIT,
-              "test_size": C.TEST_SIZE, "random_state": C.SEED, "features": C.FEATURE_COLS,
+              "test_size": C.TEST_SIZE, "random_state": C.SEED, "features": ",".join(C.FEATURE_COLS),
               "model_path": model_path}
-    metrics = {"accuracy": round(m["accuracy"], 4), "f1_score": round(m["macro_f1"], 4), "test_rows": m["n"],
-               "training_rows": split.filter(F.col("split") == "train").count(), "classes": ML.class_labels(model),
-               "importances": {r["feature"]: r["importance"] for r in ML.importances(spark, model).collect()}}
+    metrics = {"accuracy": round(m["accuracy"], 4), "f1_score": round(m["macro_f1"], 4)}
+    weights = {r["feature"]: r["importance"] for r in ML.importances(spark, model).collect()}  # one per feature
     runs = work_path(spark, "runs")
-    io.write_records(ML.run_record(spark, model_path.rsplit("-", 1)[-1], params, metrics), runs)
+    io.write_records(ML.run_record(
+        spark, model_path.rsplit("-", 1)[-1], params, metrics, split.filter(F.col("split") == "train").count(), m["n"],
+        ML.class_labels(model), weights), runs)
     return io.read_records(spark, runs, ML.RUN_SCHEMA)
 
 
+@register("run_record_facts", with_views(f"""
+SELECT sum(n_test)::BIGINT AS test_rows, (sum(n_class) - sum(n_test))::BIGINT AS training_rows,
+       '{",".join(C.RISK_CLASSES)}' AS classes, {len(C.FEATURE_COLS)}::INTEGER AS features
+FROM quota""", "training_features", extra=[_QUOTA_CTE]))
+def run_record_facts(spark, d):
+    """What a read-back run record says about its rows, classes and features."""
+    return run_record_roundtrip(spark, d).select(
+        "test_rows", "training_rows", F.concat_ws(",", "classes").alias("classes"), F.size("importances").alias("features"))
+
+
 @register("bucketed_features", with_views(f"SELECT {FEATURE_TABLE_COLS} FROM training_features",
                                           "training_features"))
 def bucketed_features(spark, d):
@@ -85,10 +96,10 @@ def bucketed_features(spark, d):
     clients_path, summary_path = work_path(spark, "clients_b"), work_path(spark, "summary_b")
     suffix = clients_path.rsplit("-", 1)[-1]
     spark.sql("CREATE DATABASE IF NOT EXISTS wealth")
-    clients = io.write_bucketed(V.clients_enriched(spark, d), f"wealth.clients_b_{suffix}", clients_path,
+    clients = io.write_bucketed(V.clients_enriched(spark, d), "wealth." + work_table("wealth", f"clients_b_{suffix}"), clients_path,
                                 "client_id", n)
     summary = io.write_bucketed(summarise_holdings(V.holdings_clean(spark, d), as_of=C.FIXTURE_AS_OF),
-                                f"wealth.summary_b_{suffix}", summary_path, "client_id", n)
+                                "wealth." + work_table("wealth", f"summary_b_{suffix}"), summary_path, "client_id", n)
     return training_features(spark.table(summary), spark.table(clients))
 
 

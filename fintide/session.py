@@ -82,3 +82,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/fintide/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_TABLES: list[str] = []
+
+
+def work_table(database: str, name: str) -> str:
+    """Note a catalog table over a work folder, so that ``clear_work`` drops it; returns ``name``."""
+    _TABLES.append(f"`{database}`.`{name}`")
+    return name
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Drop this application's work tables and delete its written work folders (their results can't be read afterwards)."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/fintide")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from fintide.session import ensure_checkpoint_dir
+    from fintide.session import clear_work, ensure_checkpoint_dir
 
     s = (
         SparkSession.builder.master("local[4]")
@@ -25,3 +25,4 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s
+    clear_work(s)

@@ -93,3 +93,16 @@ def test_shared_folder_must_be_named_on_a_cluster():
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             ensure_checkpoint_dir(Session(master))
     assert ensure_checkpoint_dir(Session("local[2]"))
+
+
+def test_clear_work_removes_tables_and_folders(spark):
+    from fintide.session import clear_work, work_table
+
+    path = work_path(spark, "gone")
+    n = io.write_lake(spark.range(3).toDF("id"), path)
+    name = io.register_table(spark, "wealth_test", work_table("wealth_test", "gone"), path)
+    assert spark.table(name).count() == n
+    clear_work(spark)
+    assert not spark.catalog.tableExists("wealth_test.gone")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
