@@ -31,7 +31,7 @@ PATTERNS = {
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
-    import __spark_entry__ as E
+    from fintide.plans import catalog
 
     print(f"# Physical plans (final AQE plans, {sf_dir}, local[{os.environ.get('BENCH_CPUS', '8')}])\n")
     print("Generated by `tools/plan_report.py` from the *final* adaptive plans (after execution), so joins")
@@ -41,7 +41,7 @@ def main() -> None:
     print("checkpoint or written table).\n")
     print("| query | " + " | ".join(PATTERNS) + " |")
     print("|" + " --- |" * (len(PATTERNS) + 1))
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         try:
             df = fn(spark, sf_dir)
             qe = df._jdf.queryExecution()
