@@ -7,14 +7,15 @@ The index is a set of posting lists around centroids:
   number of sample vectors, so lists are balanced.  Their number follows the
   table (``LIST_SIZE`` vectors a list) up to ``MAX_CENTROIDS``, which bounds
   what is broadcast: the centroids and a neighbour graph over them.
-* Every vector is filed under its nearest centroid and, if it lies near a
-  boundary (distance within ``1 + CLOSURE`` of the nearest), under up to
-  ``REPLICAS`` of them; a centroid closer to one already chosen than to the
-  vector is passed over.
+* Every vector is filed under its nearest centroid and, where it lies near
+  boundaries, under the further ones within ``1 + CLOSURE`` times the nearest
+  distance, ``REPLICAS`` in all at most.
 * Centroids are found by a batched best-first search of the graph in memory.
-* A query reads the lists whose centroid distance is within ``1 + PRUNE`` of
-  the nearest one's, at most ``PROBES``, and further ones in order while they
-  hold fewer than ``LEAST_CANDIDATES`` vectors together.
+* A query reads the nearest lists until they hold ``LEAST_CANDIDATES`` vectors
+  together, and all lists whose centroid distance is within ``1 + PRUNE`` times
+  the last of those (usually the first list alone).  A list of vectors close
+  together is read as well if its members are typically as near to the query as
+  those of the nearest list (squared distance plus the list's mean square).
 * Equal vectors are indexed and searched once, with the ids that can matter.
   A list that still holds more than ``MAX_LIST`` vectors is cut into parts by a
   hash, and a query reads all parts, so no task holds an unbounded list and no
@@ -42,14 +43,14 @@ from pyspark.sql.window import Window
 from fintide.llm.common import staged
 
 SAMPLE = 32768
-LIST_SIZE = 128
+LIST_SIZE = 256
 MAX_CENTROIDS = 8192
-DEGREE = 24
-BEAM = 64
-CLOSURE = 0.12
+DEGREE = 16
+FILING_BEAM = 24
+QUERY_BEAM = 192
+CLOSURE = 0.15
 REPLICAS = 4
-PRUNE = 0.25
-PROBES = 40
+PRUNE = 0.12
 LEAST_CANDIDATES = 512
 MAX_LIST = 2048
 BATCH = 1024
@@ -64,8 +65,8 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Centroids:
     """Centroids with a neighbour graph and a batched best-first search over it."""
 
-    def __init__(self, points: np.ndarray, degree: int = DEGREE, beam: int = BEAM):
-        self.points, self.beam = points.astype(np.float32), min(beam, len(points))
+    def __init__(self, points: np.ndarray, degree: int = DEGREE):
+        self.points = points.astype(np.float32)
         k = len(points)
         near = []
         for at in range(0, k, 512):  # blocks: k is at most MAX_CENTROIDS
@@ -76,14 +77,15 @@ class Centroids:
         # A few far links keep the graph connected; entries are spread over it.
         rng = np.random.default_rng(SEED)
         self.graph = np.concatenate([near, rng.integers(0, k, (k, 4))], axis=1).astype(np.int32)
-        self.entries = rng.permutation(k)[: self.beam].astype(np.int32)
+        self.order = rng.permutation(k).astype(np.int32)
 
-    def search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of about the nearest ``beam`` centroids of each row of x, nearest first."""
-        n, k = len(x), len(self.points)
-        rows = np.arange(n)[:, None]
-        ids = np.broadcast_to(self.entries, (n, len(self.entries))).copy()
-        dist = squared(x, self.points[self.entries])
+        x, n, k = x.astype(np.float32), len(x), len(self.points)
+        beam = min(beam, k)
+        rows, entries = np.arange(n)[:, None], self.order[:beam]
+        ids = np.broadcast_to(entries, (n, beam)).copy()
+        dist = squared(x, self.points[entries])
         seen = np.zeros((n, k), bool)
         seen[rows, ids] = True
         open_ = np.ones(ids.shape, bool)
@@ -107,42 +109,42 @@ class Centroids:
             d = np.where(fresh, np.einsum("nmd,nmd->nm", c - x[:, None, :], c - x[:, None, :]), np.inf)
             ids, dist = np.concatenate([ids, new], 1), np.concatenate([dist, d], 1)
             open_ = np.concatenate([open_, fresh], 1)
-            keep = dist.argsort(axis=1, kind="stable")[:, : self.beam]
+            keep = dist.argsort(axis=1, kind="stable")[:, :beam]
             ids, dist, open_ = (np.take_along_axis(v, keep, 1) for v in (ids, dist, open_))
             open_ &= np.isfinite(dist)
         order = dist.argsort(axis=1, kind="stable")
         return np.take_along_axis(ids, order, 1), np.sqrt(np.take_along_axis(dist, order, 1))
 
 
-def balanced_centroids(sample: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
-    """k-means on the sample, then halve every cluster above twice the mean size until none can be split."""
-    rng = np.random.default_rng(SEED)
-    distinct = np.unique(sample, axis=0)
-    k = max(1, min(k, len(distinct)))
-    centers = distinct[rng.permutation(len(distinct))[:k]].astype(np.float32)
+def balanced_centroids(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
+    """k-means on the (distinct) sample, then halve every cluster above twice the mean size until none can be split."""
+    points = sample.astype(np.float32)
+    k = max(1, min(k, len(points)))
+    centers = points[np.random.default_rng(SEED).permutation(len(points))[:k]]
 
-    def assign(points, to):
-        return np.concatenate([squared(points[i : i + 2048], to).argmin(1) for i in range(0, len(points), 2048)])
+    def members(to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows ordered by their nearest center; the non-empty centers and where their rows begin."""
+        at = np.concatenate([squared(points[i : i + 2048], to).argmin(1) for i in range(0, len(points), 2048)])
+        order = at.argsort(kind="stable")
+        used, starts = np.unique(at[order], return_index=True)
+        return order, used, starts
 
     for _ in range(rounds):
-        at = assign(distinct, centers)
-        total = np.zeros(centers.shape, np.float64)
-        np.add.at(total, at, distinct)
-        n = np.bincount(at, minlength=len(centers))
-        centers[n > 0] = (total[n > 0] / n[n > 0, None]).astype(np.float32)
-    limit, done, todo = max(2.0, 2.0 * len(distinct) / k), [], [distinct[assign(distinct, centers) == i] for i in range(k)]
+        order, used, starts = members(centers)
+        counts = np.diff(np.append(starts, len(points)))
+        centers = centers.copy()
+        centers[used] = np.add.reduceat(points[order], starts, axis=0) / counts[:, None]
+    order, _, starts = members(centers)
+    limit, done, todo = max(2.0, 2.0 * len(points) / k), [], np.split(points[order], starts[1:])
     while todo:
         group = todo.pop()
-        if not len(group):
-            continue
-        if len(group) <= limit or len(done) + len(todo) >= MAX_CENTROIDS:
+        if len(group) <= limit or len(done) + len(todo) >= MAX_CENTROIDS - 1:
             done.append(group.mean(0))
             continue
         middle = group.mean(0)
         far = group[squared(group, middle[None])[:, 0].argmax()]
-        axis = (group - middle) @ (far - middle)  # halves along the direction of the farthest member
-        order = axis.argsort(kind="stable")
-        todo += [group[order[: len(group) // 2]], group[order[len(group) // 2 :]]]
+        along = ((group - middle) @ (far - middle)).argsort(kind="stable")  # halves towards the farthest member
+        todo += [group[along[: len(group) // 2]], group[along[len(group) // 2 :]]]
     return np.array(done, np.float32)
 
 
@@ -161,31 +163,21 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def index(rows: DataFrame, centroids) -> DataFrame:
-    """(list, vec_id, v, ids): every vector under its nearest centroid and, near a boundary, under more."""
+    """(list, away, vec_id, v, ids): every vector (``away`` from its centroid) under its nearest centroid and, near a boundary, under more."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = centroids.value
-        between = {}
         for whole in frames:
             for at in range(0, len(whole), BATCH):
                 part = whole.iloc[at : at + BATCH]
-                ids, dist = c.search(_matrix(part["v"]))
-                lists, places = [], []
-                for i, (near, d) in enumerate(zip(ids, dist)):
-                    chosen: list = []
-                    for j, dj in zip(near[: 4 * REPLICAS].tolist(), d.tolist()):
-                        if not np.isfinite(dj) or dj > (1.0 + CLOSURE) * d[0] or len(chosen) == REPLICAS:
-                            break
-                        if j not in between and chosen:
-                            between[j] = np.sqrt(squared(c.points[j : j + 1], c.points))[0]
-                        if all(between[j][o] >= dj for o in chosen):
-                            chosen.append(j)
-                    lists += chosen
-                    places += [i] * len(chosen)
-                out = part.iloc[places].copy()
-                out.insert(0, "list", lists)
+                ids, dist = c.search(_matrix(part["v"]), FILING_BEAM)
+                ids, dist = ids[:, :REPLICAS], dist[:, :REPLICAS]
+                row, col = np.nonzero(np.isfinite(dist) & (dist <= (1.0 + CLOSURE) * dist[:, :1]))
+                out = part.iloc[row].copy()
+                out.insert(0, "list", ids[row, col])
+                out.insert(1, "away", dist[row, col].astype(np.float64))
                 yield out
 
-    return rows.mapInPandas(run, "list int, vec_id long, v array<double>, ids array<long>")
+    return rows.mapInPandas(run, "list int, away double, vec_id long, v array<double>, ids array<long>")
 
 
 def distinct_vectors(rows: DataFrame, least: int) -> DataFrame:
@@ -213,10 +205,10 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
     model = Centroids(balanced_centroids(_matrix(sample["v"]), min(MAX_CENTROIDS // 2, -(-n // LIST_SIZE))))
     shared = spark.sparkContext.broadcast(model)  # at most MAX_CENTROIDS vectors and their links
     postings = staged(index(rows, shared), "ann-postings")
-    # One number per list, at most MAX_CENTROIDS of them.
-    sizes = np.zeros(len(model.points), np.int64)
-    for r in postings.groupBy("list").count().collect():
-        sizes[r["list"]] = r["count"]
+    # Two numbers per list, at most MAX_CENTROIDS lists.
+    sizes, spread = np.zeros(len(model.points), np.int64), np.zeros(len(model.points))
+    for r in postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("away") ** 2).alias("s")).collect():
+        sizes[r["list"]], spread[r["list"]] = r["n"], r["s"]
     parts = np.maximum(1, -(-sizes // MAX_LIST))
     asked = staged(usable(queries, key, vector).groupBy("vec_id").agg(F.min("v").alias("v")).select(
         F.col("vec_id").alias("query_id"), "v"), "ann-queries")
@@ -228,12 +220,16 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
         for whole in frames:
             for at in range(0, len(whole), BATCH):
                 part = whole.iloc[at : at + BATCH]
-                ids, dist = c.search(_matrix(part["v"]))
+                ids, dist = c.search(_matrix(part["v"]), QUERY_BEAM)
                 found = np.isfinite(dist)
                 weight = np.where(found, sizes[ids], 0)
                 before = np.cumsum(weight, axis=1) - weight
-                take = (dist <= (1.0 + PRUNE) * dist[:, :1]) & (np.arange(dist.shape[1]) < PROBES)
-                take = (take | (before < LEAST_CANDIDATES)) & (weight > 0)
+                needed = (before < LEAST_CANDIDATES) & (weight > 0)
+                base = np.where(needed, dist, 0.0).max(axis=1, keepdims=True)
+                typical = np.where(weight > 0, dist * dist + spread[ids], np.inf)  # squared, of a list's members
+                first = np.argmax(weight > 0, axis=1)[:, None]
+                take = (dist <= (1.0 + PRUNE) * base) | (typical <= np.take_along_axis(typical, first, 1))
+                take &= weight > 0
                 row, col = np.nonzero(take)
                 lists = ids[row, col]
                 fan = parts[lists]
@@ -244,7 +240,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
                                     "same": out["same"].to_numpy(), "q": out["q"].to_numpy()})
 
     many = spark.createDataFrame([(i, int(parts[i])) for i in np.flatnonzero(parts > 1).tolist()], "list int, parts int")
-    filed = postings.join(F.broadcast(many), "list", "left").withColumn(  # at most MAX_CENTROIDS rows
+    filed = postings.drop("away").join(F.broadcast(many), "list", "left").withColumn(  # at most MAX_CENTROIDS rows
         "part", F.pmod(F.xxhash64("vec_id"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
     probes = searched.mapInPandas(probe, "list int, part int, same long, q array<double>")
 
@@ -256,7 +252,9 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
                 score = np.sqrt(((x - np.asarray(q)) ** 2).sum(axis=1))
                 order = np.lexsort((first, score))[: k + 1]
                 out.append(pd.DataFrame({"same": same, "vec_id": first[order], "score": score[order], "ids": ids[order]}))
-        return pd.concat(out) if out else pd.DataFrame({"same": [], "vec_id": [], "score": [], "ids": []})
+        return pd.concat(out) if out else pd.DataFrame(
+            {"same": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64"),
+             "ids": pd.Series(dtype=object)})
 
     found = filed.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInPandas(
         compare, "same long, vec_id long, score double, ids array<long>")

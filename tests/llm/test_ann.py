@@ -72,7 +72,7 @@ def test_graph_search_finds_the_nearest_centroids():
     points = rng.normal(size=(700, 16))
     c = A.Centroids(points)
     x = rng.normal(size=(50, 16))
-    ids, dist = c.search(x)
+    ids, dist = c.search(x, 64)
     exact = np.argsort(A.squared(x, c.points), axis=1)[:, :8]
     hits = sum(len(set(a.tolist()) & set(b.tolist())) for a, b in zip(ids[:, :16], exact))
     assert hits >= 0.95 * exact.size
