@@ -10,9 +10,10 @@ does not turn its own content into boilerplate.
 One pass hashes the lines and counts them with map-side partial aggregation;
 no key is gathered, so a host or a line may hold any share of the rows.  The
 lines of one host above the ratio number at most (lines per page) / ratio, so
-the per-host array of their hashes is bounded; it is joined to the pages by
-host with an ordinary equi-join (adaptive execution broadcasts it after
-measuring it, or splits the hot host otherwise).
+the per-host array of their hashes is bounded.  These arrays are written as a
+table and joined to the pages by host: Spark broadcasts the table if its size
+is below the broadcast threshold, and otherwise shuffles by host, where
+adaptive execution splits the hot ones.
 
 Defined cases: NULL texts stay NULL and count as a page without lines; NULL
 hosts form one host.  Lines are compared after trimming white space; blank
@@ -26,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fintide.llm.common import staged
+
 MAX_RATIO = 0.05
 MIN_PAGES = 3
 
@@ -58,7 +61,9 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
                      min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text``; ``counts`` adds n_lines and n_dropped."""
     found = boilerplate(docs, host, text, max_ratio, min_pages)
-    per_host = found.groupBy("host").agg(F.collect_list("line").alias("_bad")).withColumnRenamed("host", "_host")
+    # Written first, so that the join below is planned knowing its size: a small table is broadcast and no text moves.
+    per_host = staged(found.groupBy("host").agg(F.collect_list("line").alias("_bad")).withColumnRenamed("host", "_host"),
+                      "line-boilerplate")
     joined = docs.join(per_host, F.col(f"`{host}`").eqNullSafe(F.col("_host")), "left")
     lines = F.split(F.col(f"`{text}`"), "\n")
     good = F.filter(lines, lambda x: F.coalesce(~F.array_contains(F.col("_bad"), line_key(x)), F.lit(True)))
