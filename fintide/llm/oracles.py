@@ -66,3 +66,25 @@ SELECT c.conv_id, c.turn, c.role, c.bare AS text, c.n_quoted::BIGINT AS n_quoted
   '<|' || coalesce(c.role, '') || '|>' || chr(10) || coalesce(c.bare, '') || chr(10) || '<|end|>' AS chat
 FROM clean c LEFT JOIN chain h ON c.conv_id = h.conv_id AND c.turn = h.turn
 """
+
+OP6 = r"""
+WITH pages AS (SELECT DISTINCT source, text FROM documents),
+totals AS (SELECT source, count(*) AS host_pages FROM pages GROUP BY source),
+lines AS (
+  SELECT DISTINCT source, text, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM pages) t),
+boilerplate AS (
+  SELECT l.source, list(l.bare) AS bad
+  FROM (SELECT source, bare, count(*) AS pages FROM lines WHERE bare <> '' GROUP BY ALL) l
+  JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
+  WHERE pages >= 3 AND pages > 0.05::DOUBLE * host_pages GROUP BY l.source),
+cut AS (
+  SELECT doc_id, d.source, text, bad, string_split(text, chr(10)) AS parts,
+    list_filter(string_split(text, chr(10)), lambda x:
+      NOT list_contains(bad, trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) AS good
+  FROM documents d LEFT JOIN boilerplate b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, source, CASE WHEN bad IS NULL THEN text ELSE array_to_string(good, chr(10)) END AS text,
+  coalesce(len(parts), 0)::BIGINT AS n_lines,
+  CASE WHEN bad IS NULL OR text IS NULL THEN 0 ELSE len(parts) - len(good) END::BIGINT AS n_dropped
+FROM cut
+"""

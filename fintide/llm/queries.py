@@ -72,7 +72,8 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    found = {"op1_url_filter": oracles.OP1, "op3_quotation_linking": oracles.OP3}
+    found = {"op1_url_filter": oracles.OP1, "op3_quotation_linking": oracles.OP3,
+             "op6_line_dedup": oracles.OP6}
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found

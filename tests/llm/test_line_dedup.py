@@ -1,6 +1,8 @@
 import collections
 
 from fintide.llm import line_dedup as L
+from fintide.llm import oracles, queries
+from test_url_filter import duck
 
 
 def brute(rows, ratio, least):
@@ -54,3 +56,11 @@ def test_edges(spark):
         if r.text:
             assert r.n_lines - r.n_dropped == r.text.count("\n") + 1
     assert L.drop_boilerplate(docs.limit(0)).count() == 0
+
+
+def test_query_against_sql(spark):
+    sf = "/root/testdata/sf0.1"
+    want = duck(sf, "documents").execute(oracles.OP6)
+    cols = [d[0] for d in want.description]
+    got = sorted(tuple(r[c] for c in cols) for r in queries.op6_line_dedup(spark, sf).collect())
+    assert got == sorted(want.fetchall()) and any(r[cols.index("n_dropped")] for r in got)
