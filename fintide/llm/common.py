@@ -30,6 +30,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def boxed(df: DataFrame, **needed: Column) -> DataFrame:
+    """All columns of ``df`` in one struct ``_row``, beside the ``needed`` ones: no name of ``df`` can clash with an internal one."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    return df.select(row, *[value.alias(name) for name, value in needed.items()])
+
+
+def unboxed(columns: list[str], **replaced: Column) -> list[Column]:
+    """The columns of a boxed frame again, some of them replaced."""
+    return [replaced.get(c, F.col("_row").getField(c)).alias(c) for c in columns]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

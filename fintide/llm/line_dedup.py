@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fintide.llm.common import staged
+from fintide.llm.common import boxed, staged, unboxed
 
 MAX_RATIO = 0.05
 MIN_PAGES = 3
@@ -64,16 +64,17 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
     # Written first, so that the join below is planned knowing its size: a small table is broadcast and no text moves.
     per_host = staged(found.groupBy("host").agg(F.collect_list("line").alias("_bad")).withColumnRenamed("host", "_host"),
                       "line-boilerplate")
-    joined = docs.join(per_host, F.col(f"`{host}`").eqNullSafe(F.col("_host")), "left")
-    lines = F.split(F.col(f"`{text}`"), "\n")
+    joined = boxed(docs, _source=F.col(f"`{host}`")).join(per_host, F.col("_source").eqNullSafe(F.col("_host")), "left")
+    body = F.col("_row").getField(text)
+    lines = F.split(body, "\n")
     good = F.filter(lines, lambda x: F.coalesce(~F.array_contains(F.col("_bad"), line_key(x)), F.lit(True)))
-    cleaned = F.when(F.col("_bad").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(good, "\n"))
     # A text of which nothing was dropped stays byte for byte as it was.
-    out = [cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    cleaned = F.when(F.col("_bad").isNull(), body).otherwise(F.array_join(good, "\n"))
+    out = unboxed(docs.columns, **{text: cleaned})
     if counts:
         n = F.coalesce(F.size(lines), F.lit(0))
         kept = F.when(F.col("_bad").isNull(), n).otherwise(F.coalesce(F.size(good), F.lit(0)))
         out = [c for c, name in zip(out, docs.columns) if name not in ("n_lines", "n_dropped")]
-        out += [F.when(F.col(text).isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
-                F.when(F.col(text).isNull(), 0).otherwise(n - kept).cast("long").alias("n_dropped")]
+        out += [F.when(body.isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
+                F.when(body.isNull(), 0).otherwise(n - kept).cast("long").alias("n_dropped")]
     return joined.select(*out)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fintide.llm.common import let, staged, words_of
+from fintide.llm.common import boxed, let, staged, unboxed, words_of
 
 WEIGHTS = (5.0, 2.0, 1.0)
 TOTAL_SHARE = 1.5
@@ -169,10 +169,10 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     units = staged(sized(docs), "mix-sizes")
     chosen = copies(units, source_targets(units), **how).select(
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "copies").filter("copies > 0")
-    rows = docs.withColumn("_size", F.size(words_of(F.col("text"))).cast("long"))
-    joined = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
+    rows = boxed(docs, _doc=F.col("doc_id"), _source=F.col("source"), _size=F.size(words_of(F.col("text"))).cast("long"))
+    joined = rows.join(chosen, F.col("_doc").eqNullSafe(F.col("_d")) & F.col("_source").eqNullSafe(F.col("_s"))
                        & (F.col("_size") == F.col("_z")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+    return joined.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*unboxed(docs.columns))
 
 
 def mix_report(docs: DataFrame, **how) -> DataFrame:

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fintide.llm.common import let, words_of
+from fintide.llm.common import boxed, let, unboxed, words_of
 
 BUCKETS = 1 << 15
 TRUSTED = 20_000  # labelled documents that the target multinomial is fitted on, at most
@@ -121,14 +121,16 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, text: str = "text", key: str
     fitted = bucket_weights(docs, trusted_ids, text, key).head()["weights"]  # BUCKETS numbers, whatever the corpus
     weights = F.expr("cast(split('{}', ',') as array<double>)".format(",".join(f"{x:.7g}" for x in fitted)))
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr_score", "base_failed", "kept"]
-    rows = docs.drop(*own).withColumn("_w", words_of(F.col(text)))
+    plain = [c for c in docs.columns if c not in own]
+    rows = boxed(docs, _text=F.col(text)).withColumn("_w", words_of(F.col("_text")))
     rows = rows.withColumn("_h", hashed_words(F.col("_w"))).withColumn("_b", chained(F.col("_h"), 1))
-    rows = rows.withColumns(base_columns(F.col(text), F.col("_w"), F.col("_b")))
+    rows = rows.withColumns(base_columns(F.col("_text"), F.col("_w"), F.col("_b")))
     score = F.aggregate(F.concat("_h", "_b"), F.lit(0.0), lambda a, g: a + weights[F.pmod(g, F.lit(BUCKETS)).cast("int")])
     rows = rows.withColumn("llr_score", score / (F.size("_h") + F.size("_b") + F.lit(PRIOR_GRAMS)))
     rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                            | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold)).drop("_w", "_h", "_b")
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold))
+    return rows.select(*unboxed(plain), *own)
 
 
 def trusted(labels: DataFrame) -> DataFrame:
@@ -138,9 +140,8 @@ def trusted(labels: DataFrame) -> DataFrame:
 
 def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Only the kept documents, with the columns of ``docs``."""
-    verdicts = judge(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text"),
-                     trusted(labels))
+    verdicts = judge(boxed(docs, doc_id=F.col("doc_id"), text=F.col("text")), trusted(labels))
     # The row number makes the verdict's projection one that a filter is not pushed through: a pushed filter would
     # hold a copy of the words, hashes and counts for every place that uses them.
-    numbered = verdicts.withColumn("_at", F.monotonically_increasing_id())
-    return numbered.filter(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")
+    numbered = verdicts.select("_row", "kept", F.monotonically_increasing_id().alias("_at"))
+    return numbered.filter(F.col("kept") & (F.col("_at") >= 0)).select(*unboxed(docs.columns))

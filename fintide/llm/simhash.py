@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fintide.llm.common import staged
+from fintide.llm.common import boxed, staged, unboxed
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -249,5 +249,5 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
     best = prints.groupBy("fp").agg(F.min(order).alias("best")).join(roots, "fp")
     chosen = best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row_key").alias("_row_key"))
-    keyed = docs.withColumn("_row_key", row_key())
-    return keyed.join(chosen, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*docs.columns)
+    keyed = boxed(docs, _row_key=row_key())
+    return keyed.join(chosen, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*unboxed(docs.columns))

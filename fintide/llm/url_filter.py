@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fintide.llm.common import ascii_lower
+from fintide.llm.common import ascii_lower, boxed, unboxed
 
 WORDS = 4  # 64-bit words of a block
 BITS_PER_WORD = 2
@@ -116,8 +116,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]]
     """
     parts = url_parts(F.col(f"`{url}`"))
     own = ["host", "path", "canonical", "rule", "listed", "verdict"]
-    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in own],
-                        *[parts[p].alias(f"_{p}") for p in ("host", "path", "query")])
+    rows = boxed(pages, **{f"_{p}": parts[p] for p in ("host", "path", "query")})
     rows = rows.withColumn("_canonical", canonical(F.col("_host"), F.col("_path"), F.col("_query"))).drop("_query")
     exact = listed.select(F.col(listed_key).alias("_listed")).filter("_listed IS NOT NULL").distinct()
     probed = possible(rows, "_canonical", exact, "_listed", bits_per_key)
@@ -126,9 +125,8 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]]
     every = hits.unionByName(rest)
     rule, verdict = rule_of(F.col("_host"), F.col("_path"), rules)
     on_list = F.col("_listed").isNotNull()
-    kept = [c for c in rows.columns if c not in ("_host", "_path", "_canonical")]
     return every.select(
-        *[F.col(f"`{c}`") for c in kept], F.col("_host").alias("host"), F.col("_path").alias("path"),
+        *unboxed([c for c in pages.columns if c not in own]), F.col("_host").alias("host"), F.col("_path").alias("path"),
         F.col("_canonical").alias("canonical"), rule.alias("rule"), on_list.alias("listed"),
         F.coalesce(verdict, F.when(on_list, "block").otherwise("allow")).alias("verdict"))
 

@@ -123,3 +123,31 @@ def test_mix_is_the_report(spark):
     for r in mixing.mix(docs).collect():
         words[r.doc_id] += len(r.text.split())
     assert {d: w for d, w in told.items() if w} == dict(words)
+
+
+CLASHES = ["_row", "_at", "_w", "_h", "_b", "_text", "_bad", "_host", "_source", "_row_key", "_doc", "_size", "_d", "_s", "_z", "copies",
+           "_copy", "col", "k", "fp", "kept", "n_words", "host", "line", "page", "size", "rows", "target", "doc", "chain", "words", "_id",
+           "sequence_id", "piece", "length", "row", "base", "email", "id"]
+
+
+def test_stages_with_nulls_repeats_and_clashing_columns(spark):
+    """Every stage on rows with NULLs in any column, blank and long texts, repeated rows and hostile extra columns."""
+    good = [(i, f"text number {i} has quite a few words that differ in {i * 7} ways from {i * 13} others here", "en", f"s{i % 3}", 9)
+            for i in range(40)]
+    odd = [(None, good[0][1], None, None, None), (1, None, "en", "s1", 1), (2, "", None, "s2", None), (3, " \n\t", "de", None, 0),
+           (None, None, None, None, None), good[4], good[4], (5, good[6][1], "fr", "s0", 3), (900, "long " * 30_000, "en", "s1", 1),
+           (901, "a\nb\n" * 5000, "en", "s1", 1)]
+    plain = spark.createDataFrame(good + odd, "doc_id long, text string, lang string, source string, n_chars long")
+    from pyspark.sql import functions as F
+
+    extra = plain.select("*", *[F.lit(f"mine {c}").alias(c) for c in CLASHES])
+    for name, stage in P.STAGES:
+        one, two = stage(spark, plain, SF), stage(spark, extra, SF)
+        if name == "best_fit_packing":
+            key = lambda df: sorted((str(r.doc_id), r.piece, r.length, r.ids_crc32) for r in df.collect())
+            assert key(one) == key(two)
+            continue
+        assert one.columns == COLUMNS and two.columns == extra.columns
+        assert sorted(map(str, rows_of(one))) == sorted(map(str, rows_of(two)))
+        assert all(r[c] == f"mine {c}" for r in two.limit(3).collect() for c in CLASHES)
+        assert stage(spark, plain.limit(0), SF).count() == 0
