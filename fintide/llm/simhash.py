@@ -50,19 +50,17 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     words = (text or b"").lower().split()  # bytes: lower-cases A-Z only, splits at the six ASCII spaces only
     if not words:
         return 0
-    if len(words) < shingle:
-        grams = [b" ".join(words)]
-    elif shingle == 3:
-        grams = [b"%b %b %b" % g for g in zip(words, words[1:], words[2:])]
-    else:
-        grams = [b" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)]
+    n = max(1, len(words) - shingle + 1)
     ones = np.zeros(64, dtype=np.int64)
     digest = xxhash.xxh64_intdigest
-    for at in range(0, len(grams), BLOCK):
-        hashes = np.array([digest(g, SEED) for g in grams[at : at + BLOCK]], dtype="<u8")
+    for at in range(0, n, BLOCK):
+        part = words[at : at + BLOCK + shingle - 1]
+        # Every run of ``shingle`` words, space-joined; a shorter text is one shingle.
+        grams = zip(*[part[i:] for i in range(shingle)]) if len(words) >= shingle else [words]
+        hashes = np.array([digest(b" ".join(g), SEED) for g in grams], dtype="<u8")
         # Bit planes, least significant first.
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = 2 * ones > len(grams)
+    bits = 2 * ones > n
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
