@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fintide.session import ensure_checkpoint_dir
+
 
 def weekdays_only(df: DataFrame, date_col: str = "nav_date") -> DataFrame:
     """Drop Saturdays and Sundays (Spark ``weekday``: Monday 0 … Sunday 6)."""
@@ -130,8 +132,11 @@ def value_holdings(holdings: DataFrame, nav: DataFrame, as_of: dt.date | str, fu
     Only the distinct (fund, buy date) pairs meet the price history; holdings
     take their price with an equi-join, so they are never sorted or windowed.
     """
-    pairs = holdings.select(fund, "buy_date").distinct()
-    priced = asof_join(pairs, nav.select(fund, "nav_date", "nav"), [fund], "buy_date", "nav_date", ["nav"])
+    ensure_checkpoint_dir(holdings.sparkSession)
+    # Both sides of the as-of join are read more than once: written once, they cost one scan of their lineage each.
+    nav = nav.select(fund, "nav_date", "nav").checkpoint()
+    pairs = holdings.select(fund, "buy_date").distinct().checkpoint()
+    priced = asof_join(pairs, nav, [fund], "buy_date", "nav_date", ["nav"])
     priced = priced.withColumnsRenamed({"nav_date": "nav_date_at_buy", "nav": "nav_at_buy"})
     p = priced.withColumnsRenamed({fund: "_fund", "buy_date": "_date"})
     at_buy = holdings.join(p, F.col(fund).eqNullSafe(F.col("_fund")) & F.col("buy_date").eqNullSafe(F.col("_date")),
