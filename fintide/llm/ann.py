@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fintide.llm.common import staged
+from fintide.llm.common import first_by_hash, staged
 
 SAMPLE = 32768
 LIST_SIZE = 256
@@ -201,7 +201,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
     schema = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], schema)
-    sample = rows.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
+    sample = first_by_hash(rows, "vec_id", n, SAMPLE, SEED).select("v").toPandas()
     model = Centroids(balanced_centroids(_matrix(sample["v"]), min(MAX_CENTROIDS // 2, -(-n // LIST_SIZE))))
     shared = spark.sparkContext.broadcast(model)  # at most MAX_CENTROIDS vectors and their links
     postings = staged(index(rows, shared), "ann-postings")

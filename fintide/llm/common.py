@@ -30,6 +30,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def first_by_hash(df: DataFrame, key: str, rows: int, limit: int, seed: int = 0) -> DataFrame:
+    """The ``limit`` rows of ``df`` (of ``rows``) that come first in the order of a hash of ``key``.
+
+    A bound on the hash lets about one and a half times ``limit`` rows through, so
+    the last sort sees a bounded number however large the table is.
+    """
+    h = F.xxhash64(F.lit(seed), F.col(key))
+    share = (1.5 * limit + 64) / rows if rows else 1.0
+    few = df if share >= 1.0 else df.filter(h < int(share * 2**64) - 2**63)
+    return few.orderBy(h, key).limit(limit)
+
+
 def boxed(df: DataFrame, **needed: Column) -> DataFrame:
     """All columns of ``df`` in one struct ``_row``, beside the ``needed`` ones: no name of ``df`` can clash with an internal one."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fintide.llm.common import boxed, let, unboxed, words_of
+from fintide.llm.common import boxed, first_by_hash, let, unboxed, words_of
 
 BUCKETS = 1 << 15
 TRUSTED = 20_000  # labelled documents that the target multinomial is fitted on, at most
@@ -54,7 +54,7 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, text: str = "text",
                    buckets: int = BUCKETS, prior: float = PRIOR_COUNT) -> DataFrame:
     """One row, one column ``weights``: the array of all bucket weights, fitted on the whole corpus."""
     ids = trusted_ids.select(F.col(key).alias("k")).filter("k IS NOT NULL").distinct()
-    fitted_on = ids.orderBy(F.xxhash64("k"), "k").limit(TRUSTED).withColumn("good", F.lit(1))
+    fitted_on = first_by_hash(ids, "k", ids.count(), TRUSTED).withColumn("good", F.lit(1))
     marked = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(fitted_on), "k", "left")
     hashed = marked.select(F.coalesce("good", F.lit(0)).alias("good"), hashed_words(words_of(F.col("t"))).alias("h"))
     grams = hashed.select("good", F.explode(F.concat("h", chained(F.col("h"), 1))).alias("g")).select(
