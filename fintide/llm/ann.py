@@ -10,12 +10,18 @@ The index is a set of posting lists around centroids:
 * Every vector is filed under its nearest centroid and, where it lies near
   boundaries, under the further ones within ``1 + CLOSURE`` times the nearest
   distance, ``REPLICAS`` in all at most.
-* Centroids are found by a batched best-first search of the graph in memory.
-* A query reads the nearest lists until they hold ``LEAST_CANDIDATES`` vectors
-  together, and all lists whose centroid distance is within ``1 + PRUNE`` times
-  the last of those (usually the first list alone).  A list of vectors close
-  together is read as well if its members are typically as near to the query as
-  those of the nearest list (squared distance plus the list's mean square).
+* A vector's centroids are found by a batched best-first search of the graph in
+  memory.
+* A query is compared with all centroids.  It reads the nearest lists until they
+  hold ``LEAST_CANDIDATES`` vectors together, and all lists whose centroid
+  distance is within ``1 + prune`` times the last of those.  A list of vectors
+  close together is read as well if its members are typically as near to the
+  query as those of the nearest list (squared distance plus the list's mean
+  square).
+* ``prune`` is measured on every table: the true neighbours of ``TUNING`` queries
+  (chosen by hash) are found by comparing them with all rows, and ``prune`` is the
+  least value that reads ``RECALL`` of those neighbours, ``PRUNE`` at least.  So
+  the share of lists read follows the data and the number of lists.
 * Equal vectors are indexed and searched once, with the ids that can matter.
   A list that still holds more than ``MAX_LIST`` vectors is cut into parts by a
   hash, and a query reads all parts, so no task holds an unbounded list and no
@@ -47,13 +53,15 @@ LIST_SIZE = 256
 MAX_CENTROIDS = 8192
 DEGREE = 16
 FILING_BEAM = 24
-QUERY_BEAM = 192
 CLOSURE = 0.15
 REPLICAS = 4
 PRUNE = 0.12
 LEAST_CANDIDATES = 512
+TUNING = 256
+RECALL = 0.97
 MAX_LIST = 2048
 BATCH = 1024
+PROBES = 128  # queries compared with all centroids at once
 SEED = 11
 
 
@@ -80,7 +88,7 @@ class Centroids:
         self.order = rng.permutation(k).astype(np.int32)
 
     def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, distances) of about the nearest ``beam`` centroids of each row of x, nearest first."""
+        """(ids, distances) of about the nearest ``beam`` centroids of each row of x, nearest first; of all of them, exactly."""
         x, n, k = x.astype(np.float32), len(x), len(self.points)
         beam = min(beam, k)
         rows, entries = np.arange(n)[:, None], self.order[:beam]
@@ -88,7 +96,7 @@ class Centroids:
         dist = squared(x, self.points[entries])
         seen = np.zeros((n, k), bool)
         seen[rows, ids] = True
-        open_ = np.ones(ids.shape, bool)
+        open_ = np.full(ids.shape, beam < k)
         while True:
             front = np.where(open_, dist, np.inf)
             best = front.argsort(axis=1, kind="stable")[:, :4]  # expand the four nearest open ones of every row
@@ -192,6 +200,68 @@ def distinct_vectors(rows: DataFrame, least: int) -> DataFrame:
         F.col("ids")[0].alias("vec_id"), "v", "ids")
 
 
+def reading_order(c: Centroids, x: np.ndarray, sizes: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lists, excess): all lists of each row of x, and the least ``prune`` at which the row reads each; inf for empty lists."""
+    ids, dist = c.search(x, len(c.points))
+    weight = sizes[ids]
+    before = np.cumsum(weight, axis=1) - weight
+    base = np.where((before < LEAST_CANDIDATES) & (weight > 0), dist, 0.0).max(axis=1, keepdims=True)
+    excess = np.where(dist <= base, 0.0, dist / np.where(base > 0, base, 1e-30) - 1.0)
+    typical = np.where(weight > 0, dist * dist + spread[ids], np.inf)  # squared, of a list's members
+    first = np.argmax(weight > 0, axis=1)[:, None]
+    excess[typical <= np.take_along_axis(typical, first, 1)] = 0.0
+    return ids, np.where(weight > 0, excess, np.inf)
+
+
+def exact_nearest(rows: DataFrame, x: np.ndarray, k: int) -> DataFrame:
+    """(at, vec_id): the k nearest vectors, other than an equal one, of each row of x (few), among all ``rows``."""
+    asked = rows.sparkSession.sparkContext.broadcast(x)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        q = asked.value
+        ids, best = np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0))
+        for whole in frames:
+            for at in range(0, len(whole), BATCH):
+                part = whole.iloc[at : at + BATCH]
+                v = _matrix(part["v"])
+                d = squared(q, v)
+                close = d <= 1e-9 * ((q * q).sum(1)[:, None] + (v * v).sum(1))  # rounding hides which are equal
+                for i, j in zip(*np.nonzero(close)):
+                    d[i, j] = ((q[i] - v[j]) ** 2).sum()
+                d[d == 0] = np.inf
+                ids = np.concatenate([ids, np.broadcast_to(part["vec_id"].to_numpy(), d.shape)], 1)
+                best = np.concatenate([best, d], 1)
+                keep = best.argsort(axis=1, kind="stable")[:, :k]
+                ids, best = np.take_along_axis(ids, keep, 1), np.take_along_axis(best, keep, 1)
+        row, col = np.nonzero(np.isfinite(best))
+        yield pd.DataFrame({"at": row.astype(np.int32), "vec_id": ids[row, col], "d": best[row, col]})
+
+    found = rows.select("vec_id", "v").mapInPandas(run, "at int, vec_id long, d double")
+    place = F.row_number().over(Window.partitionBy("at").orderBy("d", "vec_id"))
+    return found.withColumn("_n", place).filter(F.col("_n") <= k).select("at", "vec_id")
+
+
+def tuned(rows: DataFrame, postings: DataFrame, searched: DataFrame, c: Centroids, sizes: np.ndarray, spread: np.ndarray,
+          k: int) -> float:
+    """The least ``prune``, ``PRUNE`` at least, at which a sample of the queries reads ``RECALL`` of its true neighbours."""
+    few = first_by_hash(searched, "same", searched.count(), TUNING, SEED).select("v").toPandas()
+    if not len(few):
+        return PRUNE
+    x = _matrix(few["v"])
+    true = staged(exact_nearest(rows, x, k), "ann-true")  # at most TUNING * k rows
+    held = true.join(postings.select("vec_id", "list"), "vec_id").collect()  # in REPLICAS lists each at most
+    excess = np.full((len(x), len(c.points)), np.inf)
+    for at in range(0, len(x), PROBES):
+        ids, need = reading_order(c, x[at : at + PROBES], sizes, spread)
+        np.put_along_axis(excess[at : at + PROBES], ids, need, 1)
+    least: dict = {}
+    for r in held:
+        key = r["at"], r["vec_id"]
+        least[key] = min(least.get(key, np.inf), excess[r["at"], r["list"]])
+    needs = sorted(least.values())
+    return max(PRUNE, float(needs[int(np.ceil(RECALL * len(needs))) - 1])) if needs else PRUNE
+
+
 def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row of ``queries`` (same columns), itself left out."""
     spark = table.sparkSession
@@ -214,23 +284,15 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
         F.col("vec_id").alias("query_id"), "v"), "ann-queries")
     # Equal query vectors are searched once.
     searched = asked.groupBy("v").agg(F.min("query_id").alias("same"))
+    prune = tuned(rows, postings, searched, model, sizes, spread, k)
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = shared.value
         for whole in frames:
-            for at in range(0, len(whole), BATCH):
-                part = whole.iloc[at : at + BATCH]
-                ids, dist = c.search(_matrix(part["v"]), QUERY_BEAM)
-                found = np.isfinite(dist)
-                weight = np.where(found, sizes[ids], 0)
-                before = np.cumsum(weight, axis=1) - weight
-                needed = (before < LEAST_CANDIDATES) & (weight > 0)
-                base = np.where(needed, dist, 0.0).max(axis=1, keepdims=True)
-                typical = np.where(weight > 0, dist * dist + spread[ids], np.inf)  # squared, of a list's members
-                first = np.argmax(weight > 0, axis=1)[:, None]
-                take = (dist <= (1.0 + PRUNE) * base) | (typical <= np.take_along_axis(typical, first, 1))
-                take &= weight > 0
-                row, col = np.nonzero(take)
+            for at in range(0, len(whole), PROBES):
+                part = whole.iloc[at : at + PROBES]
+                ids, excess = reading_order(c, _matrix(part["v"]), sizes, spread)
+                row, col = np.nonzero(excess <= prune)
                 lists = ids[row, col]
                 fan = parts[lists]
                 out = part.iloc[np.repeat(row, fan)].rename(columns={"v": "q"})

@@ -84,3 +84,16 @@ def test_lists_are_balanced():
     sample = np.concatenate([rng.normal(size=(2000, 8)) * 0.01, rng.normal(size=(500, 8)) * 3])
     centers = A.balanced_centroids(sample, 50)
     assert np.bincount(A.squared(sample, centers).argmin(1), minlength=len(centers)).max() <= 4 * len(sample) / 50
+
+
+def test_recall_with_many_small_lists(spark, monkeypatch):
+    """The share of lists that a query needs follows from the data, not from a fixed number of lists."""
+    monkeypatch.setattr(A, "LIST_SIZE", 8)
+    monkeypatch.setattr(A, "LEAST_CANDIDATES", 16)
+    x = np.random.default_rng(6).normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = found(A.nearest(t, t.filter("vec_id % 100 = 0")).collect())
+    want = brute(list(range(6000)), x, range(0, 6000, 100))
+    hits = sum(len({v for _, v in got.get(q, [])} & {v for _, v in want[q]}) for q in want)
+    assert hits >= 0.93 * 600
