@@ -2,17 +2,22 @@
 
 Base spans are the leftmost non-overlapping matches of four fixed patterns
 (email, ip, card, phone) that pass their checks.  They are the seed entities.
-The two words before an entity are its lexical pattern.  Every other token
-with a digit or an at-sign is a candidate instance, with the two words before
-it.  Patterns and instances form a bipartite graph that is scored in rounds:
+Every other token with a digit or an at-sign is a candidate instance.  The
+patterns of an instance are its contexts (the two words before it, the word
+before it, the two words after it) and, of a candidate, the shape of its value
+(letters and digits replaced by classes).  Patterns and instances form a
+bipartite graph that is scored in rounds:
 
 * a pattern scores the mean score of its distinct instances (seeds score 1,
   unknown candidates start at 0), smoothed by ``PRIOR``;
 * a candidate scores 1 - product(1 - score) over its trusted patterns.
 
-Patterns that score ``MIN_SCORE`` or more, on at least ``MIN_SEEDS`` distinct
-seeds, are trusted; candidates behind a trusted pattern become spans of kind
-``id``.  All of it is DataFrame work; scores are joined as tables.
+Patterns that score ``MIN_SCORE`` or more are trusted if ``MIN_SEEDS`` distinct
+instances stand behind them that are seeds or candidates with a score of ``SURE``
+or more: found instances lead to further patterns.  Spans of kind ``id`` are the
+candidates behind a trusted pattern, and every other place of a value found so
+that scores ``MIN_SCORE`` and has ``KNOWN_CHARS`` characters or more (shorter ones
+recur by chance).  All of it is DataFrame work; scores are joined as tables.
 
 Positions come from the patterns themselves: matches are wrapped in two
 private-use marks, the text is cut at the marks and the pieces' lengths are
@@ -31,6 +36,8 @@ input are ignored.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +60,8 @@ ROUNDS = 3
 PRIOR = 1.0
 MIN_SCORE = 0.6
 MIN_SEEDS = 3
+SURE = 0.9
+KNOWN_CHARS = 6
 
 SPAN = "struct<start:int,end:int,value:string>"
 
@@ -112,6 +121,17 @@ def left_words(text: Column, start: Column) -> Column:
     return let(words, lambda w: F.when(F.size(w) >= 2, F.concat_ws(" ", F.slice(w, -2, 2))))
 
 
+def right_words(text: Column, end: Column) -> Column:
+    """The two words from position ``end`` (0-based) on, lower-cased; NULL if there are fewer."""
+    words = F.array_remove(F.split(ascii_lower(F.substring(text, end + 1, F.lit(CONTEXT_CHARS))), SPACE + "+"), "")
+    return let(words, lambda w: F.when(F.size(w) >= 2, F.concat_ws(" ", F.slice(w, 1, 2))))
+
+
+def shape_of(value: Column) -> Column:
+    """Classes of the characters of ``value``: A-Z, a-z and 0-9 become A, a and 9."""
+    return F.translate(value, string.ascii_uppercase + string.ascii_lowercase + string.digits, "A" * 26 + "a" * 26 + "9" * 10)
+
+
 def extract(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: row number, id, base spans per kind, seeds and candidates with their left words."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc_id"),
@@ -131,40 +151,76 @@ def extract(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & s["value"].rlike("[0-9@]"))
 
     def with_left(spans: Column) -> Column:
-        return F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["value"], left_words(t, s["start"]).alias("left")))
+        return F.transform(spans, lambda s: F.struct(
+            s["start"], s["end"], s["value"], left_words(t, s["start"]).alias("left"), right_words(t, s["end"]).alias("right")))
 
     bare = {k: F.transform(F.col(k), lambda s: F.struct(s["start"], s["end"])).alias(k) for k in KINDS}
     return rows.select("row", "doc_id", *bare.values(), with_left(F.col("base")).alias("seeds"), with_left(free).alias("candidates"))
 
 
-def trusted_patterns(found: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE, min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """(left, score): the patterns trusted after ``rounds`` rounds over the pattern-instance graph of ``extract``."""
-    seeds = found.select(F.explode("seeds").alias("s")).select("s.left", F.xxhash64("s.value").alias("instance"), F.lit(1).alias("seed"))
-    others = found.select(F.explode("candidates").alias("s")).select("s.left", F.xxhash64("s.value").alias("instance"), F.lit(0).alias("seed"))
-    edges = staged(seeds.unionByName(others).filter("left IS NOT NULL").groupBy("left", "instance").agg(
-        F.max("seed").alias("seed")), "pii-edges")
+def patterns_of(s: Column, candidate: bool) -> Column:
+    """array<string> of all patterns of a span; a mark, which no text holds, tells the kinds apart."""
+    told = lambda kind, value: F.concat(F.lit(f"{OPEN}{kind} "), value)
+    every = [s["left"], told("near", F.substring_index(s["left"], " ", -1)), told("right", s["right"])]
+    if candidate:
+        every.append(told("shape", F.xxhash64(shape_of(s["value"])).cast("string")))
+    return F.filter(F.array(*every), lambda p: p.isNotNull())
+
+
+def graph(found: DataFrame, every: bool) -> DataFrame:
+    """(left, instance, seed): distinct pattern-instance pairs of ``extract``; only two left words, or ``every`` pattern."""
+    def side(column: str, seed: int) -> DataFrame:
+        spans = found.select(F.explode(column).alias("s"))
+        left = F.explode(patterns_of(F.col("s"), not seed)) if every else F.col("s.left")
+        return spans.select(left.alias("left"), F.xxhash64("s.value").alias("instance"), F.lit(seed).alias("seed"))
+
+    pairs = side("seeds", 1).unionByName(side("candidates", 0)).filter("left IS NOT NULL")
+    return staged(pairs.groupBy("left", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
+
+
+def lifted(edges: DataFrame, good: DataFrame) -> DataFrame:
+    """(instance, lift): the candidates behind the patterns ``good`` and their scores."""
+    # 1 - product(1 - p), as a sum of logs; p < 1 because of the prior.
+    return edges.filter("seed = 0").join(good, "left").groupBy("instance").agg(
+        (1 - F.exp(F.sum(F.log1p(-F.col("score"))))).alias("lift"))
+
+
+def bootstrap(edges: DataFrame, rounds: int, min_score: float, min_seeds: int, sure: float) -> DataFrame:
+    """(left, score): the patterns trusted after ``rounds`` rounds over ``edges``."""
     scored = edges.withColumn("score", F.col("seed").cast("double"))
     for n in range(rounds):
-        patterns = scored.groupBy("left").agg(F.sum("seed").alias("seeds"), (F.sum("score") / (F.count(F.lit(1)) + F.lit(PRIOR))).alias("p"))
-        good = patterns.filter((F.col("seeds") >= min_seeds) & (F.col("p") >= min_score)).select("left", "p")
+        patterns = scored.groupBy("left").agg(
+            F.sum(F.when((F.col("seed") == 1) | (F.col("score") >= sure), 1).otherwise(0)).alias("seeds"),
+            (F.sum("score") / (F.count(F.lit(1)) + F.lit(PRIOR))).alias("score"))
+        good = patterns.filter((F.col("seeds") >= min_seeds) & (F.col("score") >= min_score)).select("left", "score")
         good = staged(good, f"pii-patterns{n}")
         if n == rounds - 1:
-            return good.withColumnRenamed("p", "score")
-        # 1 - product(1 - p), as a sum of logs; p < 1 because of the prior.
-        lifted = edges.filter("seed = 0").join(good, "left").groupBy("instance").agg(
-            (1 - F.exp(F.sum(F.log1p(-F.col("p"))))).alias("lift"))
-        scored = edges.join(lifted, "instance", "left").select("left", "instance", "seed", F.when(
+            return good
+        scored = edges.join(lifted(edges, good), "instance", "left").select("left", "instance", "seed", F.when(
             F.col("seed") == 1, 1.0).otherwise(F.coalesce("lift", F.lit(0.0))).alias("score"))
     raise ValueError("rounds must be at least 1")
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+def trusted_patterns(found: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE, min_seeds: int = MIN_SEEDS,
+                     sure: float = SURE) -> DataFrame:
+    """(left, score): the trusted patterns of two left words, over these patterns alone."""
+    return bootstrap(graph(found, False), rounds, min_score, min_seeds, sure)
+
+
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, min_score: float = MIN_SCORE,
+         min_seeds: int = MIN_SEEDS, sure: float = SURE) -> DataFrame:
     """(doc_id, email, ip, card, phone, id): arrays of struct<start,end> in code points, one row per row of ``docs``."""
     found = staged(extract(docs, key, text), "pii-found")
-    trusted = trusted_patterns(found, **how)
-    new = found.select("row", F.explode("candidates").alias("s")).select("row", "s.left", "s.start", "s.end").join(
+    edges = graph(found, True)
+    trusted = bootstrap(edges, rounds, min_score, min_seeds, sure)
+    spans = found.select("row", F.explode("candidates").alias("s"))
+    behind = spans.select("row", "s.start", "s.end", F.explode(patterns_of(F.col("s"), True)).alias("left")).join(
         trusted, "left", "left_semi")
-    per_row = new.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("id"))  # of one text
+    known = lifted(edges, trusted).filter(F.col("lift") >= min_score)
+    again = spans.filter(F.length("s.value") >= KNOWN_CHARS).select(
+        "row", "s.start", "s.end", F.xxhash64("s.value").alias("instance")).join(known, "instance", "left_semi")
+    new = behind.drop("left").unionByName(again.drop("instance"))
+    per_row = new.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("id"))  # of one text
     none = F.array().cast("array<struct<start:int,end:int>>")
     return found.join(per_row, "row", "left").select("doc_id", *KINDS, F.coalesce("id", none).alias("id"))
 

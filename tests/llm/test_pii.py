@@ -111,3 +111,16 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
     ids = {r.doc_id: [dict(rows)[r.doc_id][s.start : s.end] for s in r.id] for r in P.find(docs).collect()}
     assert [ids[100 + i] for i in range(3)] == [[f"ext-55{i}7"] for i in range(3)]
     assert ids[301] == ["AB12CD"] and ids[300] == [] and all(ids[i] == [] for i in range(8))
+
+
+def test_found_identifiers_lead_to_more(spark):
+    """Found values are marked wherever they occur, and a context of found values alone finds further ones."""
+    rows = [(i, f"please call me at +1 (20{i}) 555-01{i:02} today or so") for i in range(20)]
+    rows += [(100 + i, f"you may call me at ref{i}77{'x' * (i + 1)} for it") for i in range(4)]
+    rows += [(200 + i, f"badge number ref{i}77{'x' * (i + 1)} was seen") for i in range(4)]
+    rows += [(300, "badge number Q-88#12z is lost"), (301, "in 1999 there were 12 of them")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = {r.doc_id: [dict(rows)[r.doc_id][s.start : s.end] for s in r.id] for r in P.find(docs).collect()}
+    for i in range(4):
+        assert ids[100 + i] == ids[200 + i] == [f"ref{i}77{'x' * (i + 1)}"]
+    assert ids[300] == ["Q-88#12z"] and ids[301] == [] and all(ids[i] == [] for i in range(20))
