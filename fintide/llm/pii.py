@@ -37,6 +37,7 @@ input are ignored.
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ PATTERNS = {
 NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 #: Tokens with a digit or an at-sign, without closing punctuation.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-CONTEXT_CHARS = 80
+CONTEXT_CHARS = (80, 1280)  # read first for the words around a span; then the whole text
 ROUNDS = 3
 PRIOR = 1.0
 MIN_SCORE = 0.6
@@ -114,17 +115,37 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(text.rlike(NEEDS[kind]), F.filter(spans_of(text, PATTERNS[kind]), lambda s: _valid(kind, s["value"]))).otherwise(none)
 
 
+def _two(near: Callable[[Column], Column], cut: Callable[[Column, Column], Column], length: Column, last: bool) -> Column:
+    """The last or first two words, lower-cased, of the text on one side; NULL if there are fewer.
+
+    ``near(n)`` are the n characters next to the span and ``cut(n, them)`` tells
+    whether there are more.  The outermost word of a cut piece may be cut itself:
+    it does not count, and a longer piece is read if too few words are left.
+    """
+    def words(n: Column) -> Column:
+        return F.array_remove(F.split(ascii_lower(near(n)), SPACE + "+"), "")
+
+    def two(w: Column) -> Column:
+        return F.when(F.size(w) >= 2, F.concat_ws(" ", F.slice(w, -2, 2) if last else F.slice(w, 1, 2)))
+
+    def within(n: Column, more: Column) -> Column:
+        return let(words(n), lambda w: F.when((F.size(w) < 3) & cut(n, near(n)), more).otherwise(two(w)))
+
+    out = let(words(length), two)
+    for chars in reversed(CONTEXT_CHARS):
+        out = within(F.lit(chars), out)
+    return out
+
+
 def left_words(text: Column, start: Column) -> Column:
     """The two words before position ``start`` (0-based), lower-cased; NULL if there are fewer."""
-    left = F.substring(text, F.greatest(start - CONTEXT_CHARS, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT_CHARS)))
-    words = F.array_remove(F.split(ascii_lower(left), SPACE + "+"), "")
-    return let(words, lambda w: F.when(F.size(w) >= 2, F.concat_ws(" ", F.slice(w, -2, 2))))
+    return _two(lambda n: F.substring(text, F.greatest(start - n, F.lit(0)) + 1, F.least(start, n)),
+                lambda n, _: start > n, start, True)
 
 
 def right_words(text: Column, end: Column) -> Column:
     """The two words from position ``end`` (0-based) on, lower-cased; NULL if there are fewer."""
-    words = F.array_remove(F.split(ascii_lower(F.substring(text, end + 1, F.lit(CONTEXT_CHARS))), SPACE + "+"), "")
-    return let(words, lambda w: F.when(F.size(w) >= 2, F.concat_ws(" ", F.slice(w, 1, 2))))
+    return _two(lambda n: F.substring(text, end + 1, n), lambda n, piece: F.length(piece) >= n, F.length(text), False)
 
 
 def shape_of(value: Column) -> Column:

@@ -124,3 +124,16 @@ def test_found_identifiers_lead_to_more(spark):
     for i in range(4):
         assert ids[100 + i] == ids[200 + i] == [f"ref{i}77{'x' * (i + 1)}"]
     assert ids[300] == ["Q-88#12z"] and ids[301] == [] and all(ids[i] == [] for i in range(20))
+
+
+def test_context_words_behind_long_words_and_padding(spark):
+    from pyspark.sql import functions as F
+
+    far = "https://" + "x" * 300
+    texts = [f"{a}{gap}{b}{pad}id77{pad}{b}{gap}{a}" for a, b in (("call", "me"), ("see", far), (far, "at"), (far, far + "y"))
+             for gap in (" ", " " * 90) for pad in (" ", "\n" * 100, " " * 2000)] + ["id77", "me id77 me", " " * 200 + "me id77"]
+    t = spark.createDataFrame([(x, x.index("id77")) for x in texts], "t string, at int")
+    two = lambda w: " ".join(w) if len(w) == 2 else None
+    for r in t.select("t", "at", P.left_words(F.col("t"), F.col("at")).alias("l"),
+                      P.right_words(F.col("t"), F.col("at") + 4).alias("r")).collect():
+        assert (r.l, r.r) == (two(r.t[: r.at].split()[-2:]), two(r.t[r.at + 4 :].split()[:2]))
