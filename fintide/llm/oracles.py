@@ -88,3 +88,58 @@ SELECT doc_id, source, CASE WHEN bad IS NULL THEN text ELSE array_to_string(good
   CASE WHEN bad IS NULL OR text IS NULL THEN 0 ELSE len(parts) - len(good) END::BIGINT AS n_dropped
 FROM cut
 """
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+ones AS (SELECT lang, w[i] AS p, count(*) AS f FROM places GROUP BY ALL),
+twos AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM places WHERE i + 1 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+threes AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM places WHERE i + 2 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang),
+held AS (
+  SELECT lang, w1, w2, max(f) AS f FROM (
+    SELECT lang, w1, w2, f FROM threes UNION ALL SELECT lang, w2, w3, f FROM threes) GROUP BY ALL),
+cuts AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, 1 AS k, t.f AS a, x.f AS l, y.f AS r
+  FROM twos t JOIN ones x ON x.lang = t.lang AND x.p = t.w1 JOIN ones y ON y.lang = t.lang AND y.p = t.w2
+  LEFT JOIN held h ON h.lang = t.lang AND h.w1 = t.w1 AND h.w2 = t.w2
+  WHERE h.f IS NULL OR 100 * h.f < 50 * t.f
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 1, t.f, x.f, y.f
+  FROM threes t JOIN ones x ON x.lang = t.lang AND x.p = t.w1 JOIN twos y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 2, t.f, x.f, y.f
+  FROM threes t JOIN twos x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN ones y ON y.lang = t.lang AND y.p = t.w3),
+scored AS (
+  SELECT *, (1000000::HUGEINT * a::HUGEINT * a::HUGEINT // (l::HUGEINT * r::HUGEINT))::BIGINT AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM scored)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH rows AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.id AS anchor_id, a.label AS anchor_label, b.id, b.label, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.id <> b.id WHERE a.id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+near AS (
+  SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE label <> anchor_label AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM near WHERE rank <= 10
+"""

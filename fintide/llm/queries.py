@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fintide.llm import ann, chaining, line_dedup, mixing, oracles, packing, pii, quality, quotation, simhash, url_filter
+from fintide.llm import ann, chaining, collocations, hard_negatives, langid, line_dedup, mixing, oracles, packing, pii, quality, quotation, simhash, url_filter
 from fintide.llm.common import read_table
 
 
@@ -60,12 +60,30 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs.filter(~langid.held_out()))
+    return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    whole = F.transform("embedding", lambda x: hard_negatives.floored(256 * x.cast("double")))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), vec_id, moved, whole, F.col("id") % 100 == 0)
+
+
 def queries() -> dict:
     import corpus_pipeline
 
     found = {f.__name__: f for f in (
         op1_url_filter, op2_nearest_vectors, op3_quotation_linking, op4_best_fit_packing, op5_simhash_near_dedup,
-        op6_line_dedup, op7_mixing, op8_quality_rules, op9_personal_data, op10_substring_dedup)}
+        op6_line_dedup, op7_mixing, op8_quality_rules, op9_personal_data, op10_substring_dedup, op11_language_id,
+        op12_collocations, op13_hard_negatives)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
@@ -73,7 +91,7 @@ def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
     found = {"op1_url_filter": oracles.OP1, "op3_quotation_linking": oracles.OP3,
-             "op6_line_dedup": oracles.OP6}
+             "op6_line_dedup": oracles.OP6, "op12_collocations": oracles.OP12, "op13_hard_negatives": oracles.OP13}
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
