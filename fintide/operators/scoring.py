@@ -4,12 +4,10 @@ The request/response service becomes table operations:
 
 * ``validate_requests`` attaches an array of reasons; valid and rejected rows
   are two filters of the same frame (nothing throws on a bad row).
-* ``score_distinct`` scores each distinct feature key once and joins the
-  predictions back (the cache's effect on model work).
 * ``cache_hits`` replays a TTL cache over timestamped requests exactly: a
   request is a miss when no earlier miss of the same key is younger than the
-  TTL.  This is a sequential fold per key; it is computed without gathering a
-  key's requests anywhere (see ``cache_hits``).
+  TTL.  This is a sequential fold per key; it is computed as a scan over
+  slices of time (``fintide.operators.ttl``).
 """
 
 from __future__ import annotations
@@ -18,12 +16,13 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fintide import config as C
 from fintide.functions.columns import age_group_code, plain_number
+from fintide.operators import ttl
 from fintide.operators.model import score_features
 from fintide.session import ensure_checkpoint_dir
 
@@ -95,16 +94,6 @@ def score_requests(model: PipelineModel, df: DataFrame, scored_at: Column | None
     )
 
 
-def score_distinct(model: PipelineModel, requests: DataFrame, key: str = "cache_key") -> DataFrame:
-    """Score each distinct key once and join the result back to every request with that key."""
-    feats = ["client_id", "equity_pct", "debt_pct", "gold_pct", "total_num_funds", "years_invested", "aum_lakh",
-             "age_group"]
-    distinct = requests.select(key, *feats).dropDuplicates([key])
-    scored = score_features(model, encode_requests(distinct)).select(
-        key, F.col("predicted_profile").alias("risk_profile"), "confidence")
-    return requests.join(scored, on=key, how="left")
-
-
 # ------------------------------------------------------------------ TTL cache
 
 
@@ -115,114 +104,54 @@ def epoch_micros(c: str | Column, dtype: T.DataType) -> Column:
     return F.unix_micros(x.cast("timestamp"))
 
 
-SUB_BUCKETS = 8  # parts of one TTL: a window task holds one key's requests of one part
+def cache_fills(df: DataFrame, key: str, ts_col: str, id_col: str, ttl_seconds: int = C.CACHE_TTL_SECONDS,
+                entries: DataFrame | None = None, slice_ttls: int = ttl.SLICE_TTLS) -> DataFrame:
+    """Replay a TTL cache: adds ``from_cache`` (False for the request that filled the entry) and ``filled_us``,
+    the time (epoch microseconds) when the entry that answers was filled.
 
+    The scan of ``fintide.operators.ttl``: a fixed number of shuffles however long a run of requests is.
+    ``id_col`` must identify requests uniquely; ties in time are ordered by it.  A NULL key is a key of its
+    own; a request without a time fills nothing and is a miss.  ``entries`` (key, expiry_us) are entries that
+    were filled before the first request's slice.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()  # read three times below: materialise the input once, not its whole lineage
 
-def _next_miss_candidates(base: DataFrame, ttl: int, sub_buckets: int = SUB_BUCKETS) -> tuple[DataFrame, DataFrame]:
-    """Per request r: ``_j`` = the first request s of the same key with t_s ≥ t_r + ttl, by (t, id);
-    and the set of *reset* requests (first of their key, or ≥ one TTL after the previous one).
+    def named(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")).alias("key")
 
-    Time is cut into sub-buckets of width ttl / ``sub_buckets``.  A probe at t_r + ttl is answered inside its own sub-bucket (a window
-    over one (key, sub-bucket) partition) or by the first request of the next
-    non-empty sub-bucket, looked up on a table of one row per non-empty
-    (key, sub-bucket).  Inside a sub-bucket gaps are < ttl, so only a
-    sub-bucket's first request can be a reset, decided from the previous
-    non-empty sub-bucket's last time.
-    """
-    width = max(1, ttl // sub_buckets)
-    sb = F.floor(F.col("_t") / width)
-    id_type = base.schema["_id"].dataType
-    targets = base.select("_k", "_t", F.lit(1).alias("_kind"), F.col("_id").alias("_tid"),
-                          F.lit(None).cast(id_type).alias("_src"))
-    probes = base.select("_k", (F.col("_t") + ttl).alias("_t"), F.lit(0).alias("_kind"),
-                         F.lit(None).cast(id_type).alias("_tid"), F.col("_id").alias("_src"))
-    both = targets.unionByName(probes).withColumn("_s", sb)
-    w = Window.partitionBy("_k", "_s").orderBy("_t", "_kind", "_tid").rowsBetween(0, Window.unboundedFollowing)
-    in_sub = (
-        both.withColumn("_hit", F.first(F.when(F.col("_kind") == 1, F.col("_tid")), ignorenulls=True).over(w))
-        .filter(F.col("_kind") == 0)
-        .select("_k", F.col("_src").alias("_id"), "_s", "_hit")
-    )
-    subs = base.groupBy("_k", sb.alias("_s")).agg(F.min(F.struct("_t", "_id")).alias("_f"),
-                                                  F.max("_t").alias("_last"))
-    # Next non-empty sub-bucket strictly after each probe's sub-bucket: summary rows sort
-    # before probe rows of the same sub-bucket, and the search starts after the probe row.
-    f_type = subs.schema["_f"].dataType
-    asks = in_sub.select("_k", "_s").distinct().select(
-        "_k", "_s", F.lit(None).cast(f_type).alias("_f"), F.lit(1).alias("_ask"))
-    wl = Window.partitionBy("_k").orderBy("_s", "_ask").rowsBetween(1, Window.unboundedFollowing)
-    fallback = (subs.select("_k", "_s", "_f", F.lit(0).alias("_ask")).unionByName(asks)
-                .withColumn("_fb", F.first("_f", ignorenulls=True).over(wl)["_id"])
-                .filter(F.col("_ask") == 1).select("_k", "_s", "_fb"))
-    nxt = (in_sub.join(fallback, on=["_k", "_s"], how="left")
-           .select("_id", F.coalesce("_hit", "_fb").alias("_j")))
-    ws = Window.partitionBy("_k").orderBy("_s")
-    resets = (subs.withColumn("_prev_last", F.lag("_last").over(ws))
-              .filter(F.col("_prev_last").isNull() | (F.col("_f._t") - F.col("_prev_last") >= ttl))
-              .select(F.col("_f._id").alias("_id")))
-    return nxt, resets
+    asked = df.select(named(key), epoch_micros(ts_col, df.schema[ts_col].dataType).alias("t"), F.col(id_col).alias("id"))
+    known = None if entries is None else entries.select(named(key), F.col("expiry_us").alias("entry"))
+    answers = ttl.replay(asked.filter(F.col("t").isNotNull()), int(ttl_seconds * 1_000_000), known, slice_ttls)
+    answers = answers.select(F.col("id").alias(id_col), F.col("from_cache").alias("_hit"), F.col("filled").alias("_filled"))
+    return df.join(answers, on=id_col, how="left").withColumns(
+        {"from_cache": F.coalesce("_hit", F.lit(False)), "filled_us": F.col("_filled")}).drop("_hit", "_filled")
 
 
 def cache_hits(df: DataFrame, key: str, ts_col: str, id_col: str,
-               ttl_seconds: int = C.CACHE_TTL_SECONDS, sub_buckets: int = SUB_BUCKETS) -> DataFrame:
-    """Replay a TTL cache: adds ``from_cache`` (False for the request that filled the entry).
-
-    The misses of a key form a chain: repeatedly, the first request at least
-    one TTL after the previous miss (``next``).  A request one TTL or more after
-    its key's previous request is a miss whatever came before (a *reset*), so
-    chains start at resets and stop before the next reset: disjoint segments.
-    ``next`` is computed with windows bounded by one TTL of time; then all
-    segments are walked at once by pointer doubling — round i extends each
-    known prefix by ``next^(2^i)`` and squares the jump table — so rounds =
-    log2(longest run of misses between resets), each two joins on unique ids.
-    Intermediates are checkpointed to the shared checkpoint folder, so lineage
-    stays short and a lost executor costs one round at most.  No key's
-    requests are ever gathered into one task.
-
-    ``id_col`` must identify requests uniquely; ties in time are ordered by it.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    ttl = int(ttl_seconds * 1_000_000)
-    df = df.checkpoint()  # read several times below: materialise the input once, not its whole lineage
-    base = df.select(F.col(key).alias("_k"), F.col(id_col).alias("_id"),
-                     epoch_micros(ts_col, df.schema[ts_col].dataType).alias("_t"))
-    nxt, resets = _next_miss_candidates(base, ttl, sub_buckets)
-    resets = resets.checkpoint()
-    # A jump into a reset point ends the segment (that reset starts its own chain).
-    stop = resets.select(F.col("_id").alias("_j"), F.lit(True).alias("_stop"))
-    jump = (nxt.join(stop, on="_j", how="left")
-            .select("_id", F.when(F.col("_stop").isNull(), F.col("_j")).alias("_j"))
-            .checkpoint())
-    # Round i walks 2^i requests on from every start: only the new ids are written, the pieces are united once.
-    pieces = [resets]
-    while True:
-        chain = pieces[0]
-        for piece in pieces[1:]:
-            chain = chain.unionByName(piece)
-        new = chain.join(jump, on="_id", how="inner").filter(F.col("_j").isNotNull()).select(
-            F.col("_j").alias("_id")).checkpoint()
-        if not new.limit(1).count():
-            break
-        pieces.append(new)
-        # Jumps that ended stay ended: only live ones are squared.
-        live = jump.filter(F.col("_j").isNotNull())
-        sq = live.select(F.col("_id").alias("_mid"), F.col("_j").alias("_j2"))
-        jump = live.join(sq, live["_j"] == sq["_mid"]).select("_id", F.col("_j2").alias("_j")).checkpoint()
-    misses = chain.select(F.col("_id").alias(id_col), F.lit(True).alias("_miss"))
-    return df.join(misses, on=id_col, how="left").withColumn("from_cache", F.col("_miss").isNull()).drop("_miss")
+               ttl_seconds: int = C.CACHE_TTL_SECONDS, slice_ttls: int = ttl.SLICE_TTLS) -> DataFrame:
+    """Replay a TTL cache: adds ``from_cache``, see ``cache_fills``."""
+    return cache_fills(df, key, ts_col, id_col, ttl_seconds, slice_ttls=slice_ttls).drop("filled_us")
 
 
 def cache_lookup(requests: DataFrame, store: DataFrame, key: str, ts_col: str, stored_col: str,
-                 value_cols: Sequence[str], ttl_seconds: int = C.CACHE_TTL_SECONDS) -> DataFrame:
+                 value_cols: Sequence[str], ttl_seconds: int = C.CACHE_TTL_SECONDS, one_per_key: bool = False) -> DataFrame:
     """Requests against a table of stored predictions: the latest entry of the key stored at or
     before the request is a hit while it is younger than the TTL; otherwise the request misses.
 
-    An as-of join (per key and time chunk, no per-key gathering) followed by the age test.
+    A store that keeps every version needs an as-of join (per key and chunk, no per-key gathering).  A store
+    of which the caller knows that it has one row per key (``one_per_key``) is a plain join on the key.
     """
     from fintide.operators.timeseries import asof_join
 
-    found = asof_join(requests, store.select(key, stored_col, *value_cols), [key], ts_col, stored_col,
-                      list(value_cols))
+    entries = store.select(key, stored_col, *value_cols)
+    if one_per_key:
+        known = F.col(stored_col) <= F.col(ts_col)
+        found = requests.join(entries, on=key, how="left").withColumns(
+            {c: F.when(known, F.col(c)) for c in [*value_cols, stored_col]})
+        found = found.select(*requests.columns, stored_col, *value_cols)
+    else:
+        found = asof_join(requests, entries, [key], ts_col, stored_col, list(value_cols))
     age_ok = F.col(ts_col) < F.col(stored_col) + F.make_dt_interval(secs=F.lit(ttl_seconds))
     return found.withColumn("from_cache", F.coalesce(age_ok, F.lit(False)))
 
@@ -233,19 +162,18 @@ def request_flow(asked: DataFrame, id_col: str, ts_col: str, score: Callable[[Da
 
     Adds status ('rejected', 'scored' or 'hit'), from_cache, ``value_cols`` and
     stored_at.  A request that finds no fresh entry of its key is scored by
-    ``score`` and stores its values; later ones take them until the TTL ends.
-    Rejected requests keep their reasons and have no values.
+    ``score`` and stores its values; later ones take them until the TTL ends:
+    the replay names the fill that answers a request, so values are joined on
+    (key, time of the fill).  Rejected requests keep their reasons and have no values.
     """
     ok = F.size("reasons") == 0
     answers = [F.lit(None).cast("timestamp_ntz" if isinstance(asked.schema[ts_col].dataType, T.TimestampNTZType)
                                 else "timestamp").alias("stored_at")]
-    valid = cache_hits(asked.filter(ok).withColumn("_key", request_key()), "_key", ts_col, id_col, ttl_seconds).checkpoint()
-    misses = score(valid.filter(~F.col("from_cache"))).select(
-        "_key", F.col(ts_col).alias("stored_at"), *value_cols)
-    found = cache_lookup(valid.withColumnRenamed("from_cache", "_hit"), misses, "_key", ts_col, "stored_at", value_cols,
-                         ttl_seconds)
-    done = found.withColumn("from_cache", F.col("_hit")).withColumn(
-        "status", F.when(F.col("_hit"), "hit").otherwise("scored")).drop("_hit", "_key")
+    valid = cache_fills(asked.filter(ok).withColumn("_key", request_key()), "_key", ts_col, id_col, ttl_seconds).checkpoint()
+    fills = score(valid.filter(~F.col("from_cache"))).select("_key", "filled_us", F.col(ts_col).alias("stored_at"), *value_cols)
+    done = valid.join(fills, on=["_key", "filled_us"], how="left").withColumn(
+        "status", F.when(F.col("from_cache"), "hit").otherwise("scored"))
+    done = done.select(*asked.columns, "stored_at", "from_cache", "status", *value_cols)
     types = {f.name: f.dataType for f in done.schema}
     refused = asked.filter(~ok).select(
         *asked.columns, *answers, F.lit(False).alias("from_cache"), F.lit("rejected").alias("status"),

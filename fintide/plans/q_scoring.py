@@ -149,7 +149,7 @@ def cache_lookup(spark, d):
     store = reqs.groupBy("cache_key").agg(
         (F.date_trunc("day", F.min("ts")).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(12)))
         .alias("stored_at"), F.concat(F.min("profile"), F.lit(" (stored)")).alias("stored"))
-    found = S.cache_lookup(reqs, store, "cache_key", "ts", "stored_at", ["stored"])
+    found = S.cache_lookup(reqs, store, "cache_key", "ts", "stored_at", ["stored"], one_per_key=True)
     return found.select("event_id", "cache_key", "ts", "stored_at", "from_cache",
                         F.when(F.col("from_cache"), F.col("stored")).otherwise(F.col("profile")).alias("risk_profile"))
 

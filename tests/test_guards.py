@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from fintide.operators import scoring as S
+from fintide.operators import ttl
 from fintide.operators.timeseries import asof_join, lag_chunked
 
 CORE = pathlib.Path(__file__).resolve().parents[1] / "fintide"
@@ -41,14 +41,16 @@ def test_keyed_windows_are_split_by_time_chunk(spark):
     assert re.search(r"hashpartitioning\(fund#\d+, _chunk#\d+", plan)
 
 
-def test_ttl_candidates_are_split_by_bucket(spark):
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [(i, "hot", t0 + dt.timedelta(seconds=37 * i)) for i in range(500)]
-    df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz")
-    base = df.select(F.col("k").alias("_k"), F.col("id").alias("_id"),
-                     S.epoch_micros("ts", df.schema["ts"].dataType).alias("_t"))
-    nxt, _ = S._next_miss_candidates(base, 600 * 10**6)
-    assert re.search(r"hashpartitioning\(_k#\d+, _s#\d+", _final_plan(nxt))
+def test_ttl_replay_is_split_by_slice_with_a_fixed_number_of_shuffles(spark):
+    counts = []
+    for n in (40, 4000):  # runs of a hundred times the length
+        df = spark.createDataFrame([(i, "hot", 1_700_000_000_000_000 + i * 400_000_000) for i in range(n)], "id long, key string, t long")
+        plan = _final_plan(ttl.functions(df.withColumn("slice", ttl.slice_of("t", 600 * 10**6)), 600 * 10**6))
+        assert re.search(r"hashpartitioning\(key#\d+, slice#\d+", plan)
+        before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+        assert ttl.replay(df, 600 * 10**6).count() == n
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - len(before))
+    assert counts[0] == counts[1]
 
 
 def test_every_query_has_an_oracle_unless_model_dependent():

@@ -1,13 +1,16 @@
 import datetime as dt
 import decimal
+import itertools
 import random
 
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fintide import config as C
-from fintide.operators.scoring import (cache_hits, encode_requests, hit_rate, request_key, split_valid,
-                                       validate_requests)
+from fintide.operators.scoring import (cache_fills, cache_hits, cache_lookup, encode_requests, hit_rate, request_key,
+                                       split_valid, validate_requests)
 from fintide.functions.columns import feature_vector, plain_number
 from fintide.operators.sampling import expand_allocation
 
@@ -87,15 +90,53 @@ def test_hit_rate(spark):
 
 @settings(max_examples=6, deadline=None)
 @given(st.integers(0, 10_000))
-def test_ttl_fold_with_split_buckets(spark, seed):
-    # Results must not depend on the width of the sub-buckets.
+def test_ttl_fold_with_other_slices(spark, seed):
+    # Results must not depend on the width of the slices.
     rnd = random.Random(seed)
     rows = [("hot", rnd.randint(0, 3_000)) for _ in range(200)] + [("k1", rnd.randint(0, 20_000)) for _ in range(40)]
     df = _events(spark, rows)
-    got = {r.event_id: r.from_cache for r in cache_hits(df, "k", "ts", "event_id", 600, sub_buckets=rnd.choice([1, 3, 50])).collect()}
+    got = {r.event_id: r.from_cache for r in cache_hits(df, "k", "ts", "event_id", 600, slice_ttls=rnd.choice([1, 3, 50])).collect()}
     assert got == _fold(rows, 600)
 
 
+def test_ttl_fold_of_a_long_hot_key(spark):
+    # One key of 200,000 requests, with quiet stretches; a run of misses spans thousands of slices.
+    rnd = random.Random(8)
+    gaps = [rnd.choice([0, 1, 1, 2, 5, 30, 61]) if i % 5000 else 500 for i in range(200_000)]
+    secs = list(itertools.accumulate(gaps))
+    df = spark.createDataFrame(pd.DataFrame({"event_id": range(len(secs)), "s": secs})).select(
+        "event_id", F.lit("hot").alias("k"), F.timestamp_micros(F.col("s") * 1_000_000).alias("ts"))
+    got = cache_fills(df, "k", "ts", "event_id", 60).select("event_id", "from_cache", "filled_us").toPandas().sort_values("event_id")
+    expiry, hits, fills = None, [], []
+    for s in secs:
+        hit = expiry is not None and s < expiry
+        expiry = expiry if hit else s + 60
+        hits.append(hit)
+        fills.append((expiry - 60) * 1_000_000)
+    assert got["from_cache"].tolist() == hits and got["filled_us"].tolist() == fills and hits.count(False) > 15_000
+
+
+def test_ttl_entries_carry_over(spark):
+    rows = [("a", 0), ("a", 4000), ("b", 4000), (None, 4100), (None, 4200)]
+    df = _events(spark, rows).unionByName(spark.createDataFrame([(9, "a", None)], "event_id long, k string, ts timestamp_ntz"))
+    t0 = 1_704_067_200_000_000
+    entries = spark.createDataFrame([("a", t0 + 10 * 10**6), ("c", t0)], "k string, expiry_us long")
+    got = {r.event_id: (r.from_cache, r.filled_us and (r.filled_us - t0) // 10**6) for r in
+           cache_fills(df, "k", "ts", "event_id", 3600, entries).collect()}
+    assert got == {0: (True, -3590), 1: (False, 4000), 2: (False, 4000), 3: (False, 4100), 4: (True, 4100), 9: (False, None)}
+    assert [r.from_cache for r in cache_hits(df, "k", "ts", "event_id", 0).collect()] == [False] * 6
+
+
+def test_store_with_one_row_per_key_is_a_plain_join(spark):
+    reqs = _events(spark, [("a", 0), ("a", 100), ("a", 5000), ("b", 10)])
+    store = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, 0, 1), "x")], "k string, at timestamp_ntz, v string")
+    plain = cache_lookup(reqs, store, "k", "ts", "at", ["v"], 3600, one_per_key=True)
+    asof = cache_lookup(reqs, store, "k", "ts", "at", ["v"], 3600)
+    assert sorted(plain.select(asof.columns).collect(), key=str) == sorted(asof.collect(), key=str)
+    assert {r.event_id: (r.v, r.from_cache) for r in plain.collect()} == {0: (None, False), 1: ("x", True), 2: ("x", False), 3: (None, False)}
+    assert "Window" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_key_text_keeps_every_digit_and_never_fails(spark):
     values = [1e30, -1e30, 25.00000000001, 25.00000000002, 85.0, 1e7, 12345678.9, 0.00025, 1.5e-10, -2.5e-7, 0.0, 1e16, 1.7976931348623157e308, 100.1]
     df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", plain_number("v").alias("t"))
