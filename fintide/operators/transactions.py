@@ -42,6 +42,23 @@ def bursts(df: DataFrame, min_txns: int = 2, ts_col: str = "txn_ts") -> DataFram
     )
 
 
+def burst_sessions(df: DataFrame, gap_seconds: int = 60, min_txns: int = 2, ts_col: str = "txn_ts") -> DataFrame:
+    """Runs of at least ``min_txns`` transactions of a client, each at most ``gap_seconds`` after the one before.
+
+    Unlike ``bursts`` a run is not split where a clock minute ends.  Session windows merge in the shuffle's
+    sorted order; ``df`` may be a stream with a watermark on ``ts_col``.
+    """
+    # A session window ends one gap after its last row, and a row at that very instant still belongs to it.
+    window = F.session_window(F.col(ts_col), f"{gap_seconds} seconds")
+    return (
+        df.groupBy("client_id", window.alias("w"))
+        .agg(F.count("txn_id").alias("n_txn"), F.sum("amount").cast("double").alias("total_amount"))
+        .filter(F.col("n_txn") >= min_txns)
+        .select("client_id", F.col("w.start").alias("burst_start"),
+                (F.col("w.end") - F.make_dt_interval(secs=F.lit(gap_seconds))).alias("burst_end"), "n_txn", "total_amount")
+    )
+
+
 def transaction_mix(df: DataFrame, digits: int = 2) -> DataFrame:
     """Count, amount and share of transactions per (type, channel)."""
     agg = df.groupBy("txn_type", "channel").agg(

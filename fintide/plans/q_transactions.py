@@ -62,6 +62,20 @@ def burst_transactions(spark, d):
     return TX.bursts(tv.transactions(spark, d))
 
 
+SESSIONS_SQL = with_views("""
+SELECT client_id, min(txn_ts) AS burst_start, max(txn_ts) AS burst_end, count(*) AS n_txn, CAST(sum(amount) AS DOUBLE) AS total_amount
+FROM (SELECT *, sum(opens) OVER (PARTITION BY client_id ORDER BY txn_ts, txn_id) AS island
+      FROM (SELECT *, CASE WHEN txn_ts - lag(txn_ts) OVER (PARTITION BY client_id ORDER BY txn_ts, txn_id) <= INTERVAL 60 SECOND
+                           THEN 0 ELSE 1 END AS opens FROM transactions) o) i
+GROUP BY client_id, island HAVING count(*) >= 2""", "transactions")
+
+
+@register("burst_sessions", SESSIONS_SQL)
+def burst_sessions(spark, d):
+    """Bursts that a clock minute does not split: at most a minute between neighbouring transactions."""
+    return TX.burst_sessions(tv.transactions(spark, d))
+
+
 @register("transaction_mix", with_views(f"""
 SELECT txn_type, channel, n_txn, total_amount, {rnd('CAST(n_txn AS DOUBLE) * 100.0 / sum(n_txn) OVER ()', 2)}
        AS share_pct
