@@ -3,9 +3,9 @@
 Windows keyed only by fund would put a whole fund's history in one task (and a
 few funds in total means a few tasks).  Both ``lag_chunked`` and
 ``asof_join`` therefore window over (key, time chunk) and stitch chunk
-boundaries with a summary of one row per (key, chunk), which is bounded by the
-time span, not by the row count.  The chunk (``month`` unless the caller
-names another of ``CHUNKS``) is a fixed parameter; results do not depend on it.
+boundaries with a summary of one row per (key, chunk).  ``lag_chunked`` cuts time
+at a fixed chunk (``month`` unless the caller names another of ``CHUNKS``),
+``asof_join`` at quantiles of the data; results do not depend on it.
 """
 
 from __future__ import annotations
@@ -76,30 +76,48 @@ def nav_volatility(returns: DataFrame, fund: str = "fund_name", digits: int = 8)
     )
 
 
+DEPTH = 256  # equi-depth chunks
+
+
+def depth_bounds(times: DataFrame, column: str, chunks: int = DEPTH) -> list:
+    """Bounds that cut the rows of ``times`` into about ``chunks`` chunks of equal numbers of rows (``chunks`` values at most)."""
+    shares = [i / chunks for i in range(1, chunks)]
+    found = times.agg(F.percentile_approx(column, shares, 20 * chunks).alias("q")).first()["q"] or []
+    return sorted(set(found))
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
-              right_cols: Sequence[str], chunk: str = "month") -> DataFrame:
+              right_cols: Sequence[str], chunk: str = "depth") -> DataFrame:
     """Left rows with the last right row of the same ``by`` whose ``right_on`` ≤ ``left_on``.
 
-    Adds ``right_on`` and ``right_cols`` (NULL when nothing qualifies).  Right
-    rows and left rows are unioned and windowed per (by, chunk) — a right row
-    at the same instant counts as "on or before".  A left row with no right row
-    earlier in its chunk takes the last right row of the latest earlier chunk,
-    found on a table of one row per (by, chunk).  Of several right rows at one
-    instant the one with the greatest ``right_cols`` (in order) counts.
+    Adds ``right_on`` and ``right_cols`` (NULL when nothing qualifies, or a key or time is NULL).  Of several
+    right rows at one instant the one with the greatest ``right_cols`` (in order) counts.
+
+    Only the distinct (by, instant) pairs of both sides are unioned and windowed, per (by, chunk); a right
+    instant equal to the left one counts as "on or before".  A left instant with no right one earlier in its
+    chunk takes the last right row of the latest earlier chunk, found on a table of one row per (by, chunk).
+    Left rows take their answer with an equi-join, so many rows at one instant are no one task's work.
+
+    ``depth`` chunks are cut at quantiles of all instants: however rows are spread over keys and time, no
+    (by, chunk) holds more than a ``DEPTH``-th of them.  The other chunks are those of ``CHUNKS``.
     """
     keys = list(by)
-    rpack = F.struct(F.col(right_on).alias("_rt"), *[F.col(c).alias(c) for c in right_cols])
-    rtype = right.select(rpack.alias("p")).schema["p"].dataType
-    lcols = left.columns
-    l_tagged = left.select(*[F.col(c) for c in lcols], F.col(left_on).alias("_t"), F.lit(1).alias("_kind"),
-                           F.lit(None).cast(rtype).alias("_r"))
-    r_full = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) if c not in keys else F.col(c)
-                            for c in lcols], F.col(right_on).alias("_t"), F.lit(0).alias("_kind"), rpack.alias("_r"))
-    both = l_tagged.unionByName(r_full).withColumn("_chunk", chunk_of("_t", chunk))
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_t", "_kind", "_r").rowsBetween(Window.unboundedPreceding, 0)
+    instants = left.select(*keys, F.col(left_on).alias("_t")).dropna().distinct()
+    entries = right.select(*keys, F.col(right_on).alias("_t"), F.struct(F.col(right_on).alias("_rt"), *right_cols).alias("_r"))
+    entries = entries.dropna(subset=[*keys, "_t"]).groupBy(*keys, "_t").agg(F.max("_r").alias("_r"))
+    rtype = entries.schema["_r"].dataType
+    both = instants.withColumns({"_kind": F.lit(1), "_r": F.lit(None).cast(rtype)}).unionByName(entries.withColumn("_kind", F.lit(0)))
+    if chunk == "depth":
+        both = both.checkpoint()  # read for the bounds as well
+        bounds = depth_bounds(both, "_t")
+        cuts = F.array(*[F.lit(b) for b in bounds])
+        both = both.withColumn("_chunk", F.size(F.filter(cuts, lambda b: b < F.col("_t"))) if bounds else F.lit(0))
+    else:
+        both = both.withColumn("_chunk", chunk_of("_t", chunk))
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     matched = (both.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
                .filter(F.col("_kind") == 1).drop("_r"))
-    # Boundary carry: last right row per (by, chunk), propagated to later chunks of left rows.
+    # Boundary carry: last right row per (by, chunk), propagated to later chunks of left instants.
     r_last = both.filter(F.col("_kind") == 0).groupBy(*keys, "_chunk").agg(
         F.max("_r").alias("_last"))  # by time first, then by value
     l_chunks = matched.select(*keys, "_chunk").distinct().withColumn("_last", F.lit(None).cast(rtype))
@@ -110,10 +128,15 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
              .unionByName(r_last.withColumn("_is_left", F.lit(False)))
              .withColumn("_carry", F.last("_last", ignorenulls=True).over(wc))
              .filter("_is_left").select(*keys, "_chunk", "_carry"))
-    out = matched.join(carry, on=[*keys, "_chunk"], how="left").withColumn("_p", F.coalesce("_m", "_carry"))
+    answers = matched.join(carry, on=[*keys, "_chunk"], how="left").select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_t", F.coalesce("_m", "_carry").alias("_p"))
+    same = F.col(left_on) == F.col("_t")
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_k{i}"))
+    lcols = left.columns
     extra = {right_on if right_on not in lcols else f"right_{right_on}": F.col("_p._rt")}
     extra.update({c: F.col(f"_p.{c}") for c in right_cols})
-    return out.withColumns(extra).drop("_t", "_kind", "_chunk", "_m", "_carry", "_p")
+    return left.join(answers, same, "left").withColumns(extra).select(*lcols, *extra)
 
 
 def latest_on_or_before(right: DataFrame, by: Sequence[str], right_on: str, value_cols: Sequence[str],

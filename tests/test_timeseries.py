@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fintide.operators.timeseries import asof_join, lag_chunked, value_holdings, weekdays_only
+from fintide.operators.timeseries import asof_join, depth_bounds, lag_chunked, value_holdings, weekdays_only
 
 
 def _dates(rnd, n, span=400):
@@ -89,3 +89,38 @@ def test_valuation_windows_only_distinct_pairs(spark):
     out = {r.id: r for r in value_holdings(held, nav, days[-1]).collect()}
     assert len(out) == 202 and out[900].nav_at_buy is None and out[901].nav_at_buy is None
     assert all(out[i].nav_at_buy == (i % 40) // 3 for i in range(200))
+
+
+def test_one_key_within_a_day_is_spread_over_tasks(spark):
+    left = spark.range(200_000).select("id", F.lit("HOT").alias("k"), F.timestamp_micros(F.lit(1_709_251_200_000_000) + F.col("id") * 400_000).alias("t"))
+    right = spark.range(2_000).select(F.lit("HOT").alias("k"), F.timestamp_micros(F.lit(1_709_251_200_000_000) + F.col("id") * 43_000_000).alias("at"),
+                                      F.col("id").cast("double").alias("v"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        instants = left.select("k", F.col("t").alias("_t"))
+        bounds = depth_bounds(instants, "_t")
+        chunk = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("_t")))
+        dealt = instants.withColumn("c", chunk).repartition("k", "c").groupBy(F.spark_partition_id()).count().collect()
+        assert len(bounds) > 200 and len(dealt) == 16 and max(r["count"] for r in dealt) < 200_000 / 5
+        got = asof_join(left, right, ["k"], "t", "at", ["v"])
+        wrong = got.filter(F.col("v") != F.floor(F.col("id") * 400_000 / 43_000_000)).count()
+        assert wrong == 0 and got.count() == 200_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_many_rows_at_one_instant_and_nulls(spark):
+    day = dt.date(2024, 1, 2)
+    left = spark.createDataFrame([(i, "A", day) for i in range(500)] + [(900, None, day), (901, "A", None), (902, "A", dt.date(2023, 1, 1))],
+                                 "id long, fund string, d date")
+    right = spark.createDataFrame([("A", day, 1.0, "x"), ("A", day, 2.0, "a"), (None, day, 9.0, "z"), ("A", None, 8.0, "y")],
+                                  "fund string, nav_date date, nav double, note string")
+    got = {r.id: (r.nav_date, r.nav, r.note) for r in asof_join(left, right, ["fund"], "d", "nav_date", ["nav", "note"]).collect()}
+    assert len(got) == 503 and all(got[i] == (day, 2.0, "a") for i in range(500))
+    assert got[900] == got[901] == got[902] == (None, None, None)
+    empty = asof_join(left, right.limit(0), ["fund"], "d", "nav_date", ["nav"])
+    assert empty.count() == 503 and empty.filter("nav IS NOT NULL").count() == 0
+    assert asof_join(left.limit(0), right, ["fund"], "d", "nav_date", ["nav"]).count() == 0
