@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fintide import config as C
 
@@ -50,6 +51,30 @@ def profile(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(by).agg(*aggs)
 
 
+FOOTER_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType)
+
+
+def footer_profile(spark: SparkSession, path: str, by: str, columns: Sequence[str]) -> DataFrame:
+    """``profile`` of a Parquet table by one of its partition columns, from the statistics in the files' footers.
+
+    Counts, minima and maxima are pushed into the scan, so no row is read.  Only columns of
+    ``FOOTER_TYPES`` have exact statistics there; others are refused.
+    """
+    own = spark.newSession()  # the settings are this query's, not the caller's
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = own.read.parquet(path)
+    unfit = [c for c in columns if not isinstance(table.schema[c].dataType, FOOTER_TYPES)]
+    if unfit:
+        raise ValueError(f"no exact statistics in the footers for {unfit}")
+    aggs = [F.count(F.lit(1)).alias("num_records")]
+    for c in columns:
+        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"), F.count(c).alias(f"_held_{c}")]
+    found = table.groupBy(by).agg(*aggs)
+    return found.select(by, "num_records", *[x for c in columns for x in (
+        f"min_{c}", f"max_{c}", (F.col("num_records") - F.col(f"_held_{c}")).alias(f"nulls_{c}"))])
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: NULL count per column."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -7,10 +7,14 @@ classpath, otherwise ``parquet`` with directory partitioning.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fintide.session import ensure_checkpoint_dir
+
 
 def lake_format(spark: SparkSession) -> str:
     """``delta`` when the session is configured with the Delta extension, otherwise ``parquet``."""
@@ -35,7 +39,7 @@ def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, null_
     if check_header:
         first = spark.read.text(path).limit(1).collect()
         if first:
-            header = [h.strip().strip('"') for h in first[0][0].split(",")]
+            header = [h.strip() for h in next(csv.reader([first[0][0]]))]
             if header != schema.fieldNames():
                 raise HeaderMismatch(f"CSV header {header} at {path} does not match schema {schema.fieldNames()}")
     return (
@@ -49,6 +53,31 @@ def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, null_
     )
 
 
+BAD = "_malformed"
+
+
+def read_csv_quarantined(spark: SparkSession, path: str, schema: T.StructType, null_value: str = "") -> tuple[DataFrame, DataFrame]:
+    """(rows, malformed): CSV bound to a declared schema, with the lines that do not fit it kept apart.
+
+    A line is malformed if a value does not parse as its column's type, or if it has too few or too many
+    fields.  ``malformed`` has (file, line).  Every line but the header is in exactly one of the two.
+
+    Whether a value parses is known only if it is read, so all columns are parsed once and the outcome is
+    written to the shared checkpoint folder; both results read it.
+    """
+    ensure_checkpoint_dir(spark)
+    read_csv_checked(spark, path, schema, null_value)  # the header check
+    whole = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
+    parsed = (
+        spark.read.schema(whole).option("header", True).option("enforceSchema", False).option("nullValue", null_value)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).option("columnPruning", False)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+        .select("*", F.col("_metadata.file_path").alias("_file")).checkpoint()
+    )
+    rows = parsed.filter(F.col(BAD).isNull()).drop(BAD, "_file")
+    return rows, parsed.filter(F.col(BAD).isNotNull()).select(F.col("_file").alias("file"), F.col(BAD).alias("line"))
+
+
 def read_csv_inferred(spark: SparkSession, path: str, null_value: str = "") -> DataFrame:
     """CSV with a header and an inferred schema (one extra pass over the data; prefer a declared schema)."""
     return (spark.read.option("header", True).option("inferSchema", True).option("nullValue", null_value)
