@@ -12,27 +12,30 @@ The index is a set of posting lists around centroids:
   distance, ``REPLICAS`` in all at most.
 * A vector's centroids are found by a batched best-first search of the graph in
   memory.
-* A query is compared with all centroids.  It reads the nearest lists until they
-  hold ``LEAST_CANDIDATES`` vectors together, and all lists whose centroid
-  distance is within ``1 + prune`` times the last of those.  A list of vectors
-  close together is read as well if its members are typically as near to the
-  query as those of the nearest list (squared distance plus the list's mean
-  square).
+* A query searches the same graph.  It reads the nearest lists until they hold
+  ``LEAST_CANDIDATES`` vectors together, and all lists whose centroid distance
+  is within ``1 + prune`` times the last of those: the beam starts at ``QUERY_BEAM``
+  centroids and is doubled for the queries whose last centroid found is still
+  within that ratio.  Of the centroids found, a list of vectors close together
+  is read as well if its members are typically as near to the query as those of
+  the nearest list (squared distance plus the list's mean square).
 * ``prune`` is measured on every table: the true neighbours of ``TUNING`` queries
   (chosen by hash) are found by comparing them with all rows, and ``prune`` is the
   least value that reads ``RECALL`` of those neighbours, ``PRUNE`` at least.  So
   the share of lists read follows the data and the number of lists.
 * Equal vectors are indexed and searched once, with the ids that can matter.
   A list that still holds more than ``MAX_LIST`` vectors is cut into parts by a
-  hash, and a query reads all parts, so no task holds an unbounded list and no
-  row is left out.
+  hash, and a query reads all parts; the queries of a list that is read by more
+  than ``MAX_PROBES`` are dealt to as many copies of it.  So no task holds an
+  unbounded list or all of its queries, and no row is left out.
 
 Distances are Euclidean, in double precision on the original vectors.
 
 Defined cases: vectors that are NULL, zero, hold a NULL or non-finite
 component, or have another length than the table's most frequent one take no
 part, neither as queries nor as candidates; rows with a NULL id neither.
-Repeated ids count once, with their smallest distance.  Ties go to the smaller
+All rows of a repeated id are candidates; the id counts once, with its smallest
+distance, and of a query with a repeated id each row searches.  Ties go to the smaller
 id.  An empty table has no neighbours.  Extra columns are ignored.
 """
 
@@ -49,10 +52,12 @@ from pyspark.sql.window import Window
 from fintide.llm.common import first_by_hash, staged
 
 SAMPLE = 32768
+SAMPLE_VALUES = 1 << 22  # of all components of the sample
 LIST_SIZE = 256
 MAX_CENTROIDS = 8192
 DEGREE = 16
 FILING_BEAM = 24
+QUERY_BEAM = 64
 CLOSURE = 0.15
 REPLICAS = 4
 PRUNE = 0.12
@@ -60,8 +65,9 @@ LEAST_CANDIDATES = 512
 TUNING = 256
 RECALL = 0.97
 MAX_LIST = 2048
+MAX_PROBES = 2048
 BATCH = 1024
-PROBES = 128  # queries compared with all centroids at once
+PROBES = 128  # queries that search the graph at once
 SEED = 11
 
 
@@ -86,6 +92,7 @@ class Centroids:
         rng = np.random.default_rng(SEED)
         self.graph = np.concatenate([near, rng.integers(0, k, (k, 4))], axis=1).astype(np.int32)
         self.order = rng.permutation(k).astype(np.int32)
+        self.compared = 0  # of the last search: centroids that a row was compared with, at most
 
     def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of about the nearest ``beam`` centroids of each row of x, nearest first; of all of them, exactly."""
@@ -120,6 +127,7 @@ class Centroids:
             keep = dist.argsort(axis=1, kind="stable")[:, :beam]
             ids, dist, open_ = (np.take_along_axis(v, keep, 1) for v in (ids, dist, open_))
             open_ &= np.isfinite(dist)
+        self.compared = int(seen.sum(1).max()) if n else 0
         order = dist.argsort(axis=1, kind="stable")
         return np.take_along_axis(ids, order, 1), np.sqrt(np.take_along_axis(dist, order, 1))
 
@@ -200,17 +208,31 @@ def distinct_vectors(rows: DataFrame, least: int) -> DataFrame:
         F.col("ids")[0].alias("vec_id"), "v", "ids")
 
 
-def reading_order(c: Centroids, x: np.ndarray, sizes: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(lists, excess): all lists of each row of x, and the least ``prune`` at which the row reads each; inf for empty lists."""
-    ids, dist = c.search(x, len(c.points))
+def excesses(ids: np.ndarray, dist: np.ndarray, sizes: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(excess, ratio) of lists in order of distance: the least ``prune`` at which a row reads each (inf for empty lists),
+    and that by the distance ratio alone (0 as long as the lists hold too few candidates)."""
     weight = sizes[ids]
     before = np.cumsum(weight, axis=1) - weight
     base = np.where((before < LEAST_CANDIDATES) & (weight > 0), dist, 0.0).max(axis=1, keepdims=True)
-    excess = np.where(dist <= base, 0.0, dist / np.where(base > 0, base, 1e-30) - 1.0)
+    ratio = np.where(dist <= base, 0.0, dist / np.where(base > 0, base, 1e-30) - 1.0)
     typical = np.where(weight > 0, dist * dist + spread[ids], np.inf)  # squared, of a list's members
     first = np.argmax(weight > 0, axis=1)[:, None]
-    excess[typical <= np.take_along_axis(typical, first, 1)] = 0.0
-    return ids, np.where(weight > 0, excess, np.inf)
+    excess = np.where(typical <= np.take_along_axis(typical, first, 1), 0.0, ratio)
+    return np.where(weight > 0, excess, np.inf), ratio
+
+
+def lists_read(c: Centroids, x: np.ndarray, sizes: np.ndarray, spread: np.ndarray, prune: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, list) pairs: the lists that each row of x reads."""
+    rows, lists, open_, beam = [], [], np.arange(len(x)), QUERY_BEAM
+    while len(open_):
+        ids, dist = c.search(x[open_], beam)
+        excess, ratio = excesses(ids, dist, sizes, spread)
+        done = (ratio[:, -1] > prune) | (ids.shape[1] == len(c.points))
+        row, col = np.nonzero((excess <= prune) & done[:, None])
+        rows.append(open_[row])
+        lists.append(ids[row, col])
+        open_, beam = open_[~done], 2 * beam
+    return np.concatenate(rows), np.concatenate(lists)
 
 
 def exact_nearest(rows: DataFrame, x: np.ndarray, k: int) -> DataFrame:
@@ -251,9 +273,9 @@ def tuned(rows: DataFrame, postings: DataFrame, searched: DataFrame, c: Centroid
     true = staged(exact_nearest(rows, x, k), "ann-true")  # at most TUNING * k rows
     held = true.join(postings.select("vec_id", "list"), "vec_id").collect()  # in REPLICAS lists each at most
     excess = np.full((len(x), len(c.points)), np.inf)
-    for at in range(0, len(x), PROBES):
-        ids, need = reading_order(c, x[at : at + PROBES], sizes, spread)
-        np.put_along_axis(excess[at : at + PROBES], ids, need, 1)
+    for at in range(0, len(x), PROBES):  # the few sample queries are compared with every centroid
+        ids, dist = c.search(x[at : at + PROBES], len(c.points))
+        np.put_along_axis(excess[at : at + PROBES], ids, excesses(ids, dist, sizes, spread)[0], 1)
     least: dict = {}
     for r in held:
         key = r["at"], r["vec_id"]
@@ -265,13 +287,13 @@ def tuned(rows: DataFrame, postings: DataFrame, searched: DataFrame, c: Centroid
 def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row of ``queries`` (same columns), itself left out."""
     spark = table.sparkSession
-    once = usable(table, key, vector).groupBy("vec_id").agg(F.min("v").alias("v"))
-    rows = staged(distinct_vectors(once, k + 1), "ann-rows")
+    rows = staged(distinct_vectors(usable(table, key, vector).distinct(), k + 1), "ann-rows")
     n = rows.count()
     schema = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], schema)
-    sample = first_by_hash(rows, "vec_id", n, SAMPLE, SEED).select("v").toPandas()
+    size = len(rows.first()["v"])
+    sample = first_by_hash(rows.withColumn("h", F.xxhash64("v")), "h", n, min(SAMPLE, max(1, SAMPLE_VALUES // size)), SEED).select("v").toPandas()
     model = Centroids(balanced_centroids(_matrix(sample["v"]), min(MAX_CENTROIDS // 2, -(-n // LIST_SIZE))))
     shared = spark.sparkContext.broadcast(model)  # at most MAX_CENTROIDS vectors and their links
     postings = staged(index(rows, shared), "ann-postings")
@@ -280,10 +302,9 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
     for r in postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("away") ** 2).alias("s")).collect():
         sizes[r["list"]], spread[r["list"]] = r["n"], r["s"]
     parts = np.maximum(1, -(-sizes // MAX_LIST))
-    asked = staged(usable(queries, key, vector).groupBy("vec_id").agg(F.min("v").alias("v")).select(
-        F.col("vec_id").alias("query_id"), "v"), "ann-queries")
+    asked = staged(usable(queries, key, vector).distinct().select(F.col("vec_id").alias("query_id"), "v"), "ann-queries")
     # Equal query vectors are searched once.
-    searched = asked.groupBy("v").agg(F.min("query_id").alias("same"))
+    searched = asked.groupBy("v").agg(F.count(F.lit(1)).alias("_n")).select("v", F.xxhash64("v").alias("same"))
     prune = tuned(rows, postings, searched, model, sizes, spread, k)
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -291,9 +312,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
         for whole in frames:
             for at in range(0, len(whole), PROBES):
                 part = whole.iloc[at : at + PROBES]
-                ids, excess = reading_order(c, _matrix(part["v"]), sizes, spread)
-                row, col = np.nonzero(excess <= prune)
-                lists = ids[row, col]
+                row, lists = lists_read(c, _matrix(part["v"]), sizes, spread, prune)
                 fan = parts[lists]
                 out = part.iloc[np.repeat(row, fan)].rename(columns={"v": "q"})
                 which = [np.arange(f) for f in fan]
@@ -301,10 +320,20 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
                                     "part": np.concatenate(which).astype(np.int32) if which else [],
                                     "same": out["same"].to_numpy(), "q": out["q"].to_numpy()})
 
-    many = spark.createDataFrame([(i, int(parts[i])) for i in np.flatnonzero(parts > 1).tolist()], "list int, parts int")
-    filed = postings.drop("away").join(F.broadcast(many), "list", "left").withColumn(  # at most MAX_CENTROIDS rows
+    def by_list(counts: np.ndarray, name: str) -> DataFrame:
+        return spark.createDataFrame([(i, int(counts[i])) for i in np.flatnonzero(counts > 1).tolist()], f"list int, {name} int")
+
+    probes = staged(searched.mapInPandas(probe, "list int, part int, same long, q array<double>"), "ann-probes")
+    turns = np.ones(len(model.points), np.int64)
+    for r in probes.filter("part = 0").groupBy("list").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MAX_PROBES).collect():
+        turns[r["list"]] = -(-r["n"] // MAX_PROBES)
+    many, often = F.broadcast(by_list(parts, "parts")), F.broadcast(by_list(turns, "turns"))  # at most MAX_CENTROIDS rows each
+    filed = postings.drop("away").join(many, "list", "left").withColumn(
         "part", F.pmod(F.xxhash64("vec_id"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
-    probes = searched.mapInPandas(probe, "list int, part int, same long, q array<double>")
+    filed = filed.join(often, "list", "left").withColumn(
+        "turn", F.explode(F.sequence(F.lit(0), F.coalesce("turns", F.lit(1)) - 1))).drop("turns")
+    probes = probes.join(often, "list", "left").withColumn(
+        "turn", F.pmod(F.xxhash64("same"), F.coalesce("turns", F.lit(1))).cast("int")).drop("turns")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -312,18 +341,23 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
             x, first, ids = _matrix(left["v"]), left["vec_id"].to_numpy(), left["ids"].to_numpy()
             for same, q in zip(right["same"], right["q"]):
                 score = np.sqrt(((x - np.asarray(q)) ** 2).sum(axis=1))
-                order = np.lexsort((first, score))[: k + 1]
+                order = np.lexsort((first, score))
+                seen, at = set(), 0  # ids, not vectors, are counted: an id may stand with several
+                while at < len(order) and len(seen) <= k:
+                    seen.update(ids[order[at]])
+                    at += 1
+                order = order[:at]
                 out.append(pd.DataFrame({"same": same, "vec_id": first[order], "score": score[order], "ids": ids[order]}))
         return pd.concat(out) if out else pd.DataFrame(
             {"same": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64"),
              "ids": pd.Series(dtype=object)})
 
-    found = filed.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInPandas(
+    found = filed.groupBy("list", "part", "turn").cogroup(probes.groupBy("list", "part", "turn")).applyInPandas(
         compare, "same long, vec_id long, score double, ids array<long>")
-    best = found.groupBy("same", "vec_id").agg(F.min("score").alias("score"), F.first("ids").alias("ids")).select(
-        "same", "score", F.explode("ids").alias("vec_id"))
+    best = found.select("same", "score", F.explode("ids").alias("vec_id")).groupBy("same", "vec_id").agg(F.min("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("same").orderBy("score", "vec_id"))
     best = best.withColumn("_n", place).filter(F.col("_n") <= k + 1).drop("_n")
-    answered = asked.join(searched, "v").select("query_id", "same").join(best, "same").filter("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return answered.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    asked = asked.join(searched, "v").select("query_id", "same")
+    answered = asked.join(best, "same").filter("vec_id <> query_id")
+    row = F.row_number().over(Window.partitionBy("query_id", "same").orderBy("score", "vec_id"))
+    return answered.withColumn("rank", row).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

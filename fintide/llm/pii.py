@@ -22,7 +22,9 @@ recur by chance).  All of it is DataFrame work; scores are joined as tables.
 Positions come from the patterns themselves: matches are wrapped in two
 private-use marks, the text is cut at the marks and the pieces' lengths are
 summed.  Marks that the text already holds are first replaced by another
-character that no pattern uses, so offsets (code points) stay true.
+character that no pattern uses, so offsets (code points) stay true.  The words
+around a match are read from the pieces next to it, and long arrays are summed and
+compared block by block, so a text's cost is not the square of its matches.
 
 The patterns are the fixed ones in an equivalent form for a backtracking
 engine: possessive repeats, and a match may only start where its first run
@@ -56,7 +58,8 @@ PATTERNS = {
 NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 #: Tokens with a digit or an at-sign, without closing punctuation.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-CONTEXT_CHARS = (80, 1280)  # read first for the words around a span; then the whole text
+CONTEXT = ((80, 4), (1280, 64))  # characters, and pieces of text between spans, that are read first for the words around a span
+BLOCK = 256  # items of long arrays that are worked on together
 ROUNDS = 3
 PRIOR = 1.0
 MIN_SCORE = 0.6
@@ -64,24 +67,85 @@ MIN_SEEDS = 3
 SURE = 0.9
 KNOWN_CHARS = 6
 
-SPAN = "struct<start:int,end:int,value:string>"
+SPAN = "struct<start:int,end:int,value:string,left:string,right:string>"
 
 
-def spans_of(text: Column, pattern: str) -> Column:
-    """array<struct<start,end,value>> of all matches in order; ``text`` holds no marks."""
+def in_blocks(values: Column, size: int = BLOCK) -> Column:
+    """An array as an array of arrays of ``size`` values."""
+    first = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values), F.lit(size))).otherwise(F.array().cast("array<int>"))
+    return F.transform(first, lambda i: F.slice(values, i, size))
+
+
+def running(values: Column) -> Column:
+    """Running sums of an array of int: within blocks, then with the sums of the blocks before."""
+    def sums(block: Column) -> Column:
+        nothing = F.array().cast("array<int>")
+        return F.aggregate(block, nothing, lambda out, v: F.concat(out, F.array(F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(0)) + v)))
+
+    def joined(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda b: F.element_at(b, -1))
+        return let(sums(ends), lambda upto: F.flatten(F.transform(
+            blocks, lambda b, i: F.transform(b, lambda v: v + F.when(i > 0, upto[i - 1]).otherwise(0)))))
+
+    return let(F.transform(in_blocks(values), sums), joined)
+
+
+def _two(near: Callable[[int | None, int | None], Column], there: Column, last: bool) -> Column:
+    """The last or first two words, lower-cased, of the text on one side; NULL if there are fewer.
+
+    ``near(chars, pieces)`` are so many characters of so many pieces next to the
+    span, and ``there`` is the length of the whole side.  The outermost word of a
+    cut side may be cut itself: it does not count, and more is read if too few
+    words are left.
+    """
+    def two(w: Column) -> Column:
+        return F.when(F.size(w) >= 2, F.concat_ws(" ", F.slice(w, -2, 2) if last else F.slice(w, 1, 2)))
+
+    def words(text: Column) -> Column:
+        return F.array_remove(F.split(ascii_lower(text), SPACE + "+"), "")
+
+    def within(chars: int, pieces: int, more: Column) -> Column:
+        return let(near(chars, pieces), lambda text: let(words(text), lambda w: F.when(
+            (F.size(w) < 3) & (F.length(text) < there), more).otherwise(two(w))))
+
+    out = let(words(near(None, None)), two)
+    for chars, pieces in reversed(CONTEXT):
+        out = within(chars, pieces, out)
+    return out
+
+
+def spans_of(text: Column, pattern: str, valid: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
+    """array<struct<start,end,value,left,right>> of all valid matches in order, with the two words on either side; ``text`` holds no marks."""
     parts = F.split(F.regexp_replace(text, f"({pattern})", f"{OPEN}$1{CLOSE}"), OPEN)
 
-    def add(acc: Column, part: Column) -> Column:
-        value = F.substring_index(part, CLOSE, 1)
-        end = acc["at"] + F.length(value)
-        span = F.struct(acc["at"].alias("start"), end.alias("end"), value.alias("value"))
-        return F.struct((acc["at"] + F.length(part) - 1).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def joined(pieces: Column) -> Column:
+        return F.replace(F.array_join(pieces, ""), F.lit(CLOSE), F.lit(""))
 
-    def walk(p: Column) -> Column:
-        zero = F.struct(F.length(p[0]).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-        return F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), zero, add)["out"]
+    def walk(p: Column, ends: Column) -> Column:
+        n = F.size(p)
 
-    return let(parts, walk)
+        def span(j: Column) -> Column:
+            start, value = ends[j - 1], F.substring_index(p[j], CLOSE, 1)
+
+            def before(chars: int | None, pieces: int | None) -> Column:
+                text = joined(F.slice(p, F.greatest(j + 1 - pieces, F.lit(1)), F.least(j, F.lit(pieces))) if pieces else F.slice(p, F.lit(1), j))
+                return F.right(text, F.lit(chars)) if chars else text
+
+            def behind(chars: int | None, pieces: int | None) -> Column:
+                more = joined(F.slice(p, j + 2, F.lit(pieces - 1) if pieces else n))
+                text = F.concat(F.substring_index(p[j], CLOSE, -1), more)
+                return F.left(text, F.lit(chars)) if chars else text
+
+            end = start + F.length(value)
+            return F.struct(start.alias("start"), end.alias("end"), value.alias("value"),
+                            _two(before, start, True).alias("left"), _two(behind, ends[n - 1] - end, False).alias("right"))
+
+        found = F.filter(F.sequence(F.lit(1), n - 1), lambda j: valid(F.substring_index(p[j], CLOSE, 1)))
+        return F.when(n > 1, F.transform(found, span)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    # The closing mark of every piece but the first is no part of the text.
+    return let(parts, lambda p: let(running(F.transform(p, lambda part, i: F.length(part) - F.when(i > 0, 1).otherwise(0))),
+                                    lambda ends: walk(p, ends)))
 
 
 def _digits(value: Column) -> Column:
@@ -112,40 +176,20 @@ def _valid(kind: str, value: Column) -> Column:
 def base_spans(text: Column, kind: str) -> Column:
     """The valid spans of a kind, in order."""
     none = F.array().cast(f"array<{SPAN}>")
-    return F.when(text.rlike(NEEDS[kind]), F.filter(spans_of(text, PATTERNS[kind]), lambda s: _valid(kind, s["value"]))).otherwise(none)
+    return F.when(text.rlike(NEEDS[kind]), spans_of(text, PATTERNS[kind], lambda v: _valid(kind, v))).otherwise(none)
 
 
-def _two(near: Callable[[Column], Column], cut: Callable[[Column, Column], Column], length: Column, last: bool) -> Column:
-    """The last or first two words, lower-cased, of the text on one side; NULL if there are fewer.
+def apart(spans: Column, others: Column) -> Column:
+    """The spans (in order, not overlapping) that no span of ``others`` overlaps; blocks of spans meet the others in their range only."""
+    def meets(a: Column, b: Column) -> Column:
+        return (b["start"] < a["end"]) & (a["start"] < b["end"])
 
-    ``near(n)`` are the n characters next to the span and ``cut(n, them)`` tells
-    whether there are more.  The outermost word of a cut piece may be cut itself:
-    it does not count, and a longer piece is read if too few words are left.
-    """
-    def words(n: Column) -> Column:
-        return F.array_remove(F.split(ascii_lower(near(n)), SPACE + "+"), "")
+    def block(part: Column) -> Column:
+        whole = F.struct(part[0]["start"].alias("start"), F.element_at(part, -1)["end"].alias("end"))
+        return let(whole, lambda w: let(F.filter(others, lambda o: meets(w, o)), lambda near: F.filter(
+            part, lambda s: ~F.exists(near, lambda o: meets(s, o)))))
 
-    def two(w: Column) -> Column:
-        return F.when(F.size(w) >= 2, F.concat_ws(" ", F.slice(w, -2, 2) if last else F.slice(w, 1, 2)))
-
-    def within(n: Column, more: Column) -> Column:
-        return let(words(n), lambda w: F.when((F.size(w) < 3) & cut(n, near(n)), more).otherwise(two(w)))
-
-    out = let(words(length), two)
-    for chars in reversed(CONTEXT_CHARS):
-        out = within(F.lit(chars), out)
-    return out
-
-
-def left_words(text: Column, start: Column) -> Column:
-    """The two words before position ``start`` (0-based), lower-cased; NULL if there are fewer."""
-    return _two(lambda n: F.substring(text, F.greatest(start - n, F.lit(0)) + 1, F.least(start, n)),
-                lambda n, _: start > n, start, True)
-
-
-def right_words(text: Column, end: Column) -> Column:
-    """The two words from position ``end`` (0-based) on, lower-cased; NULL if there are fewer."""
-    return _two(lambda n: F.substring(text, end + 1, n), lambda n, piece: F.length(piece) >= n, F.length(text), False)
+    return F.flatten(F.transform(in_blocks(spans), block))
 
 
 def shape_of(value: Column) -> Column:
@@ -164,19 +208,18 @@ def extract(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     rows = rows.withColumn("base", every).withColumn("tokens", tokens)
 
     def trimmed(s: Column) -> Column:
-        # Closing punctuation and quotes are not part of an identifier.
-        return let(F.regexp_replace(s["value"], r"[.,;:!?)\]}\"']+$", ""), lambda v: F.struct(
-            s["start"].alias("start"), (s["start"] + F.length(v)).alias("end"), v.alias("value")))
-
-    free = F.filter(F.transform("tokens", trimmed), lambda s: ~F.exists(
-        "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & s["value"].rlike("[0-9@]"))
+        # Closing punctuation and quotes are not part of an identifier; they are part of the word that follows it.
+        def cut(v: Column) -> Column:
+            rest = F.substring(s["value"], F.length(v) + 1, F.length(s["value"]))
+            right = F.when(rest == "", s["right"]).otherwise(F.concat_ws(" ", rest, F.substring_index(s["right"], " ", 1)))
+            return F.struct(s["start"].alias("start"), (s["start"] + F.length(v)).alias("end"), v.alias("value"), s["left"].alias("left"),
+                            F.when(s["right"].isNotNull(), right).alias("right"))
 
-    def with_left(spans: Column) -> Column:
-        return F.transform(spans, lambda s: F.struct(
-            s["start"], s["end"], s["value"], left_words(t, s["start"]).alias("left"), right_words(t, s["end"]).alias("right")))
+        return let(F.regexp_replace(s["value"], r"[.,;:!?)\]}\"']+$", ""), cut)
 
+    named = F.filter(F.transform("tokens", trimmed), lambda s: s["value"].rlike("[0-9@]"))
     bare = {k: F.transform(F.col(k), lambda s: F.struct(s["start"], s["end"])).alias(k) for k in KINDS}
-    return rows.select("row", "doc_id", *bare.values(), with_left(F.col("base")).alias("seeds"), with_left(free).alias("candidates"))
+    return rows.select("row", "doc_id", *bare.values(), F.col("base").alias("seeds"), let(named, lambda n: apart(n, F.col("base"))).alias("candidates"))
 
 
 def patterns_of(s: Column, candidate: bool) -> Column:

@@ -97,3 +97,44 @@ def test_recall_with_many_small_lists(spark, monkeypatch):
     want = brute(list(range(6000)), x, range(0, 6000, 100))
     hits = sum(len({v for _, v in got.get(q, [])} & {v for _, v in want[q]}) for q in want)
     assert hits >= 0.93 * 600
+
+
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(1, [1.0, 1.0]), (7, [-100.0, 1.0]), (7, [1.0, 1.1]), (7, [1.0, 1.2]), (8, [1.0, 3.0]), (9, [1.0, 2.0]), (9, [1.0, 1.05])]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(A.nearest(t, t.filter("vec_id = 1"), k=3).collect())
+    assert [(v, round(s, 9)) for s, v in got[1]] == [(9, 0.05), (7, 0.1), (8, 2.0)]
+    twice = A.nearest(t, t.filter("vec_id = 9"), k=1).collect()  # both rows of the query search
+    assert sorted((r.vec_id, round(r.score, 9), r.rank) for r in twice) == [(1, 0.05, 1), (7, 0.8, 1)]
+
+
+def test_many_near_rows_of_one_id_do_not_crowd_out_others(spark):
+    rows = [(1, [1.0, 1.0])] + [(7, [1.0, 1.0 + i / 1000]) for i in range(1, 60)] + [(10 + i, [1.0, 2.0 + i]) for i in range(12)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(A.nearest(t, t.filter("vec_id = 1"), k=10).collect())
+    assert [v for _, v in got[1]] == [7] + list(range(10, 19))
+
+
+def test_queries_search_the_graph_and_not_all_centroids():
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(40, 16))
+    c = A.Centroids(middles[rng.integers(0, 40, 4000)] + 0.4 * rng.normal(size=(4000, 16)))
+    sizes, spread = np.full(4000, 256), np.full(4000, 0.5)
+    x = middles[rng.integers(0, 40, 64)] + 0.4 * rng.normal(size=(64, 16))
+    row, lists = A.lists_read(c, x, sizes, spread, 0.12)
+    assert c.compared < 2000
+    ids, dist = c.search(x, 4000)
+    excess, _ = A.excesses(ids, dist, sizes, np.zeros(4000))
+    want = {(i, j) for i in range(64) for j in ids[i][excess[i] <= 0.12].tolist()}
+    assert len(want & set(zip(row.tolist(), lists.tolist()))) >= 0.95 * len(want)
+
+
+def test_queries_of_a_hot_list_are_dealt_to_copies_of_it(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 8))
+    x[:400] = x[0] + 0.001 * rng.normal(size=(400, 8))
+    t = spark.createDataFrame([(i, x[i].tolist()) for i in range(600)], "vec_id long, embedding array<double>")
+    queries = t.filter("vec_id < 300")
+    want = {(r.query_id, r.rank, r.vec_id) for r in A.nearest(t, queries).collect()}
+    monkeypatch.setattr(A, "MAX_PROBES", 7)
+    assert {(r.query_id, r.rank, r.vec_id) for r in A.nearest(t, queries).collect()} == want

@@ -132,8 +132,38 @@ def test_context_words_behind_long_words_and_padding(spark):
     far = "https://" + "x" * 300
     texts = [f"{a}{gap}{b}{pad}id77{pad}{b}{gap}{a}" for a, b in (("call", "me"), ("see", far), (far, "at"), (far, far + "y"))
              for gap in (" ", " " * 90) for pad in (" ", "\n" * 100, " " * 2000)] + ["id77", "me id77 me", " " * 200 + "me id77"]
-    t = spark.createDataFrame([(x, x.index("id77")) for x in texts], "t string, at int")
+    texts += [" ".join(f"a{i}" for i in range(700)), "x@y.zz," * 300 + " end", " ".join(["1.2.3.4"] * 90) + "!"]
     two = lambda w: " ".join(w) if len(w) == 2 else None
-    for r in t.select("t", "at", P.left_words(F.col("t"), F.col("at")).alias("l"),
-                      P.right_words(F.col("t"), F.col("at") + 4).alias("r")).collect():
-        assert (r.l, r.r) == (two(r.t[: r.at].split()[-2:]), two(r.t[r.at + 4 :].split()[:2]))
+    t = spark.createDataFrame([(x,) for x in texts], "t string")
+    got = t.select("t", P.spans_of(F.col("t"), P.TOKEN).alias("token"), *[P.base_spans(F.col("t"), k).alias(k) for k in P.KINDS])
+    for r in got.collect():
+        assert [(s.start, s.end) for s in r.token] == [m.span() for m in re.finditer(r"(?<!\S)\S*[0-9@]\S*", r.t)]
+        for s in [s for k in ("token", *P.KINDS) for s in r[k]]:
+            assert s.value == r.t[s.start : s.end]
+            assert (s.left, s.right) == (two(r.t[: s.start].split()[-2:]), two(r.t[s.end :].split()[:2])), (r.t[:200], s)
+
+
+def test_long_arrays_in_blocks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [([],), ([3],), ([1] * 256,), (list(range(257)),), (list(range(1000)),)]
+    df = spark.createDataFrame(rows, "v array<int>")
+    for r in df.select("v", P.running(F.col("v")).alias("s"), P.in_blocks(F.col("v"), 7).alias("b")).collect():
+        assert r.s == [sum(r.v[: i + 1]) for i in range(len(r.v))] if len(r.v) < 300 else r.s == list(__import__("itertools").accumulate(r.v))
+        assert [x for b in r.b for x in b] == r.v and all(1 <= len(b) <= 7 for b in r.b)
+
+
+def test_one_long_text_of_many_tokens(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"w{i} is {i}" + (" 10.0.0.%d" % (i % 256) if i % 9 == 0 else "") for i in range(n // 2))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begun = time.time()
+        (row,) = P.digest(P.find(docs)).collect()
+        assert row.n_ip == -(-(n // 2) // 9)
+        return time.time() - begun
+
+    seconds(100)
+    short, long_ = seconds(5_000), seconds(50_000)
+    assert long_ < 10 * short + 20
