@@ -70,11 +70,12 @@ def score_features(model: PipelineModel, df: DataFrame, high: float = 0.7, mediu
 
 def importances(spark: SparkSession, model: PipelineModel,
                 features: Sequence[str] = tuple(C.FEATURE_COLS)) -> DataFrame:
-    """(feature, importance) ordered by importance, descending; sums to 1."""
+    """(feature, importance, rank) ordered by importance, descending, then name; importances sum to 1."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    rows = [(f, float(v)) for f, v in zip(features, imp)]
-    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
-    return spark.createDataFrame(rows, schema).orderBy(F.desc("importance"), F.asc("feature"))
+    rows = sorted(((f, float(v)) for f, v in zip(features, imp)), key=lambda r: (-r[1], r[0]))
+    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType()),
+                           T.StructField("rank", T.IntegerType())])
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(rows, 1)], schema)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -60,7 +60,7 @@ def expand_allocation(df: DataFrame, id_col: str = "client_id", profile_col: str
 
 def expand_to_funds(slots: DataFrame, funds: DataFrame, id_col: str = "client_id", type_col: str = "fund_type",
                     fund_col: str = "fund_id", seed: int = C.SEED) -> DataFrame:
-    """Each slot of ``expand_allocation`` draws one fund of its type; slots whose type has no fund are dropped.
+    """Each slot of ``expand_allocation`` draws one fund of its type; a slot whose type has no fund keeps its row with a NULL fund.
 
     Funds of a type are numbered in md5 order and a slot's uniform picks a
     number, so the draw is one equi-join on (type, number).
@@ -69,5 +69,10 @@ def expand_to_funds(slots: DataFrame, funds: DataFrame, id_col: str = "client_id
                            [fund_col], "_n").drop("_h")
     sizes = funds.groupBy(type_col).agg(F.count(F.lit(1)).alias("_size"))
     u = hash_uniform(id_col, F.col("slot"), F.lit("fund"), seed=seed)
-    return (slots.join(sizes, on=type_col).withColumn("_n", F.floor(u * F.col("_size")) + 1)
-            .join(numbered, on=[type_col, "_n"]).drop("_n", "_size"))
+    return (slots.join(sizes, on=type_col, how="left").withColumn("_n", F.floor(u * F.col("_size")) + 1)
+            .join(numbered, on=[type_col, "_n"], how="left").drop("_n", "_size"))
+
+
+def unfilled(drawn: DataFrame, type_col: str = "fund_type", fund_col: str = "fund_id") -> DataFrame:
+    """Per type: slots, and slots that found no fund."""
+    return drawn.groupBy(type_col).agg(F.count(F.lit(1)).alias("slots"), F.count_if(F.col(fund_col).isNull()).alias("unfilled"))

@@ -10,7 +10,8 @@ from fintide.operators import metrics as M
 from fintide.operators import model as ML
 from fintide.plans import views as V
 from fintide.plans.catalog import register
-from fintide.plans.oracle_views import rnd, with_views
+from fintide.functions.columns import hash_uniform
+from fintide.plans.oracle_views import rnd, uniform, with_views
 
 FEATURE_TABLE_COLS = ("client_id, equity_pct, debt_pct, gold_pct, total_num_funds, years_invested, aum_lakh, "
                       "age_group_encoded, target")
@@ -199,6 +200,61 @@ def importance_totals(spark, d):
         F.count_if(F.col("importance") < 0).alias("negative"))
 
 
+# A target that can be learned: the allocation rule, with one client in ten moved to the next class.
+FLIPPED = 0.1
+_NEXT = dict(zip(C.RISK_CLASSES, [*C.RISK_CLASSES[1:], C.RISK_CLASSES[0]]))
+
+
+def learnable(spark, d):
+    """The feature table with a target of known Bayes rate, 1 - ``FLIPPED``."""
+    ruled = V.features(spark, d).withColumn("rule", M.rule_prediction())
+    moved = F.lit(None).cast("string")
+    for name, then in _NEXT.items():
+        moved = F.when(F.col("rule") == name, F.lit(then)).otherwise(moved)
+    flip = hash_uniform("client_id", F.lit("flip"), seed=C.SEED) < FLIPPED
+    return ruled.withColumn("target", F.when(flip, moved).otherwise(F.col("rule"))).drop("rule")
+
+
+_LEARNABLE_CTE = ("learnable", f"""
+  SELECT client_id, CASE WHEN {uniform('client_id', "'flip'")} < {FLIPPED} THEN
+    CASE rule {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in _NEXT.items())} END ELSE rule END AS target
+  FROM (SELECT client_id, {_RULE_SQL} AS rule FROM training_features) r""")
+
+
+@register("risk_model_gate", with_views("""
+SELECT sum(n_test)::BIGINT AS test_rows, true AS near_bayes_rate, true AS beats_majority, true AS rule_leads
+FROM quota""", "training_features", extra=[_LEARNABLE_CTE, (_QUOTA_CTE[0], _QUOTA_CTE[1].replace("FROM training_features", "FROM learnable"))]))
+def risk_model_gate(spark, d):
+    """A model fitted on a target of known Bayes rate: its held-out accuracy comes near that rate (within three standard
+    errors and five points), it beats the most frequent class, and the rule's two features lead: one is the most important, and
+    on average they count for more than the others."""
+    filled, _ = FE.impute_median(learnable(spark, d), C.FEATURE_COLS)
+    split = FE.stratified_split(filled, "client_id", "target", C.TEST_SIZE, C.SEED).checkpoint()
+    model = ML.fit_risk_model(split.filter("split = 'train'"))
+    test = ML.score_features(model, split.filter("split = 'test'")).checkpoint()
+    most = test.groupBy("target").count().agg(F.max("count").alias("majority"))
+    one = F.lit(1).alias("one")  # three one-row results side by side
+    got = M.accuracy_and_macro_f1(test, "target", "predicted_profile").select("*", one).join(most.select("*", one), "one")
+    in_rule = F.col("feature").isin("equity_pct", "debt_pct")
+    leading = ML.importances(spark, model).agg(((F.avg(F.when(in_rule, F.col("importance"))) > F.avg(F.when(~in_rule, F.col("importance"))))
+                                                & F.bool_or((F.col("rank") == 1) & in_rule)).alias("rule_leads")).select("*", one)
+    bayes = 1.0 - FLIPPED
+    floor = F.lit(bayes - 0.05) - 3.0 * F.sqrt(F.lit(bayes * FLIPPED) / F.col("n"))
+    return got.join(leading, "one").select(F.col("n").alias("test_rows"), (F.col("accuracy") >= floor).alias("near_bayes_rate"),
+                                           (F.col("accuracy") > F.col("majority") / F.col("n")).alias("beats_majority"), "rule_leads")
+
+
+@register("importance_ranks", with_views(f"""
+SELECT r::INTEGER AS rank, 1::BIGINT AS features, true AS in_order
+FROM range(1, {len(C.FEATURE_COLS) + 1}) t(r) WHERE (SELECT count(*) FROM training_features) > 0""", "training_features"))
+def importance_ranks(spark, d):
+    """One feature per rank, and none more important than the one ranked before it."""
+    found = feature_importances(spark, d)
+    before = found.select((F.col("rank") + 1).alias("rank"), F.col("importance").alias("more"))
+    return found.join(before, "rank", "left").groupBy("rank").agg(
+        F.count("feature").alias("features"), F.bool_and(F.coalesce(F.col("importance") <= F.col("more"), F.lit(True))).alias("in_order"))
+
+
 def known_profiles(spark, model):
     """Three fixed profiles with their expected class, scored by ``model`` (pytest only: fixed input)."""
     rows = [

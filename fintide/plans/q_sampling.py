@@ -64,7 +64,7 @@ _NUMBERED = ("numbered", f"""
 
 @register("allocation_funds", _expand_sql(f"""
 SELECT s.client_id, s.slot, s.fund_type, f.fund_id
-FROM slots s JOIN numbered f ON f.fund_type = s.fund_type
+FROM slots s LEFT JOIN numbered f ON f.fund_type = s.fund_type
   AND f.n = CAST(floor({uniform('s.client_id', 'CAST(s.slot AS VARCHAR)', "'fund'")} * f.size) AS BIGINT) + 1""",
                                           [_NUMBERED]))
 def allocation_funds(spark, d):
@@ -72,3 +72,11 @@ def allocation_funds(spark, d):
     funds = tv.funds(spark, d).filter("fund_type IS NOT NULL")
     slots = SM.expand_allocation(V.clients_enriched(spark, d))
     return SM.expand_to_funds(slots, funds).select("client_id", "slot", "fund_type", "fund_id")
+
+
+@register("allocation_gaps", _expand_sql("""
+SELECT fund_type, count(*) AS slots, CAST(count_if(fund_type IN ('Gold', 'Hybrid')) AS BIGINT) AS unfilled FROM slots GROUP BY fund_type""", []))
+def allocation_gaps(spark, d):
+    """Slots per fund type when only equity and debt funds can be bought, and those that stay without a fund."""
+    funds = tv.funds(spark, d).filter("fund_type IN ('Equity', 'Debt')")
+    return SM.unfilled(SM.expand_to_funds(SM.expand_allocation(V.clients_enriched(spark, d)), funds))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fintide import config as C
+from fintide.functions.columns import feature_vector
 from fintide.operators import metrics as M
 from fintide.operators import model as ML
 from fintide.operators import scoring as S
@@ -83,6 +84,17 @@ def cache_hit_rate(spark, d):
     return S.hit_rate(cache_hits(spark, d))
 
 
+@register("request_vectors", with_views("""
+SELECT client_id, equity_pct AS f0, debt_pct AS f1, gold_pct AS f2, CAST(total_num_funds AS DOUBLE) AS f3, years_invested AS f4,
+       aum_lakh AS f5, CAST(CASE age_group WHEN 'Young' THEN 0 WHEN 'Middle-Aged' THEN 1 ELSE 2 END AS DOUBLE) AS f6, 7 AS size
+FROM validated WHERE len(reasons) = 0""", "validated"))
+def request_vectors(spark, d):
+    """Valid requests as the model's input: seven numbers in the model's order."""
+    valid, _ = S.split_valid(requests(spark, d))
+    v = S.encode_requests(valid).select("client_id", feature_vector().alias("v"))
+    return v.select("client_id", *[F.col("v")[i].alias(f"f{i}") for i in range(7)], F.size("v").alias("size"))
+
+
 @register("score_requests")
 def score_requests(spark, d):
     _, model = trained(spark, d)
@@ -172,3 +184,15 @@ def request_flow(spark, d):
                          ["risk_profile"])
     return out.select("event_id", "client_id", "ts", "status", F.concat_ws("; ", "reasons").alias("reasons"), "from_cache",
                       "risk_profile", "stored_at")
+
+
+@register("request_outcomes", with_views("""
+SELECT CASE WHEN w.event_id IS NULL THEN 'rejected' WHEN w.hit THEN 'hit' ELSE 'scored' END AS status, v.client_id IS NULL AS unknown_client,
+       count(*) AS requests, count(DISTINCT e.user_id) AS clients
+FROM events e LEFT JOIN validated v ON v.client_id = printf('CLT%07d', e.user_id) LEFT JOIN walk w ON w.event_id = e.event_id
+GROUP BY ALL""", "timed_requests", "validated", extra=_WALK, recursive=True))
+def request_outcomes(spark, d):
+    """All requests by outcome: the rejected ones count too."""
+    done = request_flow(spark, d)
+    return done.groupBy("status", (F.col("reasons") == "client_id: unknown").alias("unknown_client")).agg(
+        F.count(F.lit(1)).alias("requests"), F.countDistinct("client_id").alias("clients"))

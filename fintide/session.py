@@ -7,9 +7,11 @@ unset (local tests) do we choose one ourselves.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +41,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("FINTIDE_DRIVER_MEMORY", _default_driver_memory()))
     )
     spark = builder.getOrCreate()
@@ -78,10 +81,38 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", "connect")
 
 
+_PATHS: list[str] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for a written table."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base}/fintide/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark)}/fintide/{name}-{uuid.uuid4().hex[:12]}"
+    _PATHS.append(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def work_scope(spark: SparkSession, keep: Callable[[], Iterable[str]] = tuple) -> Iterator[None]:
+    """Delete the work folders that are asked for inside the block when it ends, but those that ``keep()`` then names.
+
+    For a job that writes its result inside the block: nothing read later may depend on its intermediate tables.
+    """
+    begin = len(_PATHS)
+    try:
+        yield
+    finally:
+        kept = set(keep())
+        made, _PATHS[begin:] = _PATHS[begin:], [p for p in _PATHS[begin:] if p in kept]
+        for path in made:
+            if path not in kept:
+                delete_folder(spark, path)
 
 
 _TABLES: list[str] = []
@@ -97,6 +128,5 @@ def clear_work(spark: SparkSession) -> None:
     """Drop this application's work tables and delete its written work folders (their results can't be read afterwards)."""
     while _TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/fintide")
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    _PATHS.clear()
+    delete_folder(spark, f"{ensure_checkpoint_dir(spark)}/fintide")

@@ -106,3 +106,23 @@ def test_clear_work_removes_tables_and_folders(spark):
     assert not spark.catalog.tableExists("wealth_test.gone")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_a_job_leaves_only_its_result(spark):
+    from fintide.session import work_scope
+
+    kept = []
+    with work_scope(spark, lambda: kept):
+        for name in ("one", "two", "result"):
+            path = work_path(spark, name)
+            spark.range(4).write.parquet(path)
+        kept.append(path)
+    assert spark.read.parquet(path).count() == 4
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path.replace("result", "one"))
+    with pytest.raises(ZeroDivisionError), work_scope(spark):
+        other = work_path(spark, "failed")
+        spark.range(4).write.parquet(other)
+        1 / 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(other)
