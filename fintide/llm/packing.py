@@ -7,15 +7,14 @@ pieces (at most one a document) are items:
 1. Items are dealt to groups of about ``GROUP_ITEMS`` by a hash; each group
    packs best-fit in order of decreasing length, as a stream sorted by Spark.
    Bins filled to ``NEARLY_FULL`` are emitted as sequences.
-2. Of its other bins a group hands on the ``CARRY`` emptiest as items of the
-   next round and emits the rest (they are over half full: two of them never
-   fit together, and the emptiest leave most room for others).
-3. A round merges ``FAN_IN`` groups and packs their bins best-fit again, until
-   one group is left; it emits all its bins.
+2. All other bins are handed on as items of the next round.
+3. A round deals them to a ``FAN_IN``-th of the groups, or to as many as groups of
+   ``GROUP_ITEMS`` need, and packs them best-fit again.  The rounds end with one
+   group, or when the groups no longer shrink (bins over half full can't be
+   merged with each other); the last round emits all its bins.
 
-Every group of every round is bounded, whatever the corpus holds, and the
-rounds shrink by about ``FAN_IN``.  Nothing is left out and no bin is capped:
-a bin that is not handed on is a finished sequence.
+Every group of every round is bounded, whatever the corpus holds, and nothing is
+left out.
 
 Defined cases: a NULL text is empty and gives one piece of the closing id
 alone.  Repeated rows and repeated ids are packed once each.  NULL ids are
@@ -41,14 +40,13 @@ LENGTH = 4096
 CLOSING_ID = 1
 GROUP_ITEMS = 16384
 NEARLY_FULL = 0.98
-CARRY = 512
 FAN_IN = 8
 
 # ---------------------------------------------------------------- tokens
 
 #: A chunk whose letters are plain Latin ones (no composing, no special case rules) and its closing punctuation.
 PLAIN = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,!]*)")
-CACHE_ENTRIES = 1 << 20
+CACHE_ENTRIES = 1 << 19
 _encoders: dict = {}
 
 
@@ -177,18 +175,17 @@ class BestFit:
             self.bins[space].append(bin_)
         return bin_, offset
 
-    def handed_on(self, nearly_full: float, carry: int) -> set[int]:
-        under = [i for i, f in enumerate(self.fill) if f < nearly_full * self.length]
-        return set(sorted(under, key=lambda i: (self.fill[i], i))[:carry])
+    def handed_on(self, nearly_full: float) -> set[int]:
+        return {i for i, f in enumerate(self.fill) if f < nearly_full * self.length}
 
 
 PLACED = "id long, part long, parent long, base long, fill long, done boolean"
 
 
-def _pack_groups(length: int, nearly_full: float, carry: int, last: bool):
+def _pack_groups(length: int, nearly_full: float, last: bool):
     """Stream rows (group, size desc, id) of whole groups: for every item its bin, offset, the bin's fill and whether it is done."""
     def finish(group: int, ids: list, places: list, packer: BestFit) -> pa.RecordBatch:
-        on = set() if last else packer.handed_on(nearly_full, carry)
+        on = set() if last else packer.handed_on(nearly_full)
         bins = np.array([p[0] for p in places], dtype=np.int64)
         done = np.array([p[0] not in on for p in places])
         return pa.RecordBatch.from_arrays(
@@ -212,13 +209,13 @@ def _pack_groups(length: int, nearly_full: float, carry: int, last: bool):
     return run
 
 
-def _round(items: DataFrame, length: int, nearly_full: float, carry: int, last: bool) -> DataFrame:
+def _round(items: DataFrame, length: int, nearly_full: float, last: bool) -> DataFrame:
     ordered = items.repartition("g").sortWithinPartitions("g", F.desc("size"), "id")
-    return ordered.select("g", "size", "id").mapInArrow(_pack_groups(length, nearly_full, carry, last), PLACED)
+    return ordered.select("g", "size", "id").mapInArrow(_pack_groups(length, nearly_full, last), PLACED)
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, group_items: int = GROUP_ITEMS, nearly_full: float = NEARLY_FULL,
-         carry: int = CARRY, fan_in: int = FAN_IN) -> DataFrame:
+         fan_in: int = FAN_IN) -> DataFrame:
     """``pieces`` (doc_id, piece, length, ...) with sequence_id and offset; no sequence exceeds ``length`` tokens."""
     # Row numbers tell repeated pieces apart; they are written once, so every later read sees the same ones.
     table = staged(pieces.withColumn("_id", F.monotonically_increasing_id()), "pack-pieces")
@@ -226,16 +223,18 @@ def pack(pieces: DataFrame, length: int = LENGTH, group_items: int = GROUP_ITEMS
     small = table.filter(F.col("length") < length)
     groups = max(1, -(-small.count() // group_items))
     items = small.select(F.pmod(F.xxhash64("_id"), F.lit(groups)).alias("g"), F.col("length").alias("size"), F.col("_id").alias("id"))
-    first = staged(_round(items, length, nearly_full, carry, groups == 1), "pack-round0")
+    first = staged(_round(items, length, nearly_full, groups == 1), "pack-round0")
     # Chain of handed-on bins: bin of round 0 -> (bin of the latest round, offset of the former in the latter).
     level, settled = 0, []
     moving = first.filter("NOT done").groupBy("parent", "part", "fill").agg(F.lit(1).alias("_")).select(
         F.col("parent").alias("bin0"), F.col("parent").alias("bin"), F.lit(0).cast("long").alias("shift"), "part", "fill")
-    while groups > 1:
-        groups, level = -(-groups // fan_in), level + 1
-        bins = moving.select(F.floor(F.col("part") / F.lit(fan_in)).alias("g"), F.col("fill").alias("size"),
-                             F.col("bin").alias("id")).distinct()
-        placed = _round(bins, length, nearly_full, carry, groups == 1)
+    last = groups == 1
+    while not last:
+        bins = moving.select(F.col("fill").alias("size"), F.col("bin").alias("id")).distinct()
+        fewer = max(-(-groups // fan_in), -(-bins.count() // group_items), 1)
+        last = fewer == 1 or fewer >= groups
+        groups, level = fewer, level + 1
+        placed = _round(bins.select(F.pmod(F.xxhash64("id"), F.lit(groups)).alias("g"), "size", "id"), length, nearly_full, last)
         moved = moving.select("bin0", F.col("bin").alias("id"), "shift").join(placed, "id").select(
             "bin0", F.col("parent").bitwiseOR(F.lit(level << 56)).alias("bin"), (F.col("shift") + F.col("base")).alias("shift"),
             "part", "fill", "done")

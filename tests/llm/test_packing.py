@@ -39,7 +39,7 @@ def test_whole_table(spark):
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(want)
     n, least = check_places(rows, 4096), -(-sum(w[3] for w in want) // 4096)
     assert n <= least * 1.01 + 1
-    many = P.pack_documents(docs, PATH, keep_ids=False, group_items=40, fan_in=3, carry=10).collect()
+    many = P.pack_documents(docs, PATH, keep_ids=False, group_items=40, fan_in=3).collect()
     assert sorted((r.doc_id, r.piece) for r in many) == sorted(w[:2] for w in want)
     assert check_places(many, 4096) <= least * 1.05 + 2
 
@@ -78,9 +78,25 @@ def test_tree_is_near_one_best_fit(spark, seed):
     rng = np.random.default_rng(seed)
     sizes = np.minimum(1000, rng.lognormal(4.5, 1.2, 6000).astype(int) + 1)
     pieces = spark.createDataFrame([(i, 0, int(s)) for i, s in enumerate(sizes)], "doc_id long, piece int, length long")
-    rows = P.pack(pieces, 1000, group_items=200, carry=50).collect()
+    rows = P.pack(pieces, 1000, group_items=200).collect()
     assert sorted(r.doc_id for r in rows) == list(range(6000))
     packer = P.BestFit(1000)
     for s in sorted(sizes[sizes < 1000].tolist(), reverse=True):
         packer.put(s)
     assert check_places(rows, 1000) <= 1.03 * (len(packer.fill) + int((sizes == 1000).sum())) + 1
+
+
+@pytest.mark.parametrize("sizes,want", [([600] * 400, 400), ([600, 400] * 300, 300), ([990] * 100 + [10] * 90, 100), ([510] * 200 + [490] * 199 + [1], 200)])
+def test_underfull_bins_are_all_handed_on(spark, sizes, want):
+    # Bins over half full that never merge end the rounds; those that fit together find each other across groups.
+    pieces = spark.createDataFrame([(i, 0, s) for i, s in enumerate(sizes)], "doc_id long, piece int, length long")
+    rows = P.pack(pieces, 1000, group_items=50, fan_in=4).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(sizes)))
+    assert want <= check_places(rows, 1000) <= 1.06 * want + 1
+
+
+def test_no_underfull_bin_is_kept_back():
+    packer = P.BestFit(100)
+    for size in [60] * 2000 + [99] * 3:
+        packer.put(size)
+    assert len(packer.handed_on(0.98)) == 2000
