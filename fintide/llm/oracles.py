@@ -32,28 +32,43 @@ FROM ruled LEFT JOIN listing ON canonical = on_list
 
 OP3 = r"""
 WITH RECURSIVE lines AS (
-  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations
-  WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+  SELECT conv_id, turn, m, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
+  FROM (SELECT conv_id, turn, row_number() OVER () AS m, string_split(text, chr(10)) AS parts FROM conversations
+        WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL)),
 parsed AS (
-  SELECT conv_id, turn, length(regexp_replace(regexp_extract(line, '^[ \t]*((?:>[ \t]*)*)', 1), '[ \t]', '', 'g')) AS level,
+  SELECT conv_id, turn, m, i, length(regexp_replace(regexp_extract(line, '^[ \t]*((?:>[ \t]*)*)', 1), '[ \t]', '', 'g')) AS level,
     trim(regexp_replace(translate(
       CASE WHEN regexp_matches(line, '^[ \t]*>') THEN regexp_replace(line, '^[ \t]*((?:>[ \t]*)*)', '') ELSE line END,
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS passage
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS content
   FROM lines),
-said AS (SELECT conv_id, passage, min(turn) AS quoted_turn FROM parsed WHERE level = 0 AND passage <> '' GROUP BY ALL),
+islands AS (
+  SELECT *, sum(opens) OVER (PARTITION BY m ORDER BY i) AS block
+  FROM (SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY m ORDER BY i) THEN 0 ELSE 1 END AS opens FROM parsed)),
+blocks AS (
+  SELECT conv_id, turn, level, list_filter(string_split(string_agg(content, ' ' ORDER BY i), ' '), lambda x: x <> '') AS w
+  FROM islands GROUP BY conv_id, turn, level, m, block),
+passages AS (
+  SELECT DISTINCT conv_id, turn, level, array_to_string(list_slice(w, k, k + 4), ' ') AS passage
+  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS k FROM blocks WHERE len(w) >= 5)
+  UNION SELECT conv_id, turn, level, array_to_string(w, ' ') FROM blocks WHERE len(w) BETWEEN 1 AND 4
+  UNION SELECT conv_id, turn, level, content FROM parsed WHERE content <> '' AND len(string_split(content, ' ')) < 5),
+said AS (SELECT conv_id, passage, min(turn) AS quoted_turn FROM passages WHERE level = 0 GROUP BY ALL),
 votes AS (
-  SELECT q.conv_id, q.turn, s.quoted_turn, count(*) AS n
-  FROM (SELECT DISTINCT conv_id, turn, passage FROM parsed WHERE level = 1 AND passage <> '') q
-  JOIN said s ON q.conv_id = s.conv_id AND q.passage = s.passage AND s.quoted_turn < q.turn GROUP BY ALL),
-replies AS (
-  SELECT conv_id, turn, arg_max(quoted_turn, (n, quoted_turn)) AS reply_to FROM votes GROUP BY ALL),
+  SELECT q.conv_id, q.turn, q.level, s.quoted_turn, count(*) AS n
+  FROM passages q JOIN said s ON q.conv_id = s.conv_id AND q.passage = s.passage AND s.quoted_turn < q.turn
+  WHERE q.level > 0 GROUP BY ALL),
+linked AS (SELECT conv_id, turn, level, arg_max(quoted_turn, (n, quoted_turn)) AS quoted_turn FROM votes GROUP BY ALL),
+replies AS (SELECT conv_id, turn, quoted_turn AS reply_to FROM linked WHERE level = 1),
+told AS (SELECT conv_id, turn, string_agg(level || ':' || quoted_turn, ',' ORDER BY level) AS quoted FROM linked GROUP BY ALL),
 walk AS (
-  SELECT conv_id, turn, reply_to, reply_to AS up, 1 AS depth FROM replies
+  SELECT conv_id, turn, reply_to, reply_to AS up, 1 AS depth, [turn] AS path FROM replies
   UNION ALL
-  SELECT w.conv_id, w.turn, w.reply_to, r.reply_to, w.depth + 1
+  SELECT w.conv_id, w.turn, w.reply_to, r.reply_to, w.depth + 1, list_concat([w.up], w.path)
   FROM walk w JOIN replies r ON r.conv_id = w.conv_id AND r.turn = w.up),
 chain AS (
-  SELECT conv_id, turn, any_value(reply_to) AS reply_to, min(up) AS thread_turn, max(depth) AS depth FROM walk GROUP BY ALL),
+  SELECT conv_id, turn, any_value(reply_to) AS reply_to, arg_max(up, depth) AS thread_turn, max(depth) AS depth, arg_max(path, depth) AS path
+  FROM walk GROUP BY conv_id, turn),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, thread_turn ORDER BY path) AS place FROM chain),
 clean AS (
   SELECT *,
     CASE WHEN regexp_matches(text, '(?m)^[ \t]*>') THEN trim(array_to_string(
@@ -61,10 +76,11 @@ clean AS (
     ELSE text END AS bare,
     coalesce(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^[ \t]*>'))), 0) AS n_quoted
   FROM conversations)
-SELECT c.conv_id, c.turn, c.role, c.bare AS text, c.n_quoted::BIGINT AS n_quoted, h.reply_to,
-  coalesce(h.thread_turn, c.turn) AS thread_turn, coalesce(h.depth, 0)::BIGINT AS depth,
+SELECT c.conv_id, c.turn, c.role, c.bare AS text, c.n_quoted::BIGINT AS n_quoted, coalesce(t.quoted, '') AS quoted, h.reply_to,
+  coalesce(h.thread_turn, c.turn) AS thread_turn, coalesce(h.place, 0)::BIGINT AS place, coalesce(h.depth, 0)::BIGINT AS depth,
   '<|' || coalesce(c.role, '') || '|>' || chr(10) || coalesce(c.bare, '') || chr(10) || '<|end|>' AS chat
-FROM clean c LEFT JOIN chain h ON c.conv_id = h.conv_id AND c.turn = h.turn
+FROM clean c LEFT JOIN placed h ON c.conv_id = h.conv_id AND c.turn = h.turn
+LEFT JOIN told t ON c.conv_id = t.conv_id AND c.turn = t.turn
 """
 
 OP6 = r"""
