@@ -3,9 +3,9 @@
 Windows keyed only by fund would put a whole fund's history in one task (and a
 few funds in total means a few tasks).  Both ``lag_chunked`` and
 ``asof_join`` therefore window over (key, time chunk) and stitch chunk
-boundaries with a summary of one row per (key, chunk).  ``lag_chunked`` cuts time
-at a fixed chunk (``month`` unless the caller names another of ``CHUNKS``),
-``asof_join`` at quantiles of the data; results do not depend on it.
+boundaries with a summary of one row per (key, chunk).  ``asof_join`` cuts time at
+quantiles of the data (``depth``), ``lag_chunked`` at a fixed chunk (``month``
+unless the caller names another of ``CHUNKS`` or ``depth``); results do not depend on it.
 """
 
 from __future__ import annotations
@@ -35,6 +35,21 @@ def chunk_of(c: str | Column, chunk: str = "month") -> Column:
     return x if chunk == "day" else F.trunc(x, chunk)
 
 
+DEPTH = 256  # equi-depth chunks
+
+
+def depth_bounds(times: DataFrame, column: str, chunks: int = DEPTH) -> list:
+    """Bounds that cut the rows of ``times`` into about ``chunks`` chunks of equal numbers of rows (``chunks`` values at most)."""
+    shares = [i / chunks for i in range(1, chunks)]
+    found = times.agg(F.percentile_approx(column, shares, 20 * chunks).alias("q")).first()["q"] or []
+    return sorted(set(found))
+
+
+def depth_chunk(bounds: Sequence, column: str) -> Column:
+    """Number of the chunk that holds ``column``: how many of the bounds lie before it."""
+    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(column))) if bounds else F.lit(0)
+
+
 def lag_chunked(df: DataFrame, key: Sequence[str], order: str, values: Sequence[str],
                 prefix: str = "prev_", chunk: str = "month", ties: Sequence[str] = ()) -> DataFrame:
     """Previous row's ``order`` and ``values`` per key (``prev_<col>``), computed per time chunk.
@@ -43,10 +58,17 @@ def lag_chunked(df: DataFrame, key: Sequence[str], order: str, values: Sequence[
 
     Inside a chunk: ``lag``.  For a chunk's first row: the last row of the
     latest earlier non-empty chunk of the key, from a one-row-per-chunk table.
+    ``depth`` chunks are cut at quantiles of ``order`` over all keys, so a key with
+    many rows inside a month is spread as well (``df`` is then written once).
     """
     keys = list(key)
+    if chunk == "depth":
+        df = df.checkpoint()
+        cut = depth_chunk(depth_bounds(df, order), order)
+    else:
+        cut = chunk_of(order, chunk)
     packed = F.struct(F.col(order).alias("o"), *[F.col(v).alias(v) for v in values])
-    withc = df.withColumn("_chunk", chunk_of(order, chunk)).withColumn("_row", packed)
+    withc = df.withColumn("_chunk", cut).withColumn("_row", packed)
     total = [order, *ties, *values]
     w = Window.partitionBy(*keys, "_chunk").orderBy(*total)
     inner = withc.withColumn("_prev", F.lag("_row").over(w))
@@ -76,16 +98,6 @@ def nav_volatility(returns: DataFrame, fund: str = "fund_name", digits: int = 8)
     )
 
 
-DEPTH = 256  # equi-depth chunks
-
-
-def depth_bounds(times: DataFrame, column: str, chunks: int = DEPTH) -> list:
-    """Bounds that cut the rows of ``times`` into about ``chunks`` chunks of equal numbers of rows (``chunks`` values at most)."""
-    shares = [i / chunks for i in range(1, chunks)]
-    found = times.agg(F.percentile_approx(column, shares, 20 * chunks).alias("q")).first()["q"] or []
-    return sorted(set(found))
-
-
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
               right_cols: Sequence[str], chunk: str = "depth") -> DataFrame:
     """Left rows with the last right row of the same ``by`` whose ``right_on`` ≤ ``left_on``.
@@ -109,9 +121,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     both = instants.withColumns({"_kind": F.lit(1), "_r": F.lit(None).cast(rtype)}).unionByName(entries.withColumn("_kind", F.lit(0)))
     if chunk == "depth":
         both = both.checkpoint()  # read for the bounds as well
-        bounds = depth_bounds(both, "_t")
-        cuts = F.array(*[F.lit(b) for b in bounds])
-        both = both.withColumn("_chunk", F.size(F.filter(cuts, lambda b: b < F.col("_t"))) if bounds else F.lit(0))
+        both = both.withColumn("_chunk", depth_chunk(depth_bounds(both, "_t"), "_t"))
     else:
         both = both.withColumn("_chunk", chunk_of("_t", chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)

@@ -24,8 +24,8 @@ def register(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryF
             raise ValueError(f"duplicate query {name}")
 
         def fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # A new Dataset each call: shared view objects must not hand back a finished
-            # execution (and its shuffle files) to a later run of the same query.
+            # A new Dataset each call: a caller that keeps one must not hand back a finished
+            # execution (and its shuffle files) when it runs the query again.
             return fn(spark, sf_dir).select("*")
 
         fresh.__name__ = fn.__name__

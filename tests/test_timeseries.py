@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fintide.operators.timeseries import asof_join, depth_bounds, lag_chunked, value_holdings, weekdays_only
+from fintide.operators.timeseries import asof_join, depth_bounds, depth_chunk, lag_chunked, value_holdings, weekdays_only
 
 
 def _dates(rnd, n, span=400):
@@ -52,7 +52,7 @@ def test_weekdays_only(spark):
     assert [r.nav_date.weekday() for r in weekdays_only(df).collect()] == [0, 1, 2, 3, 4]
 
 
-@pytest.mark.parametrize("chunk", ["day", "week", "year"])
+@pytest.mark.parametrize("chunk", ["day", "week", "year", "month", "depth"])
 def test_results_do_not_depend_on_the_chunk(spark, chunk):
     rnd = random.Random(11)
     rrows = sorted({("A", d): rnd.random() for d in _dates(rnd, 120, 200)}.items())
@@ -101,8 +101,7 @@ def test_one_key_within_a_day_is_spread_over_tasks(spark):
     try:
         instants = left.select("k", F.col("t").alias("_t"))
         bounds = depth_bounds(instants, "_t")
-        chunk = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("_t")))
-        dealt = instants.withColumn("c", chunk).repartition("k", "c").groupBy(F.spark_partition_id()).count().collect()
+        dealt = instants.withColumn("c", depth_chunk(bounds, "_t")).repartition("k", "c").groupBy(F.spark_partition_id()).count().collect()
         assert len(bounds) > 200 and len(dealt) == 16 and max(r["count"] for r in dealt) < 200_000 / 5
         got = asof_join(left, right, ["k"], "t", "at", ["v"])
         wrong = got.filter(F.col("v") != F.floor(F.col("id") * 400_000 / 43_000_000)).count()
