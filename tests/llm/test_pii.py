@@ -167,3 +167,30 @@ def test_one_long_text_of_many_tokens(spark):
     seconds(100)
     short, long_ = seconds(5_000), seconds(50_000)
     assert long_ < 10 * short + 20
+
+
+def test_planted_identifiers(spark):
+    """Identifiers of no fixed pattern behind contexts that seeds share, among numbers that are none."""
+    import random
+
+    rng = random.Random(12)
+    leads = ["contact me at", "reach us via", "my account is", "write to", "call the desk on"]
+    filler = ["the train left in 19%d from track %d", "we sold %d of %d units today", "see page %d and figure %d", "it cost %d euros in %d"]
+    rows, planted = [], {}
+    for i in range(600):
+        lead = rng.choice(leads)
+        if i % 3 == 0:
+            value = f"u{i}{rng.choice('xyz')}@mail{i % 7}.example"
+        elif i % 3 == 1:
+            value = f"+49 30 {rng.randint(1000000, 9999999)}"
+        else:
+            value = f"{rng.choice(['ID', 'ref', 'no'])}-{rng.randint(100, 999)}{rng.choice('abc')}{i}"
+        text = " ".join(rng.choice(filler) % (rng.randint(1, 99), rng.randint(1, 99)) for _ in range(4)) + f" . {lead} {value} any day . "
+        if i % 3 == 2:
+            planted[i] = (len(text) - len(f"{value} any day . "), len(text) - len(" any day . "))
+        rows.append((i, text + rng.choice(filler) % (1, 2)))
+    got = {r.doc_id: {(s.start, s.end) for s in r.id} for r in P.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    right = sum(planted[i] in got[i] for i in planted)
+    told = sum(len(g) for g in got.values())
+    print("recall", right / len(planted), "precision", right / max(told, 1))
+    assert right >= 0.95 * len(planted) and right >= 0.9 * told
