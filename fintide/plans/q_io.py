@@ -25,7 +25,7 @@ from fintide.session import work_path, work_table
 from fintide.sources import io
 from fintide.sources import testviews as tv
 from fintide.sources.merge import read_merged, schema_report
-from fintide.sources.publish import VerificationError, partition_fingerprints, publish, verify, write_verified
+from fintide.sources.publish import VerificationError, partition_fingerprints, publish, release_old, verify, write_verified
 
 
 def _cols(text: str) -> list[str]:
@@ -284,8 +284,11 @@ def published_portfolios(spark, d):
         load(summary.withColumn("client_id", F.when(F.col("equity_pct") < F.col("debt_pct"), F.col("client_id"))))
     except VerificationError:
         views.append(seen("after a failed load"))
-    load(summary)
+    last = load(summary)
     views.append(seen("after the next load"))
+    release_old(spark, "wealth", name, last)  # what was seen is kept: the catalog needs neither the name nor its versions any more
+    spark.sql(f"DROP VIEW wealth.{name}")
+    spark.sql(f"DROP TABLE wealth.{name}__{last}")
     return reduce(DataFrame.unionByName, views)
 
 
