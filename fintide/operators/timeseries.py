@@ -98,23 +98,9 @@ def nav_volatility(returns: DataFrame, fund: str = "fund_name", digits: int = 8)
     )
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
-              right_cols: Sequence[str], chunk: str = "depth") -> DataFrame:
-    """Left rows with the last right row of the same ``by`` whose ``right_on`` ≤ ``left_on``.
-
-    Adds ``right_on`` and ``right_cols`` (NULL when nothing qualifies, or a key or time is NULL).  Of several
-    right rows at one instant the one with the greatest ``right_cols`` (in order) counts.
-
-    Only the distinct (by, instant) pairs of both sides are unioned and windowed, per (by, chunk); a right
-    instant equal to the left one counts as "on or before".  A left instant with no right one earlier in its
-    chunk takes the last right row of the latest earlier chunk, found on a table of one row per (by, chunk).
-    Left rows take their answer with an equi-join, so many rows at one instant are no one task's work.
-
-    ``depth`` chunks are cut at quantiles of all instants: however rows are spread over keys and time, no
-    (by, chunk) holds more than a ``DEPTH``-th of them.  The other chunks are those of ``CHUNKS``.
-    """
-    keys = list(by)
-    instants = left.select(*keys, F.col(left_on).alias("_t")).dropna().distinct()
+def last_at_instants(instants: DataFrame, right: DataFrame, keys: Sequence[str], right_on: str, right_cols: Sequence[str],
+                     chunk: str) -> DataFrame:
+    """(keys, _t, _p) of distinct ``instants`` (keys, _t): the last right row at or before each, as a struct (_rt, ``right_cols``)."""
     entries = right.select(*keys, F.col(right_on).alias("_t"), F.struct(F.col(right_on).alias("_rt"), *right_cols).alias("_r"))
     entries = entries.dropna(subset=[*keys, "_t"]).groupBy(*keys, "_t").agg(F.max("_r").alias("_r"))
     rtype = entries.schema["_r"].dataType
@@ -138,8 +124,27 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
              .unionByName(r_last.withColumn("_is_left", F.lit(False)))
              .withColumn("_carry", F.last("_last", ignorenulls=True).over(wc))
              .filter("_is_left").select(*keys, "_chunk", "_carry"))
-    answers = matched.join(carry, on=[*keys, "_chunk"], how="left").select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_t", F.coalesce("_m", "_carry").alias("_p"))
+    return matched.join(carry, on=[*keys, "_chunk"], how="left").select(*keys, "_t", F.coalesce("_m", "_carry").alias("_p"))
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
+              right_cols: Sequence[str], chunk: str = "depth") -> DataFrame:
+    """Left rows with the last right row of the same ``by`` whose ``right_on`` ≤ ``left_on``.
+
+    Adds ``right_on`` and ``right_cols`` (NULL when nothing qualifies, or a key or time is NULL).  Of several
+    right rows at one instant the one with the greatest ``right_cols`` (in order) counts.
+
+    Only the distinct (by, instant) pairs of both sides are unioned and windowed, per (by, chunk); a right
+    instant equal to the left one counts as "on or before".  A left instant with no right one earlier in its
+    chunk takes the last right row of the latest earlier chunk, found on a table of one row per (by, chunk).
+    Left rows take their answer with an equi-join, so many rows at one instant are no one task's work.
+
+    ``depth`` chunks are cut at quantiles of all instants: however rows are spread over keys and time, no
+    (by, chunk) holds more than a ``DEPTH``-th of them.  The other chunks are those of ``CHUNKS``.
+    """
+    keys = list(by)
+    answers = last_at_instants(left.select(*keys, F.col(left_on).alias("_t")).dropna().distinct(), right, keys, right_on, right_cols, chunk)
+    answers = answers.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
     same = F.col(left_on) == F.col("_t")
     for i, k in enumerate(keys):
         same = same & (F.col(k) == F.col(f"_k{i}"))
@@ -168,12 +173,11 @@ def value_holdings(holdings: DataFrame, nav: DataFrame, as_of: dt.date | str, fu
     ensure_checkpoint_dir(holdings.sparkSession)
     # Both sides of the as-of join are read more than once: written once, they cost one scan of their lineage each.
     nav = nav.select(fund, "nav_date", "nav").checkpoint()
-    pairs = holdings.select(fund, "buy_date").distinct().checkpoint()
-    priced = asof_join(pairs, nav, [fund], "buy_date", "nav_date", ["nav"])
-    priced = priced.withColumnsRenamed({"nav_date": "nav_date_at_buy", "nav": "nav_at_buy"})
-    p = priced.withColumnsRenamed({fund: "_fund", "buy_date": "_date"})
-    at_buy = holdings.join(p, F.col(fund).eqNullSafe(F.col("_fund")) & F.col("buy_date").eqNullSafe(F.col("_date")),
-                           "left").drop("_fund", "_date")
+    pairs = holdings.select(fund, F.col("buy_date").alias("_t")).dropna().distinct().checkpoint()
+    # A month of a fund holds 31 distinct dates of either side at most.
+    priced = last_at_instants(pairs, nav, [fund], "nav_date", ["nav"], "month")
+    p = priced.select(F.col(fund).alias("_fund"), F.col("_t").alias("_date"), F.col("_p._rt").alias("nav_date_at_buy"), F.col("_p.nav").alias("nav_at_buy"))
+    at_buy = holdings.join(p, (F.col(fund) == F.col("_fund")) & (F.col("buy_date") == F.col("_date")), "left").drop("_fund", "_date")
     current = latest_on_or_before(nav, [fund], "nav_date", ["nav"], as_of).withColumnsRenamed(
         {"nav_date": "current_nav_date", "nav": "current_nav"})
     return at_buy.join(current, on=fund, how="left").withColumns({
