@@ -46,7 +46,7 @@ FAN_IN = 8
 
 #: A chunk whose letters are plain Latin ones (no composing, no special case rules) and its closing punctuation.
 PLAIN = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,!]*)")
-CACHE_ENTRIES = 1 << 20
+CACHE_ENTRIES = 1 << 20  # chunks, and words, that a task remembers
 _encoders: dict = {}
 
 
@@ -57,9 +57,10 @@ class ChunkEncoder:
     ids are those of its chunks in order.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
 
+        self.entries = entries
         self.tokenizer = Tokenizer.from_file(path)
         self.words, self.known, self.tails = {}, {}, {}
         # Byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
@@ -78,7 +79,7 @@ class ChunkEncoder:
         word, tail = m[1].lower(), m[2]
         ids = self.words.get(word)
         if ids is None:
-            if len(self.words) >= CACHE_ENTRIES:
+            if len(self.words) >= self.entries:
                 self.words.clear()
             chars = word if word.isascii() else "".join([self.byte_chars[b] for b in word.encode()])
             ids = np.array([t.id for t in self.tokenizer.model.tokenize(chars)], dtype="<u4").tobytes()
@@ -102,30 +103,30 @@ class ChunkEncoder:
             if ids is None:
                 ids = b"".join([self._chunk(c) for c in chunk.split("\n")])
                 if len(chunk) <= 64:
-                    if len(known) >= CACHE_ENTRIES:
+                    if len(known) >= self.entries:
                         known.clear()
                     known[chunk] = ids
             out.append(ids)
         return np.frombuffer(b"".join(out), dtype="<u4")
 
 
-def _encoder(path: str) -> ChunkEncoder:
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+def _encoder(path: str, entries: int) -> ChunkEncoder:
+    if (path, entries) not in _encoders:
+        _encoders[path, entries] = ChunkEncoder(path, entries)
+    return _encoders[path, entries]
 
 
 def tokenize(docs: DataFrame, vocabulary: str, length: int = LENGTH, closing_id: int = CLOSING_ID,
-             keep_ids: bool = True) -> DataFrame:
+             keep_ids: bool = True, memory: int = CACHE_ENTRIES) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): the pieces of every document.
 
-    ``vocabulary`` is the path of a tokenizer file on every executor.
+    ``vocabulary`` is the path of a tokenizer file on every executor, ``memory`` the number of chunks a task remembers.
     """
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if keep_ids else 5]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary)
+        encoder = _encoder(vocabulary, memory)
         end = np.array([closing_id], dtype="<u4")
         for b in batches:
             for at in range(0, b.num_rows, 512):
@@ -257,6 +258,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, group_items: int = GROUP_ITEMS
     return out.unionByName(alone)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, length: int = LENGTH, keep_ids: bool = True, **how) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, length: int = LENGTH, keep_ids: bool = True, memory: int = CACHE_ENTRIES,
+                   **how) -> DataFrame:
     """Tokenize and pack ``docs``: one row per piece with its place; with ``keep_ids`` its token ids too."""
-    return pack(tokenize(docs, vocabulary, length, keep_ids=keep_ids), length, **how)
+    return pack(tokenize(docs, vocabulary, length, keep_ids=keep_ids, memory=memory), length, **how)
