@@ -37,8 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, with their token ids, placed in sequences of at most 4096 tokens."""
-    # Token ids are shuffled with their pieces: half the usual memory for known chunks leaves room for that.
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), memory=packing.CACHE_ENTRIES // 2)
+    # Token ids are shuffled with their pieces: a smaller memory for known chunks leaves room for that.
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), memory=packing.CACHE_ENTRIES // 4)
 
 
 STAGES = [
