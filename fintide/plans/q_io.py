@@ -212,13 +212,17 @@ def _landed_with_faults(spark, d) -> str:
     """Client CSV, with lines of some clients spoilt: an age that is no number, the last field cut off, a field too many."""
     path = work_path(spark, "clients_faulty")
     io.write_csv(tv.clients_raw(spark, d), f"{path}/all")
-    lines = spark.read.text(f"{path}/all")
+    # A large file is read by several tasks, and each writes a file of its own: every one needs the header line.
+    header = ",".join(C.CLIENTS_RAW_SCHEMA.fieldNames())
+    lines = spark.read.text(f"{path}/all").filter(F.col("value") != header)
     number = F.regexp_extract("value", r"^CLT(\d+),", 1)
     n = F.when(number != "", number.cast("bigint"))
     fields = F.split("value", ",")
     bad = (F.when(n % 31 == 0, F.concat_ws(",", F.slice(fields, 1, 5), F.lit("abc"), F.slice(fields, 7, 99)))
            .when(n % 37 == 0, F.substring_index("value", ",", 10)).when(n % 41 == 0, F.concat("value", F.lit(",more"))))
-    lines.select(F.coalesce(bad, F.col("value")).alias("value")).write.text(f"{path}/landed")
+    landed = lines.select(F.coalesce(bad, F.col("value")).alias(header))  # whole lines as one column: neither split nor quoted
+    (landed.write.option("header", True).option("sep", "\x01").option("quote", "").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(f"{path}/landed"))
     return f"{path}/landed"
 
 

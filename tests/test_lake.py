@@ -10,6 +10,8 @@ from fintide.sources import io
 from fintide.sources import merge as M
 from fintide.sources import publish as P
 
+from conftest import SF_SMALL
+
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("y", T.IntegerType()),
                        T.StructField("note", T.StringType())])
 
@@ -122,3 +124,19 @@ def test_footer_profile_reads_no_rows(spark):
     assert "false" in spark.conf.get("spark.sql.parquet.aggregatePushdown").lower()
     with pytest.raises(ValueError, match="name"):
         reports.footer_profile(spark, path, "g", ["name"])
+
+
+def test_large_faulty_files_are_landed_with_a_header_each(spark):
+    from fintide.plans import q_io
+
+    size = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(size)
+    want = [tuple(r) for r in q_io.ingest_quarantine_report(spark, SF_SMALL).collect()]
+    spark.conf.set(size, "4096")  # the client file is read, and landed, by several tasks
+    try:
+        landed = spark.read.text(q_io._landed_with_faults(spark, SF_SMALL)).withColumn("file", F.col("_metadata.file_path"))
+        per_file = landed.groupBy("file").agg(F.count_if(F.col("value").startswith("client_id,")).alias("headers")).collect()
+        assert len(per_file) > 1 and {r.headers for r in per_file} == {1}
+        assert [tuple(r) for r in q_io.ingest_quarantine_report(spark, SF_SMALL).collect()] == want
+    finally:
+        spark.conf.set(size, was)
