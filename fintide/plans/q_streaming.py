@@ -37,10 +37,11 @@ def stream_transaction_monitor(spark, d):
 def stream_burst_sessions(spark, d):
     """Bursts that cross a clock minute, from transactions that arrive out of order over several micro-batches."""
     txn = tv.transactions(spark, d)
-    src = ST.stage_files(txn, work_path(spark, "burst_in"), files=3, order_by=_disordered("txn_ts", "txn_id"))
-    control = work_path(spark, "burst_control")
-    stream = ST.read_stream(spark, src, txn.schema, max_files=1, control=control)
-    return ST.run_to_the_end(spark, ST.stream_bursts(stream), "bursts", txn, control, "txn_ts", "3 HOURS")
+    control, out, ckpt = (work_path(spark, n) for n in ("burst_control", "bursts_out", "bursts_ckpt"))
+    for src in ST.arrivals(txn, work_path(spark, "burst_in"), 3, _disordered("txn_ts", "txn_id")):
+        bursts = ST.stream_bursts(ST.read_stream(spark, src, txn.schema, control=control))
+        ST.run_to_table(spark, bursts, "bursts", ckpt=ckpt, out=out)
+    return ST.run_to_the_end(spark, bursts, "bursts", txn, control, "txn_ts", "3 HOURS", ckpt, out)
 
 
 def _disordered(ts_col, id_col):
@@ -90,11 +91,11 @@ FROM timed_requests r JOIN walk w ON r.event_id = w.event_id""", "timed_requests
 def stream_cache_hits(spark, d):
     """The TTL replay on a stream of requests that come up to 45 minutes late, in several micro-batches."""
     reqs = timed_requests(spark, d).select("event_id", "cache_key", "ts")
-    src = ST.stage_files(reqs, work_path(spark, "cache_in"), files=3, order_by=_disordered("ts", "event_id"))
     control, base = work_path(spark, "cache_control"), work_path(spark, "cache_stream")
-    stream = ST.read_stream(spark, src, reqs.schema, max_files=1, control=control)
-    ST.stream_cache(stream, "cache_stream", checkpoint=base)
-    ST.close_stream(reqs, control, "ts", "24 HOURS")
+    for src in ST.arrivals(reqs, work_path(spark, "cache_in"), 3, _disordered("ts", "event_id")):
+        stream = ST.read_stream(spark, src, reqs.schema, control=control)
+        ST.stream_cache(stream, "cache_stream", checkpoint=base)
+    ST.close_stream(spark.read.schema(reqs.schema).parquet(src), control, "ts", "24 HOURS")
     return ST.stream_cache(stream, "cache_stream", checkpoint=base).drop("batch_id")
 
 
@@ -107,10 +108,11 @@ def stream_scored_once(spark, d):
     """All requests of the stream answered, with one prediction per (key, slice of one TTL) whatever micro-batches its requests come in."""
     ruled = keyed_requests(spark, d).withColumn("profile", M.rule_prediction()).select("client_id", "cache_key", "profile")
     reqs = events_of_clients(spark, d).join(ruled, on="client_id")
-    src = ST.stage_files(reqs, work_path(spark, "once_in"), files=3, order_by=_disordered("ts", "event_id"))
-    stream = ST.read_stream(spark, src, reqs.schema, max_files=1)
-    scored = ST.stream_reuse(stream, lambda df: df.withColumn("risk_profile", F.col("profile")), ["risk_profile"])
-    done = ST.run_to_table(spark, scored, "scored_once")
+    out, ckpt = work_path(spark, "scored_once_out"), work_path(spark, "scored_once_ckpt")
+    for src in ST.arrivals(reqs, work_path(spark, "once_in"), 3, _disordered("ts", "event_id")):
+        stream = ST.read_stream(spark, src, reqs.schema)
+        scored = ST.stream_reuse(stream, lambda df: df.withColumn("risk_profile", F.col("profile")), ["risk_profile"])
+        done = ST.run_to_table(spark, scored, "scored_once", ckpt=ckpt, out=out)
     answers = done.groupBy("event_id", "cache_key", "slice").agg(F.count(F.lit(1)).alias("answers"), F.min("risk_profile").alias("risk_profile"))
     made = done.groupBy("cache_key", "slice").agg(F.countDistinct("scored_by").alias("predictions"))
     return answers.join(made, ["cache_key", "slice"]).select("event_id", "cache_key", "slice", "answers", "predictions", "risk_profile")

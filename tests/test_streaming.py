@@ -132,3 +132,19 @@ def test_timed_requests_reach_the_stream_job_whole(spark):
     reqs = timed_requests(spark, SF_SMALL).select("event_id", "cache_key", "ts")
     src = ST.stage_files(reqs, work_path(spark, "staged"), files=3, order_by="ts")
     assert spark.read.parquet(src).exceptAll(reqs).count() == 0 and spark.read.parquet(src).count() == reqs.count()
+
+
+@pytest.mark.parametrize("query", ["stream_scored_once", "stream_burst_sessions", "stream_cache_hits"])
+def test_tables_of_many_files_lose_no_rows_to_lateness(spark, query):
+    from fintide.plans import q_streaming as Q
+    from fintide.sources.testviews import SCAN_PARTITIONS
+
+    run = getattr(Q, query)
+    want = sorted(tuple(r) for r in run(spark, SF_SMALL).collect())
+    spark.conf.set(SCAN_PARTITIONS, "6")  # a slice is written by several tasks
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sorted(tuple(r) for r in run(spark, SF_SMALL).collect()) == want
+    finally:
+        spark.conf.unset(SCAN_PARTITIONS)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
