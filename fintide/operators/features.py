@@ -95,10 +95,9 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) ->
     All columns share two aggregates a round: sketch quantiles beside every
     wanted rank, then counts at those values.  A bracket loses its end values
     and about ``accuracy``-fold of its rows a round, so rounds grow with the
-    logarithm of the rows and never stall on ties.
+    logarithm of the rows and never stall on ties.  ``df`` is read in each of them: pass a materialised frame.
     """
-    # Several passes follow: read the needed columns from one materialised copy, not the lineage.
-    df = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).checkpoint()
+    df = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
     counts = df.agg(*[F.count(f"x{i}").alias(f"n{i}") for i in range(len(cols))]).first()
     ranks = [_Rank(i, k, n) for i in range(len(cols)) if (n := counts[f"n{i}"]) for k in sorted({(n - 1) // 2, n // 2})]
     while todo := [r for r in ranks if r.value is None]:
@@ -128,8 +127,10 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) ->
 def impute_median(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Fill NULLs with the exact column median (0 when a column is all NULL); filled columns are DOUBLE.
 
-    Returns the filled frame and a report (column, null_count, median).
+    ``df`` is computed once.  Returns the filled frame and a report (column, null_count, median).
     """
+    # Read for the medians, the counts and the filled rows: materialise the input once instead of re-running its lineage.
+    df = df.checkpoint()
     medians = exact_medians(df, cols)
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     filled = df.withColumns(

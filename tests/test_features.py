@@ -130,3 +130,16 @@ def test_integer_columns_are_filled_with_the_true_median(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "n long")
     filled, report = impute_median(df, ["n"])
     assert sorted(r.n for r in filled.collect()) == [1.0, 1.5, 2.0] and report.head().median == 1.5
+
+
+def test_imputation_computes_its_input_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def row(i):
+        made.add(1)
+        return (i, float(i) if i % 3 else None)
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(60), 2).map(row), "id long, x double")
+    filled, report = impute_median(df, ["x"])
+    assert filled.filter("x IS NULL").count() == 0 and report.first()["null_count"] == 20
+    assert made.value == 60
