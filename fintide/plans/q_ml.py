@@ -148,9 +148,9 @@ def split_features(spark, d):
     return FE.stratified_split(V.features(spark, d), "client_id", "target", C.TEST_SIZE, C.SEED)
 
 
-def trained(spark, d):
-    """The split feature table (imputed) and the model fitted on its training rows."""
-    filled, _ = FE.impute_median(V.features(spark, d), C.FEATURE_COLS)
+def trained(spark, d, features=None):
+    """The split feature table (imputed) and the model fitted on its training rows; ``features`` if the caller holds them already."""
+    filled, _ = FE.impute_median(V.features(spark, d) if features is None else features, C.FEATURE_COLS)
     split = FE.stratified_split(filled, "client_id", "target", C.TEST_SIZE, C.SEED).checkpoint()
     return split, ML.fit_risk_model(split.filter(F.col("split") == "train"))
 

@@ -16,12 +16,18 @@ from fintide.plans.q_ml import trained
 from fintide.sources import testviews as tv
 
 
-def requests(spark, d):
-    return S.requests_from_features(V.features(spark, d))
+def requests(spark, d, features=None):
+    return S.requests_from_features(V.features(spark, d) if features is None else features)
 
 
-def keyed_requests(spark, d):
-    valid, _ = S.split_valid(requests(spark, d))
+def trained_with_features(spark, d):
+    """The feature table, materialised once for the training and the requests, and the model fitted on it."""
+    features = V.features(spark, d).checkpoint()
+    return features, trained(spark, d, features)[1]
+
+
+def keyed_requests(spark, d, features=None):
+    valid, _ = S.split_valid(requests(spark, d, features))
     return valid.withColumn("cache_key", S.request_key())
 
 
@@ -97,8 +103,8 @@ def request_vectors(spark, d):
 
 @register("score_requests")
 def score_requests(spark, d):
-    _, model = trained(spark, d)
-    valid, _ = S.split_valid(requests(spark, d))
+    features, model = trained_with_features(spark, d)
+    valid, _ = S.split_valid(requests(spark, d, features))
     return S.score_requests(model, valid)
 
 
@@ -122,8 +128,8 @@ def score_requests_answers(spark, d):
 @register("scored_with_reuse")
 def scored_with_reuse(spark, d):
     """Every timed request answered; the model runs once per distinct cache key (a client has one)."""
-    _, model = trained(spark, d)
-    scored = ML.score_features(model, S.encode_requests(keyed_requests(spark, d))).select(
+    features, model = trained_with_features(spark, d)
+    scored = ML.score_features(model, S.encode_requests(keyed_requests(spark, d, features))).select(
         "client_id", "cache_key", F.col("predicted_profile").alias("risk_profile"), "confidence")
     return events_of_clients(spark, d).join(scored, on="client_id").select(
         "event_id", "client_id", "cache_key", "risk_profile", "confidence")

@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 from fintide.operators import metrics as M
 from fintide.plans.catalog import register
 from fintide.plans.oracle_views import with_views
-from fintide.plans.q_ml import trained
 from fintide.plans.q_scoring import (_ANSWERED_SQL, _RULE, _WALK, TTL_US, _answered, events_of_clients, keyed_requests, requests,
-                                     timed_requests)
+                                     timed_requests, trained_with_features)
 from fintide.plans.q_transactions import _RULES_SQL, SESSIONS_SQL
 from fintide.session import work_path
 from fintide.sources import testviews as tv
@@ -52,8 +51,8 @@ def _disordered(ts_col, id_col):
 
 @register("stream_scoring")
 def stream_scoring(spark, d):
-    _, model = trained(spark, d)
-    reqs = requests(spark, d)
+    features, model = trained_with_features(spark, d)
+    reqs = requests(spark, d, features)
     src = ST.stage_files(reqs, work_path(spark, "requests_stream_in"))
     stream = ST.read_stream(spark, src, reqs.schema, max_files=1)
     return ST.run_to_table(spark, ST.stream_scores(stream, model), "scoring")

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from fintide import config as C
 from fintide.operators.scoring import (cache_fills, cache_hits, cache_lookup, encode_requests, hit_rate, request_key,
                                        split_valid, validate_requests)
@@ -167,3 +168,14 @@ def test_unknown_profile_draws_from_the_fallback_pool(spark):
     for r in expand_allocation(df).collect():
         got.setdefault((r.client_id, r.slot), set()).add(r.fund_type)
     assert all(len(kinds) == 1 and None not in kinds for kinds in got.values())
+
+
+def test_training_and_requests_share_one_feature_table(spark, monkeypatch):
+    from fintide.plans import q_scoring as Q
+    from fintide.plans import views as V
+
+    made, features = [], V.features
+    monkeypatch.setattr(V, "features", lambda *a: made.append(1) or features(*a))
+    monkeypatch.setattr(Q.ML, "fit_risk_model", lambda train: None)
+    monkeypatch.setattr(Q.S, "score_requests", lambda model, valid: valid)
+    assert Q.score_requests(spark, SF_SMALL).count() > 0 and len(made) == 1
