@@ -38,6 +38,7 @@ def fit_risk_model(train: DataFrame, features: Sequence[str] = tuple(C.FEATURE_C
     """
     order = [*features, label]
     weighted = with_class_weights(train, label, "weight").repartition(partitions, *order).sortWithinPartitions(*order)
+    weighted = weighted.checkpoint()  # every stage of the fit reads it several times
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc",
                             handleInvalid="error")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
